@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from penprint.functions.features import FEATURES
@@ -47,34 +47,35 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
 
-def _columns(prefix: str) -> dict[str, str]:
-    return {
-        "rawPredictionCol": f"_{prefix}_raw",
-        "probabilityCol": f"_{prefix}_probability",
-        "predictionCol": f"_{prefix}_prediction",
-    }
+def _named(estimator, prefix: str):
+    """Give an estimator output columns of its own, so that three can run over one table."""
+    return (
+        estimator.setRawPredictionCol(f"_{prefix}_raw")
+        .setProbabilityCol(f"_{prefix}_probability")
+        .setPredictionCol(f"_{prefix}_prediction")
+    )
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED):
     """``train`` carries the vector column ``features`` and ``label``."""
-    return RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", **_columns("forest")
-    ).fit(train)
+    forest = RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt"
+    )
+    return _named(forest, "forest").fit(train)
 
 
 def fit_boosted(train: DataFrame, rounds: int = ROUNDS, rate: float = RATE, seed: int = SEED):
-    return GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=BOOST_DEPTH, seed=seed, **_columns("boosted")
-    ).fit(train)
+    boosted = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=BOOST_DEPTH, seed=seed)
+    return _named(boosted, "boosted").fit(train)
 
 
 def fit_logistic(train: DataFrame, rows: int | None = None, max_iter: int = MAX_ITER):
     """L2 with C = 1 on unscaled features: the penalty is spread over the rows."""
     rows = train.count() if rows is None else rows
-    return LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False,
-        **_columns("logistic"),
-    ).fit(train)
+    logistic = LogisticRegression(
+        maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
+    )
+    return _named(logistic, "logistic").fit(train)
 
 
 def fit_ensemble(
@@ -164,8 +165,8 @@ def cross_validate(
         hit = F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double"))
         parts.append((fold, scored.agg(hit).first()[0]))
     table = features.sparkSession.createDataFrame(parts, "fold int, accuracy double")
-    stats = table.agg(
-        F.avg("accuracy").alias("mean_accuracy"),
-        (2 * F.stddev_pop("accuracy")).alias("two_deviations"),
-    )
-    return table.join(F.broadcast(stats))
+    folds = Window.partitionBy(F.lit(0))  # k rows
+    return table.withColumns({
+        "mean_accuracy": F.avg("accuracy").over(folds),
+        "two_deviations": 2 * F.stddev_pop("accuracy").over(folds),
+    })

@@ -46,8 +46,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB"))
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().doubleValue()
-    return df.repartition(4 * cores, key) if size < cores * split else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(4 * cores, key) if int(size) < cores * split else df
 
 
 _UNITS = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
