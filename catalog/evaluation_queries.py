@@ -14,15 +14,10 @@ from penprint.sources import tables
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with the score as AI probability."""
-    corpus = tables.doc_corpus(spark, folder)
-    ratios = lexicon.distinct_ratio(corpus.select("doc_id", "text", "label").withColumn(
-        "doc_id", F.struct("doc_id", "label")
-    ))
     p = F.col("ratio")
-    return ratios.select(
-        F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.label").alias("label"),
-        p.alias("score"), p.alias("ai_probability"), (1 - p).alias("human_probability"),
-        (p > 1 - p).alias("is_ai"),
+    return lexicon.distinct_ratio(tables.doc_corpus(spark, folder), "doc_id", "label").select(
+        "doc_id", "label", p.alias("score"), p.alias("ai_probability"),
+        (1 - p).alias("human_probability"), (p > 1 - p).alias("is_ai"),
     )
 
 

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from catalog import text_sql as ts
 from catalog.entry import Entry
+from catalog.evaluation_queries import ENTRIES as EVALUATION
+from catalog.evaluation_queries import _round_doubles, _scored
 from catalog.text_queries import _scored_sql
 from penprint.functions.features import FEATURES, add_features
 from penprint.functions.rules import add_calibrated_confidence
 from penprint.operators import evaluate, models, sampling
 from penprint.plans import train
 from penprint.session import cut_lineage, scratch_path
-from penprint.sources import tables
+from penprint.sources import tables, writers
 from penprint.streaming import score as stream
 
 _SMALL = {"trees": 10, "depth": 5, "rounds": 5, "max_iter": 50}
@@ -77,6 +79,32 @@ def _cross_validated(spark: SparkSession, folder: str) -> DataFrame:
     return models.cross_validate(features, k=3, trees=5, depth=4, rounds=3, max_iter=20)
 
 
+def _metrics_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics written as JSON and read back."""
+    path = scratch_path(spark, "metrics")
+    writers.write_metrics(evaluate.binary_metrics(_scored(spark, folder)), path)
+    return _round_doubles(spark.read.json(path))
+
+
+def _run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs appended to one log."""
+    path = scratch_path(spark, "run-log")
+    area = evaluate.roc_auc(_scored(spark, folder))
+    for run, seed in (("first", 42), ("second", 43)):
+        writers.append_run_log(area, path, run, seed=seed)
+    return _round_doubles(spark.read.json(path).drop("logged_at"))
+
+
+def _run_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The metadata row of a split, written and read back without its date."""
+    counts = sampling.stratified_split(tables.chat_corpus(spark, folder)).agg(
+        F.count(F.lit(1)).alias("dataset_size"), F.count_if("is_test").alias("test_samples")
+    ).first()
+    path = scratch_path(spark, "metadata")
+    writers.write_metrics(writers.run_metadata(spark, **counts.asDict(), features_used=len(FEATURES)), path)
+    return spark.read.json(path).drop("training_date")
+
+
 def _streamed(spark: SparkSession, folder: str) -> DataFrame:
     """All documents through the stream, read back from its sink."""
     out = scratch_path(spark, "scores")
@@ -92,6 +120,20 @@ ENTRIES = [
         f"""WITH {_scored_sql(ts.DOCS)} SELECT doc_id, is_ai, human_probability, ai_probability, ai_score
         FROM scored WHERE length({ts.strip('text')}) >= 10""",
     ),
+    Entry(
+        "snk2_write_metrics", _metrics_file,
+        next(e.sql for e in EVALUATION if e.name == "agg5_binary_metrics"),
+    ),
+    Entry(
+        "snk3_append_run_log", _run_log,
+        f"""SELECT a.roc_auc, run_id, seed FROM ({next(e.sql for e in EVALUATION if e.name == "win5_roc_auc")}) a,
+        (VALUES ('first', 42::BIGINT), ('second', 43::BIGINT)) r(run_id, seed)""",
+    ),
+    Entry(
+        "snk4_write_run_metadata", _run_facts,
+        f"""SELECT count(*) AS dataset_size, ceil(count(*) * 0.2::DOUBLE)::BIGINT AS test_samples,
+        15::BIGINT AS features_used FROM ({ts.CHAT})""",
+    ),
     Entry("mod1_fit_forest", _one_model(lambda t: models.fit_forest(t, trees=20, depth=10), "forest")),
     Entry("mod2_fit_boosted", _one_model(lambda t: models.fit_boosted(t, rounds=10), "boosted")),
     Entry("mod3_fit_logistic", _one_model(lambda t: models.fit_logistic(t), "logistic")),

@@ -293,7 +293,7 @@ ENTRIES = [
         _LEXICON_JOIN,
     ),
     Entry(
-        "jn1_lexicon_join_salted",
+        "jn1_lexicon_join_shuffled",
         lambda spark, d: lexicon.lexicon_hits_join(
             tables.documents(spark, d), _lexicon_table(spark, d), broadcast_terms=0
         ),

@@ -11,7 +11,8 @@ from penprint.functions import tokens as tk
 
 # A lexicon of up to this many terms is sent to every executor (some 50 MB at most).
 BROADCAST_TERMS = 500_000
-_SALTS = 16
+# A term in more than this share of the (text, term) rows is hot; so there are fewer than 10,000.
+_HOT_SHARE = 1e-4
 
 
 def lexicon_hits(df: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
@@ -32,42 +33,57 @@ def lexicon_hits_join(
 ) -> DataFrame:
     """``id_col, n_tokens, hits`` against a table of terms (column ``term``) of any size.
 
-    Up to ``broadcast_terms`` rows, counted beforehand, the lexicon is broadcast. Beyond that both
-    sides are shuffled by term and salt: a frequent word is spread over as many tasks as there are
-    salts. Texts without a hit stay, with zero.
+    Up to ``broadcast_terms`` rows, counted beforehand, the lexicon is broadcast and all tokens of a
+    text are reduced to one row before anything is shuffled. A larger lexicon is joined by term, see
+    ``_shuffled_hits``. Texts without a hit stay, with zero.
     """
-    terms = lexicon.select("term").distinct()
+    terms = lexicon.select("term").where(F.col("term").isNotNull()).distinct()
     tokens = df.select(id_col, F.explode_outer(tk.words(F.col(text))).alias("term"))
-    if terms.limit(broadcast_terms + 1).count() <= broadcast_terms:
-        matched = tokens.join(F.broadcast(terms.withColumn("_hit", F.lit(1))), "term", "left")
-    else:
-        counted = tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("_times"))
-        salted = counted.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(_SALTS)))
-        copies = terms.withColumns({
-            "_salt": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))),
-            "_hit": F.lit(1),
-        })
-        joined = salted.join(copies, ["term", "_salt"], "left")
-        return joined.groupBy(id_col).agg(
-            F.sum(F.when(F.col("term").isNotNull(), F.col("_times")).otherwise(0)).alias("n_tokens"),
-            F.sum(F.when(F.col("_hit") == 1, F.col("_times")).otherwise(0)).alias("hits"),
-        )
+    if terms.limit(broadcast_terms + 1).count() > broadcast_terms:
+        return _shuffled_hits(tokens, terms, id_col)
+    matched = tokens.join(F.broadcast(terms.withColumn("_hit", F.lit(1))), "term", "left")
     return matched.groupBy(id_col).agg(
         F.count("term").alias("n_tokens"), F.count("_hit").alias("hits")
     )
 
 
+def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
+    """Join tokens and lexicon by term without sending a frequent word's rows to one task.
+
+    Tokens are first counted per text. Terms in more than one in 10,000 of those rows are hot: there
+    are fewer than 10,000 of them whatever the corpus, so they are looked up in the lexicon once and
+    broadcast. Only the other terms are shuffled.
+    """
+    counted = tokens.groupBy(id_col, "term").agg(F.count("term").alias("_times"))
+    marked = terms.withColumn("_hit", F.lit(1))
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    hot = (
+        counted.where(F.col("term").isNotNull())
+        .groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > total * _HOT_SHARE)
+        .select("term")
+    )
+    hot_rows = counted.join(F.broadcast(hot.join(marked, "term", "left")), "term")
+    cold_rows = counted.join(F.broadcast(hot), "term", "left_anti").join(marked, "term", "left")
+    both = hot_rows.unionByName(cold_rows)
+    return both.groupBy(id_col).agg(
+        F.sum("_times").alias("n_tokens"),
+        F.sum(F.when(F.col("_hit") == 1, F.col("_times")).otherwise(0)).alias("hits"),
+    )
+
+
 def token_counts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """How often each token occurs in each text."""
     tokens = df.select(id_col, F.explode(tk.words(F.col(text))).alias("token"))
     return tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def distinct_ratio(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Distinct tokens, tokens and their ratio per text. Narrow."""
-    listed = df.select(id_col, tk.words(F.col(text)).alias("_words"))
+def distinct_ratio(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """Distinct tokens, tokens and their ratio per text, beside the columns to keep. Narrow."""
+    keep = keep or ("doc_id",)
+    listed = df.select(*keep, tk.words(F.col(text)).alias("_words"))
     sized = listed.select(
-        id_col,
+        *keep,
         F.size(F.array_distinct("_words")).alias("n_distinct"),
         F.size("_words").alias("n_tokens"),
     )

@@ -21,7 +21,7 @@ from penprint.functions.features import FEATURES
 from penprint.functions.rules import add_heuristic_class
 from penprint.operators.evaluate import importance_rank
 from penprint.operators.sampling import kfold
-from penprint.session import cut_lineage
+from penprint.session import cut_lineage, shared_folder
 
 # Settings that must equal the reference's.
 TREES, DEPTH = 100, 15
@@ -91,6 +91,7 @@ def fit_ensemble(
     The fits read the table hundreds of times: pass one whose lineage is cut. Vectors are cached
     for the fits; a lost block is rebuilt from the written table, not from the texts.
     """
+    shared_folder(train.sparkSession)  # boosting cuts its own lineage every ten rounds
     vectors = assemble(train.select("label", *FEATURES)).select("label", "features").persist()
     try:
         rows = vectors.count()
