@@ -44,16 +44,21 @@ def _fields(schema: str) -> list[tuple[str, str]]:
 def read_source_collections(
     spark: SparkSession, human: Sequence[str], ai: Sequence[str]
 ) -> DataFrame:
-    """Files holding one JSON array of objects each; objects without ``text`` are left out.
+    """Files holding one JSON array each; elements that are no objects with ``text`` are left out.
 
-    Returns ``text, label, source``, the source being the file's name without its ending.
+    Returns ``text, label, source``, the source being the file's name without its ending. An array is
+    read as a whole, so one file is one task: spread a large collection over many files.
     """
     parts = []
     for label, paths in ((0, human), (1, ai)):
         if paths:
-            read = spark.read.schema("text string").option("multiLine", True).json(list(paths))
+            files = spark.read.text(list(paths), wholetext=True)
             name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1)
-            parts.append(read.select("text", F.lit(label).alias("label"), name.alias("source")))
+            elements = files.select(
+                F.explode(F.from_json("value", "array<string>")).alias("_element"), name.alias("source")
+            )
+            text = F.get_json_object("_element", "$.text").alias("text")
+            parts.append(elements.select(text, F.lit(label).alias("label"), "source"))
     if not parts:
         raise ValueError("no collection named")
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
