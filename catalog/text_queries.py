@@ -426,14 +426,23 @@ ENTRIES = [
     ),
     Entry(
         "aug2_append_phrase",
-        lambda spark, d: _text_digest(augment.append_phrase(
-            tables.documents(spark, d), augment.TRANSITION_STARTS, augment.TRANSITION_RATE, "transition",
-            after=" more work is needed.",
-        )),
+        lambda spark, d: _text_digest(
+            augment.append_transition(tables.documents(spark, d), "more work is needed.")
+        ),
         _digest_sql(_append_sql(
             augment.TRANSITION_STARTS, augment.TRANSITION_RATE, "transition", after=" more work is needed."
         )),
     ),
+    Entry(
+        "aug2_append_keyword_and_doubt",
+        lambda spark, d: _text_digest(augment.append_doubt(
+            augment.append_keyword(tables.documents(spark, d), "Here a", "counts.")
+        )),
+        f"""SELECT doc_id, md5(text) AS text_md5, length(text)::BIGINT AS chars FROM (
+          SELECT doc_id, {_append_sql((augment.DOUBT,), augment.DOUBT_RATE, 'doubt', before='')} AS text FROM (
+          SELECT doc_id, {_append_sql(augment.KEYWORDS, augment.AI_KEYWORD_RATE, 'keyword', ' Here a ', ' counts.')}
+          AS text FROM documents))""",
+    ),
     Entry(
         "aug3_append_noise",
         lambda spark, d: _text_digest(augment.append_noise(tables.documents(spark, d))),

@@ -38,15 +38,15 @@ PARAGRAPH_CAP = 10.0
 CLAUSE_CAP = 20.0
 LONG_WORD = 7
 
-_ALPHA = rf"(?<!{tk.TOKEN})(\p{{L}}++)(?!{tk.TOKEN})"
 # Each hit runs on to the end of its token, so a token counts once.
 _CONTRACTION = rf"'(?:(?<=n')t|re|ve|ll|d|m|s){tk.TOKEN}*+"
-_GAP = f"[{tk.BLANK}{tk.SENTENCE}]"
+
+# These two read a line whose only blanks are spaces, with one at either end.
+_ALPHA = r" ([a-z]++(?= )|\p{L}++(?= ))"
 
 
 def _passive_pattern(be_forms: Sequence[str]) -> str:
-    forms = "|".join(be_forms)
-    return rf"{_GAP}(?:{forms})(?={_GAP}++{tk.TOKEN}*?ed(?!{tk.TOKEN}))"
+    return rf" (?:{'|'.join(be_forms)})(?= ++[^ ]*?ed )"
 
 
 def moments(values: Column) -> Column:
@@ -103,25 +103,33 @@ def add_features(
         "_t_clause_part": tk.space_punctuation(tk.mark_clauses(clause_source)),
     })
     spaced = punctuated.withColumns({
-        "_t_spaced": tk.space_clitics(col("_t_word_part")),
-        "_t_clauses": tk.space_clitics(col("_t_clause_part")),
+        "_t_spaced": tk.space_clitics(col("_t_text"), col("_t_word_part")),
+        "_t_clauses": tk.space_clitics(col("_t_text"), col("_t_clause_part")),
     })
 
-    x = col("_t_spaced")
-    measured = spaced.withColumns({
-        "_t_words": tk.token_array(x),
-        "_t_alpha": F.regexp_extract_all(x, F.lit(_ALPHA), F.lit(1)),
+    even = spaced.withColumn("_t_even", tk.even_blanks(col("_t_spaced"), marks=""))
+    lines = even.withColumn("_t_line", F.concat(
+        F.lit(" "), F.replace(col("_t_even"), F.lit(tk.SENTENCE), F.lit(" ")), F.lit(" ")
+    ))
+
+    x, line = col("_t_spaced"), col("_t_line")
+    measured = lines.withColumns({
+        "_t_words": tk.split_even(line),
+        "_t_alpha": F.regexp_extract_all(line, F.lit(_ALPHA), F.lit(1)),
         "_t_contractions": F.when(
             F.contains(x, F.lit("'")), F.regexp_count(x, F.lit(_CONTRACTION))
         ).otherwise(0),
-        "_t_passives": F.regexp_count(F.concat(F.lit(" "), x), F.lit(_passive_pattern(be_forms))),
-        "_t_sentences": F.transform(
-            tk.sentence_array(x),
-            lambda s: F.struct(
-                tk.token_count(s).cast("double").alias("tokens"),
-                (F.length(s) - F.length(F.replace(s, F.lit(","), F.lit(""))) + 1)
-                .cast("double").alias("comma_parts"),
+        "_t_passives": F.regexp_count(line, F.lit(_passive_pattern(be_forms))),
+        "_t_sentences": F.filter(
+            F.transform(
+                F.split(col("_t_even"), tk.SENTENCE),
+                lambda s: F.struct(
+                    F.size(tk.split_even(s)).cast("double").alias("tokens"),
+                    (F.length(s) - F.length(F.replace(s, F.lit(","), F.lit(""))) + 1)
+                    .cast("double").alias("comma_parts"),
+                ),
             ),
+            lambda s: s["tokens"] > 0,
         ),
         "_t_paragraph_words": F.when(
             F.contains(col("_t_text"), F.lit("\n\n")),

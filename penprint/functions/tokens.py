@@ -65,20 +65,18 @@ def space_punctuation(text: Column) -> Column:
     return F.regexp_replace(text, _PUNCTUATION, " $1 $2")
 
 
-def space_clitics(text: Column) -> Column:
-    """Put blanks around the clitics of a text whose punctuation is spaced already."""
-    spaced = F.regexp_replace(text, _CLITIC, " $0 ")
-    return F.when(F.contains(text, F.lit("'")), spaced).otherwise(text)
+def space_clitics(text: Column, punctuated: Column) -> Column:
+    """Put blanks around the clitics of a text whose punctuation is spaced already.
 
-
-def space_tokens(text: Column) -> Column:
-    """Put blanks between the tokens of every marked stretch of ``text``."""
-    return space_clitics(space_punctuation(text))
+    ``text`` is any earlier form of it: one without an apostrophe has no clitics to look for.
+    """
+    spaced = F.regexp_replace(punctuated, _CLITIC, " $0 ")
+    return F.when(F.contains(text, F.lit("'")), spaced).otherwise(punctuated)
 
 
 def spaced_words(text: Column) -> Column:
     """Sentence marks and token blanks in one string: the form the features count on."""
-    return space_tokens(mark_sentences(text))
+    return space_clitics(text, space_punctuation(mark_sentences(text)))
 
 
 def spaced_clauses(text: Column, sentences_in_clauses: bool = True) -> Column:
@@ -87,16 +85,32 @@ def spaced_clauses(text: Column, sentences_in_clauses: bool = True) -> Column:
     The word tokenizer looks for sentences in whatever it is given, so by default a clause that
     spans a full stop is tokenised as two sentences. ``False`` takes each clause as one piece.
     """
-    return space_tokens(mark_clauses(mark_sentences(text) if sentences_in_clauses else text))
+    pieces = mark_clauses(mark_sentences(text) if sentences_in_clauses else text)
+    return space_clitics(text, space_punctuation(pieces))
+
+
+def even_blanks(text: Column, marks: str = MARKS) -> Column:
+    """One kind of blank: white space and the given marks become spaces.
+
+    Literal replacement works on the bytes, and a split at a single space needs no pattern either.
+    """
+    for c in "\t\n\r\f\u000b" + marks:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
+def split_even(even: Column) -> Column:
+    """The tokens of a string whose only blanks are spaces."""
+    return F.array_remove(F.split(even, " "), "")
 
 
 def token_array(spaced: Column) -> Column:
     """The tokens of a spaced string, in text order."""
-    return F.regexp_extract_all(spaced, F.lit(f"{TOKEN}++"), F.lit(0))
+    return split_even(even_blanks(spaced))
 
 
 def token_count(spaced: Column) -> Column:
-    return F.regexp_count(spaced, F.lit(f"{TOKEN}++"))
+    return F.size(token_array(spaced))
 
 
 def clause_count(spaced: Column) -> Column:
@@ -104,11 +118,6 @@ def clause_count(spaced: Column) -> Column:
     return F.regexp_count(spaced, F.lit(f"{TOKEN}[^{CLAUSE}]*+"))
 
 
-def sentence_array(spaced: Column) -> Column:
-    """The sentences of a spaced string that hold a token."""
-    return F.filter(F.split(spaced, SENTENCE), lambda s: s.rlike(TOKEN))
-
-
 def words(text: Column) -> Column:
     """Word tokens of the lower-cased text."""
     return token_array(spaced_words(F.lower(text)))
@@ -135,7 +144,7 @@ def paragraphs(text: Column) -> Column:
 
 def whitespace_words(text: Column) -> Column:
     """Words by white space alone."""
-    return F.regexp_extract_all(text, F.lit(f"[^{BLANK}]++"), F.lit(0))
+    return split_even(even_blanks(text, ""))
 
 
 def strip(text: Column) -> Column:

@@ -41,7 +41,8 @@ EMOJIS = ("😂", "😅", "🙂", "🙃", "🥲", "🤦‍♂️", "🤷‍♀
 ENDINGS = ("...", "?!", "!!!")
 DOUBT = " I think."
 SLANG_RATE, EMOJI_RATE, ENDING_RATE, DOTS_RATE, DOUBT_RATE = 0.5, 0.35, 0.4, 0.2, 0.3
-CLAUSE_RATE, KEYWORD_RATE, TRANSITION_RATE, CLOSING_RATE = 0.5, 0.6, 0.5, 0.3
+CLAUSE_RATE, TRANSITION_RATE, CLOSING_RATE = 0.5, 0.5, 0.3
+HUMAN_KEYWORD_RATE, AI_KEYWORD_RATE = 0.25, 0.6
 TYPO_MIN_WORDS, TYPO_WORDS_PER_PLACE, TYPO_MIN_LENGTH, TYPO_RATE = 4, 15, 5, 0.5
 
 # --- End of fixed values. ---
@@ -77,6 +78,27 @@ def append_phrase(
     return df.withColumn("text", F.when(hit, longer).otherwise(F.col("text")))
 
 
+def append_doubt(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    return append_phrase(df, (DOUBT,), DOUBT_RATE, "doubt", seed, id_col, before="")
+
+
+def append_transition(
+    df: DataFrame, clause: str, seed: int = 42, id_col: str = "doc_id"
+) -> DataFrame:
+    """A transition word and the given clause."""
+    return append_phrase(
+        df, TRANSITION_STARTS, TRANSITION_RATE, "transition", seed, id_col, after=f" {clause}"
+    )
+
+
+def append_keyword(
+    df: DataFrame, before: str, after: str, rate: float = AI_KEYWORD_RATE, seed: int = 42,
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """A keyword inside the given words."""
+    return append_phrase(df, KEYWORDS, rate, "keyword", seed, id_col, f" {before} ", f" {after}")
+
+
 def append_noise(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Slang, an emoji and repeated end punctuation, each at its own rate."""
     noisy = append_phrase(df, SLANG, SLANG_RATE, "slang", seed, id_col)

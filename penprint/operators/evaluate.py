@@ -187,7 +187,10 @@ def _running(df: DataFrame) -> DataFrame:
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
     clipped = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    binned = by_score.withColumn("_bin", F.floor(clipped * CURVE_BINS).cast("int"))
+    # A bin that cannot be null: else the join below would add a null check, which is pushed into the
+    # scan and computes every score once more there. A missing score ranks last.
+    bin_of = F.coalesce(F.floor(clipped * CURVE_BINS).cast("int"), F.lit(0))
+    binned = by_score.withColumn("_bin", bin_of)
     above = Window.partitionBy(F.lit(0)).orderBy(F.desc("_bin")).rowsBetween(
         Window.unboundedPreceding, -1
     )

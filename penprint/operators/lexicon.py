@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import tokens as tk
+from penprint.session import cut_lineage
 
 # A lexicon of up to this many terms is sent to every executor (some 50 MB at most).
 BROADCAST_TERMS = 500_000
@@ -50,11 +51,11 @@ def lexicon_hits_join(
 def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
     """Join tokens and lexicon by term without sending a frequent word's rows to one task.
 
-    Tokens are first counted per text. Terms in more than one in 10,000 of those rows are hot: there
+    Tokens are first counted per text and written, since four parts of the plan read them. Terms in more than one in 10,000 of those rows are hot: there
     are fewer than 10,000 of them whatever the corpus, so they are looked up in the lexicon once and
     broadcast. Only the other terms are shuffled.
     """
-    counted = tokens.groupBy(id_col, "term").agg(F.count("term").alias("_times"))
+    counted = cut_lineage(tokens.groupBy(id_col, "term").agg(F.count("term").alias("_times")))
     marked = terms.withColumn("_hit", F.lit(1))
     total = counted.agg(F.count(F.lit(1))).scalar()
     hot = (
