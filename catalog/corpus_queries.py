@@ -44,6 +44,19 @@ def _text_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.groupBy(F.md5("text").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _collections(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as JSON arrays of up to 1000 objects, one file each, and read back by folder."""
+    path = scratch_path(spark, "collections")
+    texts = tables.table(spark, folder, "documents")
+    for name, chosen in (("human", F.col("lang") == "en"), ("ai", F.col("lang") != "en")):
+        arrays = texts.where(chosen).groupBy(F.floor(F.col("doc_id") / 1000)).agg(
+            F.to_json(F.collect_list(F.struct("doc_id", "text"))).alias("value")
+        )
+        arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/{name}")
+    read = readers.read_source_collections(spark, [f"{path}/human"], [f"{path}/ai"])
+    return read.groupBy(F.md5("text").alias("text_md5"), "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _layout_a(spark: SparkSession, folder: str) -> DataFrame:
     """The documents in raw layout A."""
     return tables.doc_corpus(spark, folder).select(
@@ -100,6 +113,11 @@ ENTRIES = [
         "src1_read_labeled_csv", _csv_round_trip,
         f"SELECT label, {_TEXT} FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.CHAT}))",
     ),
+    Entry(
+        "src2_read_source_collections", _collections,
+        """SELECT md5(text) AS text_md5, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS label, count(*) AS n
+        FROM documents GROUP BY ALL""",
+    ),
     Entry(
         "src3_read_text_lines", _text_lines,
         f"""SELECT md5(line) AS line_md5, count(*) AS n FROM (

@@ -406,6 +406,13 @@ ENTRIES = [
         count(*) FILTER (NOT is_ai) / count(*)::DOUBLE AS human_share
         FROM scored WHERE length({ts.strip('text')}) >= 1""",
     ),
+    Entry(
+        "agg11_scoring_rate",
+        lambda spark, d: score.scoring_rate(tables.documents(spark, d)).select(
+            "rows", (F.col("ms_per_text") > 0).alias("measured")
+        ),
+        f"SELECT count(*) AS rows, true AS measured FROM documents WHERE length({ts.strip('text')}) >= 10",
+    ),
     Entry(
         "mod6_predict_or_heuristic",
         lambda spark, d: score.score_texts(tables.chat_corpus(spark, d).select("doc_id", "text")).drop("text"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from penprint.functions import rules
@@ -47,3 +49,20 @@ def combined_analysis(df: DataFrame, ensemble: Ensemble | None = None) -> DataFr
         "ai_probability", "human_probability",
         rules.profile_struct().alias("detailed_analysis"),
     )
+
+
+def scoring_rate(df: DataFrame, ensemble: Ensemble | None = None) -> DataFrame:
+    """Rows scored, seconds and milliseconds per text of one full scoring run.
+
+    Rows are counted while they are scored; the predictions go nowhere.
+    """
+    observed = Observation()
+    scored = score_texts(df, ensemble).observe(observed, F.count(F.lit(1)).alias("rows"))
+    start = time.monotonic()
+    scored.write.format("noop").mode("overwrite").save()
+    seconds = time.monotonic() - start
+    rows = observed.get["rows"]
+    return df.sparkSession.createDataFrame(
+        [(rows, seconds, 1000.0 * seconds / max(rows, 1))],
+        "rows long, seconds double, ms_per_text double",
+    )
