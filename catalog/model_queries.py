@@ -109,7 +109,8 @@ def _streamed(spark: SparkSession, folder: str) -> DataFrame:
     """All documents through the stream, read back from its sink."""
     out = scratch_path(spark, "scores")
     source = stream.read_text_stream(spark, folder, "documents.parquet")
-    query = stream.start_scoring(stream.score_stream(source), out, f"{out}-checkpoint", once=True)
+    scored = stream.score_stream(source, partitions=2 * spark.sparkContext.defaultParallelism)
+    query = stream.start_scoring(scored, out, f"{out}-checkpoint", once=True)
     query.awaitTermination()
     return spark.read.parquet(out)
 

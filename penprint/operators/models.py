@@ -29,6 +29,9 @@ ROUNDS, RATE, BOOST_DEPTH = 100, 0.1, 3
 MAX_ITER = 1000
 SEED = 42
 
+# A fit runs hundreds of short jobs, so a task should have at least this many rows to work on.
+_ROWS_PER_TASK = 1_000
+
 
 @dataclass(frozen=True)
 class Ensemble:
@@ -92,9 +95,11 @@ def fit_ensemble(
     for the fits; a lost block is rebuilt from the written table, not from the texts.
     """
     shared_folder(train.sparkSession)  # boosting cuts its own lineage every ten rounds
-    vectors = assemble(train.select("label", *FEATURES)).select("label", "features").persist()
+    rows = train.count()
+    vectors = assemble(train.select("label", *FEATURES)).select("label", "features")
+    # Fewer tasks for small tables; no effect on a table with fewer partitions than that.
+    vectors = vectors.coalesce(rows // _ROWS_PER_TASK + 1).persist()
     try:
-        rows = vectors.count()
         return Ensemble(
             fit_forest(vectors, trees, depth, seed),
             fit_boosted(vectors, rounds, seed=seed),

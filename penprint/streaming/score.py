@@ -9,9 +9,21 @@ from penprint.operators.models import Ensemble
 from penprint.plans.score import PREDICTION, score_texts
 
 
-def score_stream(stream: DataFrame, ensemble: Ensemble | None = None, at_least: int = 10) -> DataFrame:
-    """Predictions for a stream with ``doc_id, text``."""
-    return score_texts(stream.select("doc_id", "text"), ensemble, at_least).select("doc_id", *PREDICTION)
+def score_stream(
+    stream: DataFrame,
+    ensemble: Ensemble | None = None,
+    at_least: int = 10,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Predictions for a stream with ``doc_id, text``.
+
+    ``partitions`` spreads every micro-batch over so many tasks, for streams of few small files that
+    would not keep the cores busy. Leave it out where batches bring files enough.
+    """
+    texts = stream.select("doc_id", "text")
+    if partitions is not None:
+        texts = texts.repartition(partitions, "doc_id")
+    return score_texts(texts, ensemble, at_least).select("doc_id", *PREDICTION)
 
 
 def read_text_stream(
