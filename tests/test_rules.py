@@ -80,3 +80,10 @@ def test_batch(spark):
     empty = score.batch_summary(df.where("doc_id > 9")).first()
     assert tuple(empty) == (0, 0, 0, 0.0, 0.0)
     assert score.score_texts(df, at_least=10).count() == 1
+
+
+def test_scoring_rate(spark):
+    df = spark.createDataFrame([(i, f"a text of some length {i}") for i in range(20)], "doc_id long, text string")
+    row = score.scoring_rate(df).first()
+    assert row["rows"] == 20 and row["seconds"] > 0
+    assert row["ms_per_text"] == pytest.approx(1000 * row["seconds"] / 20)
