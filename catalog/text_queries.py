@@ -322,8 +322,8 @@ ENTRIES = [
     ),
     Entry(
         "win3_adjacent_pairs",
-        lambda spark, d: add_features(_marked(tables.documents(spark, d)), keep_counts=True).select(
-            "doc_id", F.round(F.col("passive_ratio") * F.greatest("n_sentences", F.lit(1))).cast("bigint").alias("pairs")
+        lambda spark, d: lexicon.adjacent_pairs(_marked(tables.documents(spark, d))).select(
+            "doc_id", F.col("pairs").cast("bigint").alias("pairs")
         ),
         f"""WITH e AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS i FROM (
             SELECT doc_id, {ts.words('lt')} AS w FROM (SELECT doc_id, lower(text) AS lt FROM ({_MARKED})))),

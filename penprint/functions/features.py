@@ -41,14 +41,10 @@ LONG_WORD = 7
 # Each hit runs on to the end of its token, so a token counts once.
 _CONTRACTION = rf"'(?:(?<=n')t|re|ve|ll|d|m|s){tk.TOKEN}*+"
 
-# These two read a line whose only blanks are spaces, with one at either end.
+# Read on a line whose only blanks are spaces, with one at either end.
 _ALPHA = r" ([a-z]++(?= )|\p{L}++(?= ))"
 
 
-def _passive_pattern(be_forms: Sequence[str]) -> str:
-    return rf" (?:{'|'.join(be_forms)})(?= ++[^ ]*?ed )"
-
-
 def moments(values: Column) -> Column:
     """Count, mean and summed squared deviation of an array of doubles, in one stable pass."""
     zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
@@ -119,7 +115,7 @@ def add_features(
         "_t_contractions": F.when(
             F.contains(x, F.lit("'")), F.regexp_count(x, F.lit(_CONTRACTION))
         ).otherwise(0),
-        "_t_passives": F.regexp_count(line, F.lit(_passive_pattern(be_forms))),
+        "_t_passives": F.regexp_count(line, F.lit(tk.pair_pattern(be_forms, "ed"))),
         "_t_sentences": F.filter(
             F.transform(
                 F.split(col("_t_even"), tk.SENTENCE),

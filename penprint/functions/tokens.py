@@ -9,6 +9,9 @@ backtracking over long runs.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,6 +102,16 @@ def even_blanks(text: Column, marks: str = MARKS) -> Column:
     return text
 
 
+def even_line(spaced: Column) -> Column:
+    """A spaced string whose only blanks are spaces, with one at either end."""
+    return F.concat(F.lit(" "), even_blanks(spaced), F.lit(" "))
+
+
+def pair_pattern(first: Sequence[str], suffix: str) -> str:
+    """On an even line: one of some tokens, followed by a token with a suffix."""
+    return rf" (?:{'|'.join(map(re.escape, first))})(?= ++[^ ]*?{re.escape(suffix)} )"
+
+
 def split_even(even: Column) -> Column:
     """The tokens of a string whose only blanks are spaces."""
     return F.array_remove(F.split(even, " "), "")

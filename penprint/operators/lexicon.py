@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import tokens as tk
+from penprint.functions.lexicons import BE_FORMS
 from penprint.session import cut_lineage
 
-# A lexicon of up to this many terms is sent to every executor (some 50 MB at most).
+# A lexicon within both limits is sent to every executor.
 BROADCAST_TERMS = 500_000
+BROADCAST_BYTES = 64 * 2**20
 # A term in more than this share of the (text, term) rows is hot; so there are fewer than 10,000.
 _HOT_SHARE = 1e-4
 
@@ -34,13 +36,16 @@ def lexicon_hits_join(
 ) -> DataFrame:
     """``id_col, n_tokens, hits`` against a table of terms (column ``term``) of any size.
 
-    Up to ``broadcast_terms`` rows, counted beforehand, the lexicon is broadcast and all tokens of a
-    text are reduced to one row before anything is shuffled. A larger lexicon is joined by term, see
-    ``_shuffled_hits``. Texts without a hit stay, with zero.
+    A lexicon measured to be within ``broadcast_terms`` rows and ``BROADCAST_BYTES`` is broadcast, and
+    all tokens of a text are reduced to one row before anything is shuffled. A larger lexicon is joined
+    by term, see ``_shuffled_hits``. Texts without a hit stay, with zero.
     """
     terms = lexicon.select("term").where(F.col("term").isNotNull()).distinct()
     tokens = df.select(id_col, F.explode_outer(tk.words(F.col(text))).alias("term"))
-    if terms.limit(broadcast_terms + 1).count() > broadcast_terms:
+    size = terms.limit(broadcast_terms + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")
+    ).first()
+    if size["n"] > broadcast_terms or size["bytes"] > BROADCAST_BYTES:
         return _shuffled_hits(tokens, terms, id_col)
     matched = tokens.join(F.broadcast(terms.withColumn("_hit", F.lit(1))), "term", "left")
     return matched.groupBy(id_col).agg(
@@ -73,6 +78,14 @@ def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFram
     )
 
 
+def adjacent_pairs(
+    df: DataFrame, first: Sequence[str] = BE_FORMS, suffix: str = "ed", text: str = "text"
+) -> DataFrame:
+    """Add ``pairs``: how often one of ``first`` is followed by a token with the suffix. Narrow."""
+    line = tk.even_line(tk.spaced_words(F.lower(F.col(text))))
+    return df.withColumn("pairs", F.regexp_count(line, F.lit(tk.pair_pattern(first, suffix))))
+
+
 def token_counts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """How often each token occurs in each text."""
     tokens = df.select(id_col, F.explode(tk.words(F.col(text))).alias("token"))

@@ -42,3 +42,21 @@ def test_counts(spark, corpus):
     row = lexicon.distinct_ratio(corpus.where("doc_id = 0")).first()
     assert (row["n_distinct"], row["n_tokens"]) == (9, 10)
     assert row["ratio"] == 0.9
+
+
+def test_pairs(spark):
+    rows = [(1, "It is used. It was seen; they are listed and are named"), (2, "is. edited"), (3, "is is ed ed"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["pairs"] for r in lexicon.adjacent_pairs(df).collect()}
+    want = {i: sum(a in ("is", "are", "was") and b.endswith("ed") for a, b in zip(w, w[1:]))
+            for i, w in ((i, brute.words(t.lower())) for i, t in rows)}
+    assert got == want == {1: 3, 2: 0, 3: 1, 4: 0}
+    odd = spark.createDataFrame([(1, "a+ bing a ring a+ ring")], "doc_id long, text string")
+    assert lexicon.adjacent_pairs(odd, ["a+"], "ing").first()["pairs"] == 2
+
+
+def test_bulky_lexicon_is_not_broadcast(spark, corpus, monkeypatch):
+    monkeypatch.setattr(lexicon, "BROADCAST_BYTES", 3)
+    table = spark.createDataFrame([("again",)], "term string")
+    rows = lexicon.lexicon_hits_join(corpus, table).where("hits = 2").count()
+    assert rows == 334
