@@ -49,7 +49,7 @@ def _one_model(fit, prefix: str):
     """Probability of one of the three models on the test rows."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         fitted, test = _split(spark, folder)
-        model = fit(models.assemble(fitted))
+        model = fit(models.training_vectors(fitted))
         scored = model.transform(models.assemble(test))
         probability = models.vector_to_array(f"_{prefix}_probability")[1]
         return scored.select("doc_id", "label", probability.alias("ai_probability"))
@@ -59,7 +59,7 @@ def _one_model(fit, prefix: str):
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
     fitted, _ = _split(spark, folder)
-    forest = models.fit_forest(models.assemble(fitted), trees=10, depth=5)
+    forest = models.fit_forest(models.training_vectors(fitted), trees=10, depth=5)
     values = [float(v) for v in forest.featureImportances.toArray()]
     table = spark.createDataFrame(list(zip(FEATURES, values)), "feature string, importance double")
     return evaluate.importance_rank(table)

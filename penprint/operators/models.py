@@ -50,6 +50,13 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
 
+def training_vectors(train: DataFrame) -> DataFrame:
+    """``label, features`` of a feature table, in fewer tasks where the table is small."""
+    vectors = assemble(train.select("label", *FEATURES)).select("label", "features")
+    # No effect on a table that has fewer partitions than that.
+    return vectors.coalesce(train.count() // _ROWS_PER_TASK + 1)
+
+
 def _named(estimator, prefix: str):
     """Give an estimator output columns of its own, so that three can run over one table."""
     return (
@@ -95,11 +102,9 @@ def fit_ensemble(
     for the fits; a lost block is rebuilt from the written table, not from the texts.
     """
     shared_folder(train.sparkSession)  # boosting cuts its own lineage every ten rounds
-    rows = train.count()
-    vectors = assemble(train.select("label", *FEATURES)).select("label", "features")
-    # Fewer tasks for small tables; no effect on a table with fewer partitions than that.
-    vectors = vectors.coalesce(rows // _ROWS_PER_TASK + 1).persist()
+    vectors = training_vectors(train).persist()
     try:
+        rows = vectors.count()
         return Ensemble(
             fit_forest(vectors, trees, depth, seed),
             fit_boosted(vectors, rounds, seed=seed),
