@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.entry import Entry
-from penprint.llm import quality_rules
-from penprint.llm.sql import OP6_SQL
+from penprint.llm import histogram_sort, quality_rules, source_mixing
+from penprint.llm.sql import OP4_SQL, OP6_SQL, OP9_SQL
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,26 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that the mix takes of every document."""
+    plan, _, _ = source_mixing.plan_mix(_table(spark, folder, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard and place, under the law of near equal bytes."""
+    placed = histogram_sort.shard_documents(_table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id",
+        histogram_sort.text_bytes("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 ENTRIES = [
+    Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
     Entry("op6_quality_rules", op6_quality_rules, OP6_SQL),
+    Entry("op9_histogram_sort", op9_histogram_sort, OP9_SQL),
 ]

@@ -43,3 +43,84 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          AND n_stop / n >= 0.03 AND n_dup_lines / greatest(n_lines, 1)::DOUBLE <= 0.4 AS kept
 FROM b
 """
+
+OP4_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, md5(coalesce(text, '')) AS digest,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size
+  FROM documents
+), k AS (
+  SELECT *, ('0x' || md5('0:' || coalesce(doc_id::VARCHAR, chr(0)) || ':' || digest)[1:15])::BIGINT AS key FROM d
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, (rank - 1) % 3 + 1 AS weight, 3 * source_size AS cap, sum(source_size) OVER () AS words FROM s
+), l AS (
+  SELECT *, (words - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS own
+  FROM w
+), v AS (
+  SELECT *, (SELECT min_by(own, cap / weight) FROM l WHERE own * weight <= cap) AS level FROM l
+), t AS (
+  SELECT source, source_size, rank, least(cap::DOUBLE, level * weight) AS target,
+         greatest(1, words // {1 << 20})::BIGINT AS block, words FROM v
+), seats AS (
+  SELECT rank, row_number() OVER (ORDER BY target / (2 * a + 1) DESC, rank) AS nth, words // block AS house
+  FROM (SELECT *, unnest(range(0, (target / block)::BIGINT + 3)) AS a FROM t)
+), q AS (
+  SELECT rank, count(*) AS given FROM seats WHERE nth <= house GROUP BY rank
+), b AS (
+  SELECT t.*, ceil(source_size / block)::BIGINT AS nb,
+         least(coalesce(given, 0), 3 * greatest(ceil(source_size / block)::BIGINT, 1)) AS quota
+  FROM t LEFT JOIN q USING (rank)
+), c AS (
+  SELECT *, quota // greatest(nb, 1) AS passes, quota % greatest(nb, 1) AS more,
+         ('0x' || md5('0:arc:' || coalesce(source, chr(0)))[1:15])::BIGINT % greatest(nb, 1) AS start,
+         greatest(nb, 1) * block AS line_end
+  FROM b
+), p AS (
+  SELECT k.*, c.source_size, c.target, c.passes, c.line_end, c.start * c.block AS a, (c.start + c.more) * c.block AS z,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.digest
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM k JOIN c ON k.source IS NOT DISTINCT FROM c.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * passes + greatest(0, least(pos + size, least(z, line_end)) - greatest(pos, a))
+        + greatest(0, least(pos + size, greatest(0, z - line_end)) - pos))::BIGINT AS taken
+FROM p
+"""
+
+#: CTEs crc_table and crc(rid, crc): CRC-32 of the UTF-8 bytes of ``bytes(rid, b)``, by the polynomial's table.
+_CRC = """
+crc_step(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_step WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY i) AS tab FROM crc_step WHERE k = 8
+), crc AS (
+  SELECT rid, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+  FROM bytes, crc_table
+)"""
+
+OP9_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size, coalesce(text, '') AS text,
+         ('0x' || md5('0' || coalesce(':' || doc_id, ''))[1:15])::BIGINT AS key
+  FROM documents
+), c AS (
+  SELECT *, sum(size) OVER () AS total,
+         sum(size) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM d
+), s AS (
+  SELECT *, (24 * before // total)::INT AS shard FROM c
+), hexed AS (
+  SELECT rid, hex(encode(text)) AS h FROM d
+), bytes AS (
+  SELECT rid, list_transform(range(0, length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT) AS b FROM hexed
+), {_CRC}
+SELECT doc_id, size, crc.crc AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS slot, NULL::INT AS grown_shard
+FROM s JOIN crc USING (rid)
+"""
