@@ -7,53 +7,65 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SETTING = "spark.checkpoint.dir"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one.
 
-    Only where it is unset, as in tests on one machine, a temporary folder is made.
+    A session on one machine (a ``local`` master, as in tests) may leave it unset and gets a temporary
+    folder; a cluster without the setting raises, since a local path is a different disk on each machine.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named.rstrip("/")
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="penprint-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    named = spark.conf.get(_SETTING, None)
+    if not named:
+        named = context.getCheckpointDir()
+    if not named:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="penprint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; ``clear_scratch`` removes it."""
+    return f"{shared_folder(spark)}/penprint-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in this application's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder, so that lost executors never cause it to be recomputed."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application wrote, through the file system that Spark uses for it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition an input too small to fill the cluster's cores with full scan splits.
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application wrote to its folder; tables read from there end with it."""
+    remove_path(spark, run_folder(spark))
 
-    A small file is read as one task, which would leave all token work to one core. An input of at
-    least one full split per core is left alone: at scale no shuffle is added.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB"))
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(4 * cores, key) if int(size) < cores * split else df
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: lost executors never recompute it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-_UNITS = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder, so that lost executors never cause it to be recomputed."""
+    return stored(df, "cut")
 
 
-def _bytes(setting: str) -> int:
-    digits = setting.lower().rstrip("b")
-    unit = _UNITS.get(digits[-1:], 1)
-    return int(digits.rstrip("kmgt")) * unit
+def spread(df: DataFrame, key: str, at_least: int = 32) -> DataFrame:
+    """Repartition by ``key`` an input that is read in fewer than ``at_least`` tasks.
+
+    A small file is read as one task, which would leave all token work to one core. The number does not
+    follow the cluster, and an input with enough partitions is left alone: no shuffle is added at scale.
+    """
+    return df.repartition(at_least, key) if df.rdd.getNumPartitions() < at_least else df
