@@ -68,7 +68,8 @@ def block_quotas(targets: DataFrame, n_shards: int) -> DataFrame:
     right sum; the few missing go to the highest next quotients, the few too many are taken from the lowest.
     """
     total = F.sum("target").over(Window.partitionBy())
-    shards = targets.select("rank", "target", "house", total.alias("total"), F.explode(F.sequence(F.lit(1), F.lit(n_shards))).alias("k"))
+    totals = targets.select("rank", "target", "house", total.alias("total"))
+    shards = totals.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_shards))).alias("k"))
     houses = shards.withColumn("house", F.floor(F.col("house") * F.col("k") / n_shards).cast("bigint"))
     quota = F.when(F.col("total") > 0, F.col("target") * F.col("house") / F.col("total")).otherwise(0.0)
     by_k = Window.partitionBy("k")
