@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.entry import Entry
-from penprint.llm import histogram_sort, quality_rules, source_mixing
-from penprint.llm.sql import OP4_SQL, OP6_SQL, OP9_SQL
+from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc
+from penprint.llm.sql import OP4_SQL, OP6_SQL, OP8_SQL, OP9_SQL
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,12 +25,24 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, from the files."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.read_documents(token_files.write_token_files(_table(spark, folder, "documents"), path))
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The words that the mix takes of every document."""
     plan, _, _ = source_mixing.plan_mix(_table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """What the archives say of every page."""
+    manifest = warc.write_archives(_table(spark, folder, "pages"))
+    return warc.read_archives(manifest, payloads=False).drop("payload")
+
+
 def op9_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard and place, under the law of near equal bytes."""
     placed = histogram_sort.shard_documents(_table(spark, folder, "documents"))
@@ -43,7 +56,9 @@ def op9_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ENTRIES = [
+    Entry("op3_token_files", op3_token_files),
     Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
     Entry("op6_quality_rules", op6_quality_rules, OP6_SQL),
+    Entry("op8_warc", op8_warc, OP8_SQL),
     Entry("op9_histogram_sort", op9_histogram_sort, OP9_SQL),
 ]

@@ -124,3 +124,21 @@ SELECT doc_id, size, crc.crc AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS slot, NULL::INT AS grown_shard
 FROM s JOIN crc USING (rid)
 """
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), f AS (
+  SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS hex, min(page_id) OVER (PARTITION BY h) AS first FROM p
+), b AS (
+  SELECT *, list_reduce(list_transform(range(0, 40), lambda i: lpad(bin(('0x' || hex[i + 1])::INT), 4, '0')), lambda x, y: x || y) AS bits
+  FROM f
+)
+SELECT page_id, payload_bytes,
+       list_reduce(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+         (16 * bits[5 * i + 1]::INT + 8 * bits[5 * i + 2]::INT + 4 * bits[5 * i + 3]::INT + 2 * bits[5 * i + 4]::INT
+          + bits[5 * i + 5]::INT) + 1]), lambda x, y: x || y) AS payload_digest,
+       CASE WHEN page_id IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
