@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.entry import Entry
-from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc
-from penprint.llm.sql import OP4_SQL, OP6_SQL, OP8_SQL, OP9_SQL
+from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc, winnowing
+from penprint.llm.sql import OP4_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,17 @@ def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = winnowing.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """What the archives say of every page."""
     manifest = warc.write_archives(_table(spark, folder, "pages"))
@@ -59,6 +70,7 @@ ENTRIES = [
     Entry("op3_token_files", op3_token_files),
     Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
     Entry("op6_quality_rules", op6_quality_rules, OP6_SQL),
+    Entry("op7_winnowing", op7_winnowing, OP7_SQL),
     Entry("op8_warc", op8_warc, OP8_SQL),
     Entry("op9_histogram_sort", op9_histogram_sort, OP9_SQL),
 ]

@@ -142,3 +142,30 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM b
 """
+
+_ITEM_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_ITEM_WORDS} AS w FROM documents
+), i AS (
+  SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+), iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM i)
+), dw AS (
+  SELECT rid, p, n, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+), h AS (
+  SELECT rid, p, dw.n, item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.n = iw.n
+), c AS (
+  SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS x FROM h) GROUP BY rid
+), it AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM h) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN it USING (rid)
+"""
