@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from penprint.llm import files
 from penprint.llm.exprs import quoted
-from penprint.session import scratch_path, stored
+from penprint.session import scratch_path, spread, stored
 
 SEGMENT_BYTES = 32 << 10
 FILE_BYTES = 32 << 20
@@ -268,7 +268,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 })
             yield pa.RecordBatch.from_pylist(rows, schema=result)
 
-    parsed = manifest.select("path").repartition("path").mapInArrow(parse, _READ_DDL)
+    parsed = spread(manifest.select("path"), "path").mapInArrow(parse, _READ_DDL)
     whole = F.col("number").isNull()
     first = F.col("record_type") != "continuation"
     records = parsed.groupBy("origin").agg(
