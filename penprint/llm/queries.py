@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.entry import Entry
-from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc, winnowing
+from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc, weighted_minhash, winnowing
 from penprint.llm.sql import OP4_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL
 
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    classes = weighted_minhash.near_classes(_table(spark, folder, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality_rules.judge(_table(spark, folder, "documents"))
@@ -69,6 +75,7 @@ def op9_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
 ENTRIES = [
     Entry("op3_token_files", op3_token_files),
     Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
+    Entry("op5_weighted_minhash", op5_weighted_minhash),
     Entry("op6_quality_rules", op6_quality_rules, OP6_SQL),
     Entry("op7_winnowing", op7_winnowing, OP7_SQL),
     Entry("op8_warc", op8_warc, OP8_SQL),

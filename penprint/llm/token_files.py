@@ -14,12 +14,15 @@ not read.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from tokenizers import Tokenizer
 
 from penprint.llm import files
 from penprint.llm.exprs import quoted
-from penprint.session import scratch_path, stored
+from penprint.session import scratch_path, spread, stored
 
 END_ID = 1
 SEQUENCE = 2048
@@ -35,9 +38,12 @@ SEQUENCE = 2048
 BATCH = 64
 #: Pieces of text whose ids a Python worker remembers.
 CACHE = 300_000
+#: Bytes of text that a worker encodes at a time.
+CHARS = 4 << 20
 
 _MANIFEST = "shard int, tokens_path string, index_path string, n_docs long, n_tokens long"
-_LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+_LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
+_SIGNS = frozenset(string.punctuation)
 
 
 class PieceEncoder:
@@ -51,88 +57,100 @@ class PieceEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        self.suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.suffix = suffix
         for token, i in vocabulary.items():
-            self.ends[i] = bool(suffix) and token.endswith(suffix)
+            self.ends[i] = bool(self.suffix) and token.endswith(self.suffix)
         self.dtype = np.uint16 if len(self.ends) <= 1 << 16 else np.uint32
         self.forget()
 
     def forget(self) -> None:
+        """Codes of pieces and of their parts; a code's ids are ``flat[starts[code]:][:lengths[code]]``."""
         self.codes: dict[str, int] = {}
-        self.runs: dict[str, np.ndarray] = {}
-        self.flat = np.zeros(1 << 16, self.dtype)
-        self.starts = np.zeros(CACHE * 2, np.int64)
-        self.lengths = np.zeros(CACHE * 2, np.int64)
-        self.used = 0
-
-    def _one_by_one(self, pieces: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _letter_runs(self, runs: list[str]) -> None:
+        self.parts: dict[str, int] = {}
+        self.flat = np.zeros(1 << 20, self.dtype)
+        self.starts = np.zeros(1 << 18, np.int64)
+        self.lengths = np.zeros(1 << 18, np.int64)
+        self.used = self.n = 0
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        """Codes for new entries, whose ids come one after the other."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.n + len(lengths) > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[self.n : self.n + len(lengths)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.n : self.n + len(lengths)] = lengths
+        self.used, self.n = self.used + len(ids), self.n + len(lengths)
+        return range(self.n - len(lengths), self.n)
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(lists), self.dtype)
+        return flat, np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def _add_texts(self, texts: list[str]) -> range:
+        return self._add(*self._encoded(texts))
+
+    def _add_letter_runs(self, runs: list[str]) -> range:
+        """As ``_add_texts``, for runs of letters: 200 in a text, cut where tokens end a word."""
         groups = [runs[i : i + 200] for i in range(0, len(runs), 200)]
-        for group, ids in zip(groups, self._one_by_one([" ".join(g) for g in groups]), strict=True):
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            parts = np.split(ids, ends[:-1]) if len(ends) == len(group) else self._one_by_one(group)
-            self.runs.update(zip(group, parts, strict=True))
+        ids, sizes = self._encoded([" ".join(g) for g in groups])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        in_group = np.diff(np.searchsorted(ends, np.cumsum(sizes), "right"), prepend=0)
+        if in_group.tolist() != list(map(len, groups)):  # a letter that the tokenizer changes to something else
+            return self._add_texts(runs)
+        return self._add(ids, np.diff(ends, prepend=0))
 
     def _learn(self, pieces: list[str]) -> None:
-        split, hard, wanted = {}, [], set()
+        runs, signs, split, hard = {}, {}, [], []
         for p in pieces:
-            m = _LETTERS_THEN_SIGNS.fullmatch(p) if self.suffix else None
-            if m and m[1].isalpha():
-                run = m[1].lower() if m[1].isascii() else m[1]
-                split[p] = (run, m[2])
-                wanted.update((run, m[2]) if m[2] else (run,))
+            if not self.suffix:
+                hard.append(p)
+            elif p.isalpha():
+                runs[p] = None
+                split.append((p, p, ""))
+            elif (run := p[:-1]).isalpha() and p[-1] in _SIGNS:
+                runs[run] = signs[p[-1]] = None
+                split.append((p, run, p[-1]))
+            elif (m := _LETTERS_THEN_SIGNS.fullmatch(p)) and m[1].isalpha():
+                runs[m[1]] = signs[m[2]] = None
+                split.append((p, m[1], m[2]))
             else:
                 hard.append(p)
-        new = [r for r in wanted if r not in self.runs]
-        self._letter_runs([r for r in new if r.isalpha()])
-        signs = [r for r in new if not r.isalpha()]
-        self.runs.update(zip(signs, self._one_by_one(signs), strict=True))
-        known = [self.runs[r] if not s else np.concatenate((self.runs[r], self.runs[s])) for r, s in split.values()]
-        self._store([*split, *hard], known + self._one_by_one(hard))
-
-    def _store(self, pieces: list[str], ids: list[np.ndarray]) -> None:
-        n, more = len(self.codes), sum(map(len, ids))
-        while self.used + more > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while n + len(ids) > len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        if ids:
-            self.flat[self.used : self.used + more] = np.concatenate(ids)
-        self.starts[n : n + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n : n + len(ids)] = lengths
-        self.codes.update(zip(pieces, range(n, n + len(ids)), strict=True))
-        self.used += more
-
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        new = [r for r in runs if r not in self.parts]
+        self.parts.update(zip(new, self._add_letter_runs(new), strict=True))
+        new = [s for s in signs if s not in self.parts]
+        self.parts.update(zip(new, self._add_texts(new), strict=True))
+        self.codes.update(zip(hard, self._add_texts(hard), strict=True))
+        self.codes.update((p, self.parts[r]) for p, r, s in split if not s)
+        two = [(p, self.parts[r], self.parts[s]) for p, r, s in split if s]
+        both = np.array([x[1:] for x in two], np.int64).reshape(-1)
+        codes = self._add(self._ids(both), self.lengths[both].reshape(-1, 2).sum(1))
+        self.codes.update(zip((x[0] for x in two), codes, strict=True))
+
+    def _ids(self, codes: np.ndarray) -> np.ndarray:
+        """The ids of codes, one after the other."""
+        lengths = self.lengths[codes]
+        shift = self.starts[codes] - np.cumsum(lengths) + lengths
+        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each followed by the end id, and the number of ids of each text."""
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.replace("\n", " ").split(" ")
-            counts[i] = len(own)
-            pieces += own
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        counts = pc.list_value_length(pieces).to_numpy()
+        listed = pieces.flatten().dictionary_encode()
+        distinct = listed.dictionary.to_pylist()
         if len(self.codes) > CACHE:
             self.forget()
-        self._learn(list(set(pieces).difference(self.codes)))
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
-        lengths = self.lengths[codes]
-        # An end id after the last piece of each text.
-        extra = np.zeros(len(pieces), np.int64)
-        last = np.cumsum(counts) - 1
-        extra[last] = 1
-        places = np.cumsum(lengths + extra)
-        out = np.full(int(places[-1]) if len(places) else 0, end_id, self.dtype)
-        first = places - lengths - extra
-        steps = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        out[np.repeat(first, lengths) + steps] = self.flat[np.repeat(self.starts[codes], lengths) + steps]
-        ends = places[last]
-        return out, np.diff(ends, prepend=0)
+        self._learn([p for p in distinct if p not in self.codes])
+        known = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+        closing = self._add(np.array([end_id], self.dtype), np.ones(1, np.int64))[0]
+        codes = np.insert(known[listed.indices.to_numpy()], np.cumsum(counts), closing)
+        sizes = np.cumsum(self.lengths[codes])[np.cumsum(counts + 1) - 1]
+        return self._ids(codes), np.diff(sizes, prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -140,6 +158,14 @@ def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``CHARS`` bytes of text; a longer text is a piece of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy()) // CHARS
+    starts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        yield batch.slice(a, b - a)
+
+
 class _Writer:
     """One file of sequences and its index."""
 
@@ -194,7 +220,8 @@ def write_token_files(
             if not batch.num_rows:
                 continue
             out = out or _Writer(folder, shard, encoder.dtype, sequence)
-            out.add(batch.column(0), *encoder.encode(batch.column(1).to_pylist(), end_id))
+            for part in _slices(batch):
+                out.add(part.column(0), *encoder.encode(part.column(1), end_id))
         if out:
             out.close()
             yield pa.RecordBatch.from_pylist(
@@ -265,7 +292,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                     columns = [places.column(0), pa.array(row["start"] + offsets), places.column(2), pa.array(sums, pa.int64())]
                     yield pa.record_batch(columns, schema=schema)
 
-    one_each = manifest.select("tokens_path", "index_path", "start").repartition("tokens_path")
-    return one_each.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    few_each = spread(manifest.select("tokens_path", "index_path", "start"), "tokens_path")
+    return few_each.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
