@@ -7,7 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.entry import Entry
-from penprint.llm import histogram_sort, quality_rules, source_mixing, token_files, warc, weighted_minhash, winnowing
+from penprint.llm import (
+    histogram_sort,
+    quality_rules,
+    source_mixing,
+    token_files,
+    toxicity,
+    warc,
+    weak_labels,
+    weighted_minhash,
+    winnowing,
+)
 from penprint.llm.sql import OP4_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL
 
 
@@ -31,6 +41,14 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels outside the held-out fold."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document's ids, from the files."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -72,7 +90,13 @@ def op9_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document by weak labels."""
+    return weak_labels.score_quality(_table(spark, folder, "documents"))
+
+
 ENTRIES = [
+    Entry("op1_toxicity", op1_toxicity),
     Entry("op3_token_files", op3_token_files),
     Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
     Entry("op5_weighted_minhash", op5_weighted_minhash),
@@ -80,4 +104,5 @@ ENTRIES = [
     Entry("op7_winnowing", op7_winnowing, OP7_SQL),
     Entry("op8_warc", op8_warc, OP8_SQL),
     Entry("op9_histogram_sort", op9_histogram_sort, OP9_SQL),
+    Entry("op10_weak_labels", op10_weak_labels),
 ]
