@@ -11,6 +11,7 @@ from penprint.llm import (
     histogram_sort,
     quality_rules,
     source_mixing,
+    suffix_levels,
     token_files,
     toxicity,
     warc,
@@ -49,6 +50,16 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """What of every document does not repeat an earlier one."""
+    left = suffix_levels.remove_repeats(_table(spark, folder, "documents"), texts=False)
+    return left.select(
+        "doc_id", "n_bytes",
+        F.expr("aggregate(removed, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), "kept_sha256",
+    )
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document's ids, from the files."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +108,7 @@ def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 ENTRIES = [
     Entry("op1_toxicity", op1_toxicity),
+    Entry("op2_suffix_levels", op2_suffix_levels),
     Entry("op3_token_files", op3_token_files),
     Entry("op4_source_mixing", op4_source_mixing, OP4_SQL),
     Entry("op5_weighted_minhash", op5_weighted_minhash),
