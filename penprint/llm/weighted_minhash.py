@@ -11,11 +11,14 @@ probability equal to their weighted Jaccard similarity. The draws of a shingle a
 by a hash of shingle and sample; equal values go to the least hash. 14 bands of 4 samples bring together a pair of
 similarity 0.8 with probability 0.9994, of 0.85 with 0.99997.
 
-Equal texts are one node. In a bucket every node is compared with the least one only. Links make components; where
-a bucket still holds several, the pairs across them that the triangle inequality of the distance 1 - J allows, from
-the distances to the bucket's least node, are compared as well. So no link within a bucket is lost, and large
-groups of copies cost one comparison for each member and leader. Components spread by table joins and pointer
-jumps, cut by written tables.
+Equal texts are one node. A bucket's nodes are compared with its lightest only (of least total weight). That loses no
+link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have no shingle that both
+hold more often than L does, what they share is at most what y shares with L, so x and y fail too. Linked nodes that
+the leader leaves apart therefore meet in a group (leader, shingle above the leader's count), and groups that still
+hold several components are treated as buckets were, each again with its lightest node, until no group is left. So a
+large group of copies costs a comparison for each member and leader, never one for each pair.
+
+Components spread by table joins and pointer jumps, cut by written tables.
 
 Defined results: null counts as an empty text; texts without words are one class if equal, and never like others;
 a text of fewer than five words is one shingle. A class is named by its least doc_id, null if it has none but null.
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,7 @@ BANDS = 14
 ROWS = 4
 _FEATURE_BITS = 18
 _TABLE_BITS = 16
+_BLOCK = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -56,17 +61,32 @@ class Sampler:
         return counts * self.idf[values >> np.uint64(64 - _FEATURE_BITS)]
 
     def signatures(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-        """An n x ``BANDS`` array of band hashes; texts without shingles get zeros, which are not to be used."""
+        """An n x ``BANDS`` array of band hashes; texts without shingles get zeros, which are not to be used.
+
+        Texts are sampled in blocks of about ``_BLOCK`` shingles, which stay in a core's cache.
+        """
+        out = np.zeros((n, BANDS), np.uint64)
+        ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of))
+        cuts = [0, *ends[np.flatnonzero(np.diff(ends // _BLOCK, append=-1))].tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            self._sample(values[a:b], of[a:b], counts[a:b], out)
+        return out
+
+    @cached_property
+    def _draws(self) -> tuple[np.ndarray, ...]:
         rng = np.random.default_rng(self.seed)
         size = 1 << _TABLE_BITS
         r = rng.gamma(2, 1, size).astype(np.float32)
         ln_c = np.log(rng.gamma(2, 1, size)).astype(np.float32)
         b = rng.random(size, np.float32)
         factors = rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-        per_r, out = 1 / r, np.zeros((n, BANDS), np.uint64)
+        return r, 1 / r, ln_c, b, factors
+
+    def _sample(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
+        r, per_r, ln_c, b, factors = self._draws
         has, starts, sizes = np.unique(of, return_index=True, return_counts=True)
         if not len(has):
-            return out
+            return
         ln_w = np.log(self.weights(values, counts)).astype(np.float32)
         inside = np.repeat(np.arange(len(has)), sizes)
         for j, factor in enumerate(factors):
@@ -78,7 +98,6 @@ class Sampler:
             least = least[np.unique(inside[least], return_index=True)[1]]
             drawn = mixed(values[least] + level[least].astype(np.int64).astype(np.uint64) * factor)
             out[has, j // ROWS] = mixed(out[has, j // ROWS] + drawn)
-        return out
 
 
 def node(text: str) -> Column:
@@ -111,7 +130,7 @@ def feature_idf(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> np.
 
 
 def band_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(node, band, bucket) of every distinct text with words."""
+    """(grp, node, weight) of every distinct text with words, a row for each band."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,45 +139,60 @@ def band_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int
                 bands = sampler.signatures(values, of, counts, part.num_rows)
                 has = np.unique(of)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(bands[has].view(np.int64).reshape(-1)), BANDS)
-                yield pa.record_batch([part.column(0).take(pa.array(has)), lists.cast(pa.list_(pa.int64()))], names=["node", "bands"])
+                weight = np.bincount(of, sampler.weights(values, counts), part.num_rows)[has]
+                yield pa.record_batch(
+                    [part.column(0).take(pa.array(has)), pa.array(weight), lists.cast(pa.list_(pa.int64()))], names=["node", "weight", "bands"]
+                )
 
     texts = docs.select(node(text).alias("node"), F.col(quoted(text)).alias("text"))
-    signed = texts.mapInArrow(sign, "node string, bands array<long>")
-    once = signed.groupBy("node").agg(F.any_value("bands").alias("bands"))
-    return once.select(F.unhex("node").alias("node"), F.posexplode("bands").alias("band", "bucket"))
+    signed = texts.mapInArrow(sign, "node string, weight double, bands array<long>")
+    once = signed.groupBy("node").agg(F.any_value("weight").alias("weight"), F.any_value("bands").alias("bands"))
+    rows = once.select(F.unhex("node").alias("node"), "weight", F.posexplode("bands").alias("band", "bucket"))
+    return rows.select(F.xxhash64("band", "bucket").alias("grp"), "node", "weight")
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, sampler: Sampler, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(a, b, similarity) of pairs (a, b) of nodes: weighted Jaccard of the whole texts."""
+    """Pairs (a, b, listed) of nodes with the weighted Jaccard similarity of the whole texts and, where ``listed`` is
+    true, the shingles that b holds more often than a."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for half in chunks(batch, 2):
-                for part in chunks(half, 3):
+            for half in chunks(batch, 3):
+                for part in chunks(half, 4):
                     yield _compared(part, sampler, size)
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     texts = docs.select(F.unhex(node(text)).alias("node"), F.col(quoted(text)).alias("text"))
     texts = stored(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
-    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return with_b.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary, similarity double")
+    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    with_a = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return with_a.select("a", "b", "listed", "text_a", "text_b").mapInArrow(
+        compare, "a binary, b binary, similarity double, above array<long>"
+    )
 
 
 def _compared(part: pa.RecordBatch, sampler: Sampler, size: int) -> pa.RecordBatch:
     sides = []
-    for column in (2, 3):
+    for column in (3, 4):
         listed = part.column(column).dictionary_encode()  # a leader's text is cut up once
         values, of, counts = distinct_shingles(listed.dictionary, size)
-        sides.append((listed.indices.to_numpy(), values, np.searchsorted(of, np.arange(len(listed.dictionary) + 1)), sampler.weights(values, counts)))
-    out = np.zeros(part.num_rows)
-    for i in range(part.num_rows):
-        (va, wa), (vb, wb) = [(v[s[k[i]] : s[k[i] + 1]], w[s[k[i]] : s[k[i] + 1]]) for k, v, s, w in sides]
+        bounds = np.searchsorted(of, np.arange(len(listed.dictionary) + 1))
+        sides.append((listed.indices.to_numpy(), values, bounds, counts, sampler.weights(values, counts)))
+    out, above = np.zeros(part.num_rows), []
+    for i, listed in enumerate(part.column(2).to_pylist()):
+        (va, ca, wa), (vb, cb, wb) = [[x[s[k[i]] : s[k[i] + 1]] for x in (v, c, w)] for k, v, s, c, w in sides]
         _, in_a, in_b = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
         shared = np.minimum(wa[in_a], wb[in_b]).sum()
         total = wa.sum() + wb.sum() - shared
         out[i] = shared / total if total > 0 else 0.0
-    return pa.record_batch([part.column(0), part.column(1), pa.array(out)], names=["a", "b", "similarity"])
+        if listed:
+            more = np.ones(len(vb), bool)
+            more[in_b] = cb[in_b] > ca[in_a]
+            above.append(vb[more].view(np.int64))
+        else:
+            above.append(None)
+    columns = [part.column(0), part.column(1), pa.array(out), pa.array(above, pa.list_(pa.int64()))]
+    return pa.record_batch(columns, names=["a", "b", "similarity", "above"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -181,34 +215,50 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _led(groups: DataFrame) -> DataFrame:
+    """(grp, n, leader, node) of the nodes of groups (grp, node, weight) beside their lightest one."""
+    lightest = F.min(F.struct("weight", "node")).alias("lead")
+    leaders = groups.groupBy("grp").agg(lightest, F.count("*").alias("n")).filter("n > 1")
+    led = groups.select("grp", "node").join(leaders.select("grp", "n", F.col("lead.node").alias("leader")), "grp")
+    return led.filter("node <> leader")
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, text: str = "text") -> DataFrame:
     """(a, b, similarity) of linked nodes: enough links to hold every class together."""
     sampler = Sampler(feature_idf(docs, text), seed)
-    bands = stored(band_table(docs, sampler, text), "minhash-bands")
-    leaders = bands.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(bands.join(leaders, ["band", "bucket"]), "minhash-members")
-    stars = members.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    compared = stored(similarities(stars, docs, sampler, text), "minhash-compared")
-    links = compared.filter(F.col("similarity") >= threshold)
-    labels = components(links)
-
-    # Buckets of three or more that hold several components: pairs across them that may still be linked.
-    measured = compared.select(F.col("a").alias("leader"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
-    placed = (
-        members.filter("n > 2").join(measured, ["leader", "node"], "left").join(labels, "node", "left")
-        .select("band", "bucket", "node", "leader", F.coalesce("label", "node").alias("label"), F.coalesce("away", F.lit(0.0)).alias("away"))
-    )
-    mixed_up = placed.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    placed = stored(placed.join(mixed_up.select("band", "bucket"), ["band", "bucket"]).filter("node <> leader"), "minhash-mixed")
-    left = placed.select("band", "bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("away").alias("da"))
-    right = placed.select("band", "bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("away").alias("db"))
-    slack = 1 - threshold + 1e-9
-    across = left.join(right, ["band", "bucket"]).filter(
-        (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (F.abs(F.col("da") - F.col("db")) <= slack)
-    )
-    pairs = stored(across.select("a", "b").distinct().join(compared, ["a", "b"], "left_anti"), "minhash-across")
-    more = similarities(pairs, docs, sampler, text).filter(F.col("similarity") >= threshold)
-    return stored(links.unionByName(more), "minhash-links")
+    groups = stored(band_table(docs, sampler, text), "minhash-groups")
+    weights = groups.select("node", "weight").distinct()
+    compared = links = labels = None
+    while True:
+        led = stored(_led(groups), "minhash-led")
+        # Pairs in groups of three or more may leave others apart, and list what the member has above the leader.
+        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
+        if compared is not None:
+            pairs = pairs.join(compared.filter("above is not null or not listed").select("a", "b"), ["a", "b"], "left_anti")
+        new = stored(similarities(pairs, docs, sampler, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
+        found = new.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+        if labels is not None:
+            known = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+            other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+            joining = found.join(known, "a", "left").join(other, "b", "left").filter("not (coalesce(la, a) = coalesce(lb, b))")
+            if joining.isEmpty():
+                return links
+        compared = new if compared is None else compared.unionByName(new)
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+
+        named = led.join(labels, "node", "left").select("grp", "leader", "node", "n", F.coalesce("label", "node").alias("label"))
+        # Groups whose members beside the leader are of one component have nothing to find.
+        apart = named.filter("n > 2").groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        open_pairs = named.join(apart.select("grp"), "grp").select("leader", "node", "label").distinct()
+        above = open_pairs.join(compared.select(F.col("a").alias("leader"), F.col("b").alias("node"), "above"), ["leader", "node"])
+        shared = above.select(F.explode("above").alias("shingle"), "leader", "node", "label")
+        shared = shared.select(F.xxhash64("leader", "shingle").alias("grp"), "node", "label").distinct()
+        shared = stored(shared, "minhash-above")
+        several = shared.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        groups = stored(shared.join(several.select("grp"), "grp").select("grp", "node").join(weights, "node").select("grp", "node", "weight"), "minhash-groups")
+        if groups.isEmpty():
+            return links
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
