@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ LENGTH = 50
 GRAM = 16
 BATCHES = 4
 PART_BYTES = 16 << 20
-CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20
+CHUNK_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15
 _NO_DOC = np.int64(2**63 - 1)
 
@@ -73,12 +74,19 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return [np.cumsum(arrays[0], dtype=np.uint64), *arrays[1:]]
 
 
+@lru_cache(maxsize=2)
 def _powers(n: int, base: int) -> np.ndarray:
     factors = np.full(n, base & (2**64 - 1), np.uint64)
     factors[:1] = 1
     return np.cumprod(factors, dtype=np.uint64)
 
 
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, from tables that chunks of usual size share."""
+    size = max(n, 2 * CHUNK_BYTES)
+    return _powers(size, _BASE)[:n], _powers(size, pow(_BASE, -1, 2**64))[:n]
+
+
 @dataclass
 class Runs:
     """Runs of windows of a chunk of texts: first and last window, the document's row, anchor bytes and digests."""
@@ -98,37 +106,40 @@ class Runs:
 def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
     """The runs of texts that lie one after the other in ``data``."""
     n = len(data)
-    power, inverse = _powers(n + 1, _BASE), _powers(n + 1, pow(_BASE, -1, 2**64))
+    power, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64, out=sums[1:])
-    del power
-    ends = np.cumsum(lengths)
-    n_windows = np.maximum(lengths - LENGTH + 1, 0)
-    if not n_windows.sum():
+    if n < LENGTH:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none.astype(np.uint64), none.astype(np.uint64), sums, inverse)
-    grams = mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: n + 1 - GRAM])
+    grams = (sums[GRAM:] - sums[:-GRAM]) * inverse[: n + 1 - GRAM]
+    grams ^= grams >> np.uint64(31)
+    grams *= np.uint64(_BASE)
     # The least hash and then the leftmost place, over all grams of a window, by doubling.
-    least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     reach, wanted = 1, LENGTH - GRAM + 1
     while reach < wanted:
         step = min(reach, wanted - reach)
         least = np.minimum(least[:-step], least[step:])
         reach += step
-    anchors = (least & np.uint64(2**32 - 1)).astype(np.int64)
-    starts = np.repeat(ends - lengths, n_windows) + np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    anchors, rows = anchors[starts], np.repeat(np.arange(len(lengths)), n_windows)
-    new = np.ones(len(starts), bool)
-    new[1:] = (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])
-    at = np.flatnonzero(new)
-    first, last = starts[at], starts[np.append(at[1:], len(starts)) - 1]
-    anchor = anchors[at]
-    head = np.zeros(len(at), np.uint64)
+    # A run begins where the anchor changes or a text begins; windows that leave their text are none.
+    ends = np.cumsum(lengths)
+    begins = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=begins[1:])
+    starts = ends - lengths
+    begins[starts[starts < len(least)]] = True
+    outside = (ends[:, None] - np.arange(1, LENGTH)).reshape(-1)
+    begins[outside[(outside >= 0) & (outside < len(least))]] = False
+    first = np.flatnonzero(begins)
+    row = np.searchsorted(ends, first, "right")
+    last = np.minimum(np.append(first[1:], len(least)) - 1, ends[row] - LENGTH)
+    anchor = (least[first] & np.uint64(2**32 - 1)).astype(np.int64)
+    head = np.zeros(len(first), np.uint64)
     for i in range(8):
         head = (head << np.uint64(8)) | data[anchor + i]
     context = mixed((sums[last + LENGTH] - sums[first]) * inverse[first] + (anchor - first).astype(np.uint64) * np.uint64(_BASE))
-    tail = ((grams[anchor] & np.uint64(0xFFFF)) << np.uint64(40)) | (context >> np.uint64(24))
-    return Runs(first, last, rows[at], head, tail, sums, inverse)
+    tail = (mixed(grams[anchor]) & np.uint64(0xFFFF)) << np.uint64(40) | (context >> np.uint64(24))
+    return Runs(first, last, row, head, tail, sums, inverse)
 
 
 def _grouped(head: np.ndarray, tail: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,15 +243,30 @@ def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataF
     return docs.mapInArrow(cut, _DDL)
 
 
-def _scan(n_new: int, merge: tuple[int, ...]):
-    """The scan of one bucket: a batch's entries against all levels; level rows hold their level in ``part``."""
+def _write_level(folder: str, bucket: int, *arrays: np.ndarray) -> str:
+    path = f"{folder}/{files.unique_name('bucket', bucket, '.level')}"
+    with files.create(path) as out:
+        out.write(pack(*arrays))
+    return path
+
+
+def _read_level(path: str) -> list[np.ndarray]:
+    with files.open_stream(path) as source:
+        return unpack(source.read())
+
+
+def _scan(n_new: int, merge: tuple[int, ...], folder: str):
+    """The scan of one bucket: a batch's entries against all levels.
+
+    Level rows hold their level in ``part`` and the file of the bucket's slice in ``path``.
+    """
 
     def scan(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         out = [r for r in rows if r["kind"] == PART]
         parts = [r for r in rows if r["kind"] == ENTRIES]
         own = [unpack(r["blob"]) for r in parts]
-        levels = {r["part"]: unpack(r["blob"]) for r in rows if r["kind"] == LEVEL}
+        levels = {r["part"]: _read_level(r["path"]) for r in rows if r["kind"] == LEVEL}
         bucket = rows[0]["bucket"]
         sizes = [len(x[0]) for x in own]
         part_of = np.repeat(np.array([r["part"] for r in parts], np.uint64), sizes)
@@ -265,14 +291,14 @@ def _scan(n_new: int, merge: tuple[int, ...]):
                     out.append(_row(ANSWER, bucket, r["part"], r["path"], pack(x[0][told], x[1][told], mine[told])))
             # The new level: of each distinct run the least document, in every part that has it.
             keep = docs == docs[first][group]
-            out.append(_row(LEVEL, bucket, n_new, None, pack(*[c[order][keep] for c in batch])))
+            out.append(_row(LEVEL, bucket, n_new, _write_level(f"{folder}/{n_new}", bucket, *[c[order][keep] for c in batch]), None))
         if merge and any(m in levels for m in merge):
             entries = [np.concatenate([levels[m][i] for m in merge if m in levels]) for i in range(4)]
             order, first = _grouped(*entries[:3])
             docs = entries[2][order]
             group = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
             keep = docs == docs[first][group]
-            out.append(_row(LEVEL, bucket, merge[0], None, pack(*[c[order][keep] for c in entries])))
+            out.append(_row(LEVEL, bucket, merge[0], _write_level(f"{folder}/{merge[0]}", bucket, *[c[order][keep] for c in entries]), None))
         return pa.Table.from_pylist(out, schema=_ROWS)
 
     return scan
@@ -295,7 +321,7 @@ def _scanned(heads: np.ndarray, tails: np.ndarray, level: list[np.ndarray]) -> n
 def _differing(table: pa.Table) -> pa.Table:
     """Of all levels of a bucket: for each part, its runs that share their anchor's bytes with another run."""
     rows = table.to_pylist()
-    levels = [unpack(r["blob"]) for r in rows]
+    levels = [_read_level(r["path"]) for r in rows]
     head, tail, doc, part = (np.concatenate([x[i] for x in levels]) for i in range(4))
     order, first = _grouped(head, tail, doc)
     group = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
@@ -408,30 +434,30 @@ def _remove(texts: bool):
     def remove(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         part = _read_part(next(r["path"] for r in rows if r["kind"] == PART))
-        head, tail, doc = part.entries()
-        order = np.argsort(ids := _ids(head, tail))
-        runs_own, runs_told = (ids[order], doc[order]), _answers(rows, ANSWER)
         asked = _requested(rows)
-        windows_own = _requested_windows(part, asked) if len(asked) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        windows_told = _answers(rows, WINDOW_ANSWER)
+        cut = []
+        for a, _, runs in part.chunks():
+            ids = _ids(runs.head, runs.tail)
+            starts, run = _windows_of(runs, np.flatnonzero(_inside(ids, asked)))
+            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, runs.window_digests(starts)))
+        runs_own = _least(*[np.concatenate([c[i] for c in cut]) for i in (2, 3)])
+        windows_own = _least(np.concatenate([c[6] for c in cut]), np.concatenate([c[3][c[5]] for c in cut]))
+        runs_told, windows_told = _answers(rows, ANSWER), _answers(rows, WINDOW_ANSWER)
         out = []
-        for a, data, runs in part.chunks():
-            ids, docs = _ids(runs.head, runs.tail), part.docs[a + runs.row]
+        for (a, b), (first, last, ids, docs, starts, run, digests) in zip(zip(part.bounds, part.bounds[1:]), cut, strict=True):
+            data = np.frombuffer(b"".join(part.texts.slice(a, b - a).to_pylist()), np.uint8)
             whole = _known(ids, runs_told, runs_own) < docs
-            edge = np.flatnonzero(~whole & _inside(ids, asked))
-            starts, run = _windows_of(runs, edge)
-            hit = _known(runs.window_digests(starts), windows_told, windows_own) < docs[run]
-            change = np.zeros(len(data) + 1, np.int32)
-            np.add.at(change, np.concatenate((runs.first[whole], starts[hit])), 1)
-            np.add.at(change, np.concatenate((runs.last[whole] + LENGTH, starts[hit] + LENGTH)), -1)
+            hit = _known(digests, windows_told, windows_own) < docs[run]
+            change = np.bincount(np.concatenate((first[whole], starts[hit])), minlength=len(data) + 1)
+            change -= np.bincount(np.concatenate((last[whole], starts[hit])) + LENGTH, minlength=len(data) + 1)
             covered = np.cumsum(change[:-1]) > 0
             at = 0
-            for i in range(a, a + len(part.sizes[a:]))[: _chunk_rows(part, a)]:
+            for i in range(a, b):
                 size = int(part.sizes[i])
                 own, bytes_ = covered[at : at + size], data[at : at + size]
                 at += size
                 edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)).tolist()
-                left = bytes_[~own].tobytes()
+                left = bytes_[~own].tobytes() if edges else bytes_.tobytes()
                 out.append({
                     "doc_id": int(part.docs[i]), "n_bytes": size,
                     "removed": [{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2])],
@@ -442,62 +468,48 @@ def _remove(texts: bool):
     return remove
 
 
-def _chunk_rows(part: Part, a: int) -> int:
-    return part.bounds[part.bounds.index(a) + 1] - a
-
-
 class SuffixLevels:
     """An index that batches are added to; ``remove`` answers for all of them."""
 
     def __init__(self, spark: SparkSession, n_buckets: int) -> None:
         self.spark, self.n_buckets = spark, n_buckets
         self.folder = scratch_path(spark, "suffix-parts")
-        #: (size in batches, table) of each level, the largest first; and the scans' outputs.
-        self.levels: list[tuple[int, str]] = []
-        self.scans: list[str] = []
+        #: Of each level, the largest first: its size in batches, the folder of its files and the table that lists them.
+        self.levels: list[tuple[int, str, DataFrame]] = []
+        self.scans: list[DataFrame] = []
 
     def _level_rows(self) -> list[DataFrame]:
-        return [
-            self.spark.read.schema("bucket long, part long, path string, blob binary").parquet(path)
-            .select(F.lit(LEVEL).alias("kind"), "bucket", F.lit(i).cast("long").alias("part"), "path", "blob")
-            for i, (_, path) in enumerate(self.levels)
-        ]
+        return [rows.withColumn("part", F.lit(i).cast("long")) for i, (_, _, rows) in enumerate(self.levels)]
 
     def add(self, docs: DataFrame) -> None:
         """Add (doc_id, text) with larger ids than all before: scan against the levels, merging equal ones on the way."""
-        sizes = [s for s, _ in self.levels]
+        sizes = [size for size, _, _ in self.levels]
         equal = next(((i, i + 1) for i in range(len(sizes) - 1) if sizes[i] == sizes[i + 1]), ())
         rows = cut_parts(docs, len(self.scans), self.n_buckets, self.folder)
         for level in self._level_rows():
             rows = rows.unionByName(level)
-        out = scratch_path(self.spark, "suffix-scan")
-        scanned = rows.groupBy("bucket").applyInArrow(_scan(len(sizes), equal), _DDL)
-        # A folder for each kind and level: answers and levels are read apart.
-        scanned.withColumn("level", F.when(F.col("kind") == LEVEL, F.col("part")).otherwise(-1)).write.partitionBy("kind", "level").parquet(out)
-        self.scans.append(out)
-        new = (1, f"{out}/kind={LEVEL}/level={len(sizes)}")
+        folder = scratch_path(self.spark, "suffix-levels")
+        out = stored(rows.groupBy("bucket").applyInArrow(_scan(len(sizes), equal, folder), _DDL), "suffix-scan")
+        self.scans.append(out.filter(F.col("kind") != LEVEL))
+
+        def level(size: int, number: int) -> tuple[int, str, DataFrame]:
+            return size, f"{folder}/{number}", out.filter((F.col("kind") == LEVEL) & (F.col("part") == number))
+
+        new = level(1, len(sizes))
         if equal:
-            merged = (2 * sizes[equal[0]], f"{out}/kind={LEVEL}/level={equal[0]}")
             for i in equal:
                 remove_path(self.spark, self.levels[i][1])
+            merged = level(2 * sizes[equal[0]], equal[0])
             self.levels = [*self.levels[: equal[0]], merged, *self.levels[equal[1] + 1 :], new]
         else:
             self.levels.append(new)
 
     def _answers(self) -> DataFrame:
-        read = self.spark.read.schema("kind int, level long, bucket long, part long, path string, blob binary")
-        frames = [read.parquet(p).filter(F.col("kind").isin(PART, ANSWER)) for p in self.scans]
-        both = frames[0]
-        for f in frames[1:]:
-            both = both.unionByName(f)
-        return both.select("kind", "bucket", "part", "path", "blob")
+        return reduce(DataFrame.unionByName, self.scans)
 
     def remove(self, texts: bool = True) -> DataFrame:
         """Per document: doc_id, n_bytes, removed (spans of bytes), kept_sha256 and kept (null without ``texts``)."""
-        levels = self._level_rows()
-        everything = levels[0]
-        for level in levels[1:]:
-            everything = everything.unionByName(level)
+        everything = reduce(DataFrame.unionByName, self._level_rows())
         requests = stored(everything.groupBy("bucket").applyInArrow(_differing, _DDL), "suffix-requests")
         known = self._answers()
         places = known.filter(F.col("kind") == PART).select("part", "path")
