@@ -53,7 +53,7 @@ def clear_scratch(spark: SparkSession) -> None:
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lost executors never recompute it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
