@@ -37,7 +37,7 @@ SEQUENCE = 2048
 #: Sequences in a record batch.
 BATCH = 64
 #: Pieces of text whose ids a Python worker remembers.
-CACHE = 300_000
+CACHE = 500_000
 #: Bytes of text that a worker encodes at a time.
 CHARS = 4 << 20
 
@@ -61,6 +61,7 @@ class PieceEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = bool(self.suffix) and token.endswith(self.suffix)
+        self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.dtype = np.uint16 if len(self.ends) <= 1 << 16 else np.uint32
         self.forget()
 
@@ -109,17 +110,22 @@ class PieceEncoder:
         for p in pieces:
             if not self.suffix:
                 hard.append(p)
-            elif p.isalpha():
-                runs[p] = None
-                split.append((p, p, ""))
+                continue
+            if p.isalpha():
+                run, sign = p, ""
             elif (run := p[:-1]).isalpha() and p[-1] in _SIGNS:
-                runs[run] = signs[p[-1]] = None
-                split.append((p, run, p[-1]))
+                sign = p[-1]
             elif (m := _LETTERS_THEN_SIGNS.fullmatch(p)) and m[1].isalpha():
-                runs[m[1]] = signs[m[2]] = None
-                split.append((p, m[1], m[2]))
+                run, sign = m[1], m[2]
             else:
                 hard.append(p)
+                continue
+            if self.lowers and run.isascii():
+                run = run.lower()
+            runs[run] = None
+            if sign:
+                signs[sign] = None
+            split.append((p, run, sign))
         new = [r for r in runs if r not in self.parts]
         self.parts.update(zip(new, self._add_letter_runs(new), strict=True))
         new = [s for s in signs if s not in self.parts]
