@@ -4,10 +4,10 @@ Documents come in batches of ascending ids. A batch gets its suffix array, which
 arrays of the levels that exist, and then becomes a level of size one; levels of equal size are merged, so that n
 batches are held in about log n levels and a suffix is written again about log n times.
 
-The arrays are sparse and truncated, which loses no match of ``LENGTH`` bytes: of the grams of 16 bytes in a window of
+The arrays are sparse and truncated, which loses no match of ``LENGTH`` bytes: of the grams of 20 bytes in a window of
 50, the one with the least hash is its anchor, so equal windows have anchors at equal places, and consecutive windows
 with one anchor form a run. An array holds one entry for each distinct run, in the order of the bytes at its anchor,
-with a digest of all bytes of the run's windows and the least document that has them. About one position in 18 is an
+with a digest of all bytes of the run's windows and the least document that has them. About one position in 16 is an
 anchor. Equal runs meet in the merge scan and all their windows repeat. Where runs share an anchor's bytes but differ
 around it (a match that begins or ends inside them) their windows are listed one by one, of the first document of
 each run only, and meet by digest; one more pass per text settles them.
@@ -17,7 +17,8 @@ scanned in one task, in numpy. A task that cuts up texts sends each distinct run
 passage that a third of all documents share costs a bucket one entry for each part of about ``PART_BYTES`` of text.
 Texts are kept as parts in the shared folder, and answers go to parts; no text is shuffled.
 
-Digests have 64 bits, of which runs that already share their anchor's 8 bytes compare 56.
+Runs that share the first 8 bytes and 16 hashed bits of their anchor compare 40 bits of a digest, and so do their
+windows at equal distance from it.
 
 Defined results: a null text is empty; a document with a null id loses nothing and takes nothing from others; equal ids
 are not smaller than each other; texts under 50 bytes lose nothing; an empty table gives an empty result. Only id and
@@ -45,7 +46,7 @@ from penprint.llm.shingles import mixed
 from penprint.session import remove_path, scratch_path, stored
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 BATCHES = 4
 PART_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
@@ -94,13 +95,20 @@ class Runs:
     first: np.ndarray
     last: np.ndarray
     row: np.ndarray
+    anchor: np.ndarray
     head: np.ndarray
     tail: np.ndarray
     sums: np.ndarray
     inverse: np.ndarray
 
-    def window_digests(self, starts: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[starts + LENGTH] - self.sums[starts]) * self.inverse[starts])
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, run, head, tail) of all windows of some runs; a window's tail tells it from others at its anchor."""
+        n = self.last[which] - self.first[which] + 1
+        starts = np.repeat(self.first[which], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        run = np.repeat(which, n)
+        digests = mixed((self.sums[starts + LENGTH] - self.sums[starts]) * self.inverse[starts])
+        place = (self.anchor[run] - starts).astype(np.uint64) << np.uint64(40)
+        return starts, run, self.head[run], (self.tail[run] >> np.uint64(40) << np.uint64(48)) | place | (digests >> np.uint64(24))
 
 
 def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
@@ -111,7 +119,7 @@ def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64, out=sums[1:])
     if n < LENGTH:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none, none.astype(np.uint64), none.astype(np.uint64), sums, inverse)
+        return Runs(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64), sums, inverse)
     grams = (sums[GRAM:] - sums[:-GRAM]) * inverse[: n + 1 - GRAM]
     grams ^= grams >> np.uint64(31)
     grams *= np.uint64(_BASE)
@@ -139,7 +147,7 @@ def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
         head = (head << np.uint64(8)) | data[anchor + i]
     context = mixed((sums[last + LENGTH] - sums[first]) * inverse[first] + (anchor - first).astype(np.uint64) * np.uint64(_BASE))
     tail = (mixed(grams[anchor]) & np.uint64(0xFFFF)) << np.uint64(40) | (context >> np.uint64(24))
-    return Runs(first, last, row, head, tail, sums, inverse)
+    return Runs(first, last, row, anchor, head, tail, sums, inverse)
 
 
 def _grouped(head: np.ndarray, tail: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -361,13 +369,6 @@ def _inside(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _windows_of(runs: Runs, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, run) of all windows of some runs."""
-    n = runs.last[which] - runs.first[which] + 1
-    steps = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(runs.first[which], n) + steps, np.repeat(which, n)
-
-
 def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the least document of each."""
     order = np.lexsort((docs, keys))
@@ -376,36 +377,44 @@ def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], docs[first]
 
 
-def _requested_windows(part: Part, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, docs = [], []
+def _requested_windows(part: Part, asked: np.ndarray) -> list[np.ndarray]:
+    """The distinct windows of the runs that are asked for, in order: head, tail and least document."""
+    found = []
     for a, _, runs in part.chunks():
-        starts, run = _windows_of(runs, np.flatnonzero(_inside(_ids(runs.head, runs.tail), asked)))
-        keys.append(runs.window_digests(starts))
-        docs.append(part.docs[a + runs.row[run]])
-    return _least(np.concatenate(keys), np.concatenate(docs))
+        _, run, head, tail = runs.windows(np.flatnonzero(_inside(_ids(runs.head, runs.tail), asked)))
+        found.append((head, tail, part.docs[a + runs.row[run]]))
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+    order, first = _grouped(*columns)
+    return [c[order[first]] for c in columns]
 
 
 def _list_windows(n_buckets: int):
     def list_windows(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys, docs = _requested_windows(_read_part(rows[0]["path"]), _requested(rows))
-        out = [_row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(keys[i], docs[i])) for b, i in _buckets(keys, n_buckets)]
+        columns = _requested_windows(_read_part(rows[0]["path"]), _requested(rows))
+        out = [
+            _row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(columns[0], n_buckets)
+        ]
         return pa.Table.from_pylist(out, schema=_ROWS)
 
     return list_windows
 
 
 def _meet_windows(table: pa.Table) -> pa.Table:
-    """Of one bucket of window digests: for each part, those that a smaller document has elsewhere."""
+    """Of one bucket of windows: for each part, those that a smaller document has elsewhere."""
     rows = table.to_pylist()
     own = [unpack(r["blob"]) for r in rows]
-    keys, least = _least(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own]).view(np.int64))
-    out = []
-    for r, (k, d) in zip(rows, own, strict=True):
-        found = least[np.searchsorted(keys, k)]
+    head, tail, doc = (np.concatenate([x[i] for x in own]) for i in range(3))
+    order, first = _grouped(head, tail, doc.view(np.int64))
+    least = np.empty(len(order), np.int64)
+    least[order] = np.repeat(doc.view(np.int64)[order[first]], np.diff(first, append=len(order)))
+    out, at = [], 0
+    for r, (h, t, d) in zip(rows, own, strict=True):
+        found = least[at : at + len(h)]
+        at += len(h)
         told = found < d.view(np.int64)
         if told.any():
-            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(k[told], found[told])))
+            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(h[told], t[told], found[told])))
     return pa.Table.from_pylist(out, schema=_ROWS)
 
 
@@ -417,8 +426,7 @@ def _answers(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
     got = [unpack(r["blob"]) for r in rows if r["kind"] == kind]
     if not got:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    ids = [x[0] if kind == WINDOW_ANSWER else _ids(x[0], x[1]) for x in got]
-    return _least(np.concatenate(ids), np.concatenate([x[-1] for x in got]).view(np.int64))
+    return _least(np.concatenate([_ids(x[0], x[1]) for x in got]), np.concatenate([x[-1] for x in got]).view(np.int64))
 
 
 def _known(keys: np.ndarray, answers: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -438,16 +446,16 @@ def _remove(texts: bool):
         cut = []
         for a, _, runs in part.chunks():
             ids = _ids(runs.head, runs.tail)
-            starts, run = _windows_of(runs, np.flatnonzero(_inside(ids, asked)))
-            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, runs.window_digests(starts)))
+            starts, run, head, tail = runs.windows(np.flatnonzero(_inside(ids, asked)))
+            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, _ids(head, tail)))
         runs_own = _least(*[np.concatenate([c[i] for c in cut]) for i in (2, 3)])
         windows_own = _least(np.concatenate([c[6] for c in cut]), np.concatenate([c[3][c[5]] for c in cut]))
         runs_told, windows_told = _answers(rows, ANSWER), _answers(rows, WINDOW_ANSWER)
         out = []
-        for (a, b), (first, last, ids, docs, starts, run, digests) in zip(zip(part.bounds, part.bounds[1:]), cut, strict=True):
+        for (a, b), (first, last, ids, docs, starts, run, windows) in zip(zip(part.bounds, part.bounds[1:]), cut, strict=True):
             data = np.frombuffer(b"".join(part.texts.slice(a, b - a).to_pylist()), np.uint8)
             whole = _known(ids, runs_told, runs_own) < docs
-            hit = _known(digests, windows_told, windows_own) < docs[run]
+            hit = _known(windows, windows_told, windows_own) < docs[run]
             change = np.bincount(np.concatenate((first[whole], starts[hit])), minlength=len(data) + 1)
             change -= np.bincount(np.concatenate((last[whole], starts[hit])) + LENGTH, minlength=len(data) + 1)
             covered = np.cumsum(change[:-1]) > 0
@@ -535,7 +543,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_i
     if not facts["n"]:
         return unnamed
     index = SuffixLevels(docs.sparkSession, int(facts["size"] or 0) // BUCKET_BYTES + 1)
-    cuts = sorted(set(facts["cuts"]))
+    cuts = sorted(set(facts["cuts"] or ()))
     for low, high in zip([None, *cuts], [*cuts, None]):
         inside = F.lit(True)
         if low is not None:
