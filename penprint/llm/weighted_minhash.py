@@ -13,10 +13,12 @@ similarity 0.8 with probability 0.9994, of 0.85 with 0.99997.
 
 Equal texts are one node. A bucket's nodes are compared with its lightest only (of least total weight). That loses no
 link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have no shingle that both
-hold more often than L does, what they share is at most what y shares with L, so x and y fail too. Linked nodes that
-the leader leaves apart therefore meet in a group (leader, shingle above the leader's count), and groups that still
-hold several components are treated as buckets were, each again with its lightest node, until no group is left. So a
-large group of copies costs a comparison for each member and leader, never one for each pair.
+hold more often than L does, what they share is at most what y shares with L, so x and y fail too. Moreover they share a weight of at
+least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold t. So linked nodes that the leader
+leaves apart meet in a group (leader, shingle) if each lists its shingles above the leader in one order, up to where
+what follows weighs less than its need (a ninth of a text at most, at 0.8). Groups that hold several components are
+treated as buckets were, each again with its lightest node, until a round joins no components any more. So a large
+group of copies costs a comparison for each member and leader, never one for each pair.
 
 Components spread by table joins and pointer jumps, cut by written tables.
 
@@ -151,15 +153,17 @@ def band_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int
     return rows.select(F.xxhash64("band", "bucket").alias("grp"), "node", "weight")
 
 
-def similarities(pairs: DataFrame, docs: DataFrame, sampler: Sampler, text: str = "text", size: int = SHINGLE) -> DataFrame:
+def similarities(
+    pairs: DataFrame, docs: DataFrame, sampler: Sampler, threshold: float = THRESHOLD, text: str = "text", size: int = SHINGLE
+) -> DataFrame:
     """Pairs (a, b, listed) of nodes with the weighted Jaccard similarity of the whole texts and, where ``listed`` is
-    true, the shingles that b holds more often than a."""
+    true, the shingles that b holds more often than a, as far as a node linked to b may need them."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for half in chunks(batch, 3):
                 for part in chunks(half, 4):
-                    yield _compared(part, sampler, size)
+                    yield _compared(part, sampler, threshold, size)
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     texts = docs.select(F.unhex(node(text)).alias("node"), F.col(quoted(text)).alias("text"))
@@ -171,24 +175,26 @@ def similarities(pairs: DataFrame, docs: DataFrame, sampler: Sampler, text: str
     )
 
 
-def _compared(part: pa.RecordBatch, sampler: Sampler, size: int) -> pa.RecordBatch:
+def _compared(part: pa.RecordBatch, sampler: Sampler, threshold: float, size: int) -> pa.RecordBatch:
     sides = []
     for column in (3, 4):
         listed = part.column(column).dictionary_encode()  # a leader's text is cut up once
         values, of, counts = distinct_shingles(listed.dictionary, size)
         bounds = np.searchsorted(of, np.arange(len(listed.dictionary) + 1))
-        sides.append((listed.indices.to_numpy(), values, bounds, counts, sampler.weights(values, counts)))
+        sides.append((listed.indices.to_numpy(), values, bounds, sampler.weights(values, counts)))
     out, above = np.zeros(part.num_rows), []
     for i, listed in enumerate(part.column(2).to_pylist()):
-        (va, ca, wa), (vb, cb, wb) = [[x[s[k[i]] : s[k[i] + 1]] for x in (v, c, w)] for k, v, s, c, w in sides]
+        (va, wa), (vb, wb) = [[x[s[k[i]] : s[k[i] + 1]] for x in (v, w)] for k, v, s, w in sides]
         _, in_a, in_b = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
         shared = np.minimum(wa[in_a], wb[in_b]).sum()
         total = wa.sum() + wb.sum() - shared
         out[i] = shared / total if total > 0 else 0.0
         if listed:
-            more = np.ones(len(vb), bool)
-            more[in_b] = cb[in_b] > ca[in_a]
-            above.append(vb[more].view(np.int64))
+            excess = wb.copy()
+            excess[in_b] -= np.minimum(wa[in_a], wb[in_b])
+            need = threshold / (1 + threshold) * (wa.sum() + wb.sum()) - shared
+            follows = np.cumsum(excess[::-1])[::-1]
+            above.append(vb[(excess > 0) & (follows >= need - 1e-9)].view(np.int64))
         else:
             above.append(None)
     columns = [part.column(0), part.column(1), pa.array(out), pa.array(above, pa.list_(pa.int64()))]
@@ -198,20 +204,18 @@ def _compared(part: pa.RecordBatch, sampler: Sampler, size: int) -> pa.RecordBat
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes in edges (a, b): the least node of its component.
 
-    Each step takes the least label among neighbours and then that label's own label, until none changes.
+    Each step takes the least label among neighbours and the own label's label, until none changes.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "links")
     labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
-        least = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        least = stored(least, "labels")
-        jumps = least.select(F.col("node").alias("at"), F.col("label").alias("next"))
-        jumped = least.join(jumps, F.col("label") == F.col("at")).select("node", "old", F.least("label", "next").alias("label"))
-        jumped = stored(jumped, "labels")
-        labels = jumped.select("node", "label")
-        if jumped.filter("label <> old").isEmpty():
+        jumps = labels.select(F.col("node").alias("at"), F.col("label").alias("next"))
+        step = labels.join(near, F.col("node") == F.col("a")).join(jumps, F.col("label") == F.col("at"))
+        step = stored(step.select("node", F.col("label").alias("old"), F.least("label", "near", "next").alias("label")), "labels")
+        labels = step.select("node", "label")
+        if step.filter("label <> old").isEmpty():
             return labels
 
 
@@ -235,17 +239,26 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
         pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
         if compared is not None:
             pairs = pairs.join(compared.filter("above is not null or not listed").select("a", "b"), ["a", "b"], "left_anti")
-        new = stored(similarities(pairs, docs, sampler, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
+        new = stored(similarities(pairs, docs, sampler, threshold, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
         found = new.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
         if labels is not None:
             known = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
             other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
             joining = found.join(known, "a", "left").join(other, "b", "left").filter("not (coalesce(la, a) = coalesce(lb, b))")
+            joining = stored(joining, "minhash-joining")
             if joining.isEmpty():
                 return links
+            # Components are joined as nodes of a graph of their own.
+            joined = components(joining.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+            everyone = labels.select("node", "label").unionByName(
+                joined.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti")
+            )
+            renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+            labels = stored(everyone.join(renamed, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
+        else:
+            labels = components(found)
         compared = new if compared is None else compared.unionByName(new)
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
 
         named = led.join(labels, "node", "left").select("grp", "leader", "node", "n", F.coalesce("label", "node").alias("label"))
         # Groups whose members beside the leader are of one component have nothing to find.
