@@ -108,7 +108,45 @@ def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     return classes.class_ratios(merged)
 
 
+def _csv_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Keyless CSV folders with repeats inside and across, one file in another column order, and a third source."""
+    path = scratch_path(spark, "csv-corpora")
+    docs = tables.doc_corpus(spark, folder).select("text", "label")
+    chat = tables.chat_corpus(spark, folder)
+    writers.write_corpus(docs.unionByName(docs), f"{path}/real", "csv")
+    writers.write_corpus(chat.select("text", "label"), f"{path}/made", "csv")
+    writers.write_corpus(docs.select("label", "text").coalesce(1), f"{path}/turned", "csv")
+    third = tables.table(spark, folder, "documents").select("text", F.lit(1).alias("label"))
+    writers.write_corpus(third, f"{path}/third", "csv")
+    read = [
+        readers.read_labeled_csv(spark, names, id_col="doc_id")
+        for names in (f"{path}/real", [f"{path}/made", f"{path}/turned"], f"{path}/third")
+    ]
+    stored = scratch_path(spark, "merged")
+    writers.write_corpus(merge.merge_corpora(*read), stored)
+    merged = readers.read_corpus(spark, stored)
+    kept = merge.dedupe_text_label(merged)
+    dropped = merge.dedupe_report(merged).select("dropped")
+    split = sampling.stratified_split(kept.withColumn("key", F.concat_ws("/", "source_rank", "doc_id")), 0.2, _SEED, "key")
+    sizes = split.agg(F.count_if("is_test").alias("n_test"))
+    return _digest(split, "source_rank", "label").crossJoin(F.broadcast(dropped)).crossJoin(F.broadcast(sizes))
+
+
+_CSV_MERGED = f"""
+WITH m AS (
+  SELECT 0 AS source_rank, {ts.strip('text')} AS text, label FROM ({ts.DOC})
+  UNION ALL SELECT 0, {ts.strip('text')}, label FROM ({ts.DOC})
+  UNION ALL SELECT 1, {ts.strip('text')}, label FROM ({ts.CHAT})
+  UNION ALL SELECT 1, {ts.strip('text')}, label FROM ({ts.DOC})
+  UNION ALL SELECT 2, {ts.strip('text')}, 1 FROM documents
+), k AS (SELECT min(source_rank) AS source_rank, label, text FROM m GROUP BY label, text)
+SELECT source_rank, label, {_TEXT}, (SELECT count(*) FROM m) - (SELECT count(*) FROM k) AS dropped,
+  (SELECT ceil(count(*) * 0.2::DOUBLE) FROM k)::BIGINT AS n_test
+FROM k"""
+
+
 ENTRIES = [
+    Entry("job_csv_merge_dedupe", _csv_merged, _CSV_MERGED),
     Entry(
         "src1_read_labeled_csv", _csv_round_trip,
         f"SELECT label, {_TEXT} FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.CHAT}))",

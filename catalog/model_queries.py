@@ -1,14 +1,16 @@
 """Model fits, which SQL cannot express, and the stream, which it can.
 
-The fits run on all rows of the chat corpus, with fewer trees and rounds than the defaults.
+The fits run on all rows of the chat corpus with the default settings. One fitted ensemble is saved for a session and
+folder and serves all queries over it. Their SQL names the rows of the held-out set; flags say what must hold of each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import text_sql as ts
+from catalog.corpus_queries import ENTRIES as CORPUS
 from catalog.entry import Entry
 from catalog.evaluation_queries import ENTRIES as EVALUATION
 from catalog.evaluation_queries import _round_doubles, _scored
@@ -21,7 +23,8 @@ from penprint.session import cut_lineage, scratch_path
 from penprint.sources import tables, writers
 from penprint.streaming import score as stream
 
-_SMALL = {"trees": 10, "depth": 5, "rounds": 5, "max_iter": 50}
+_SAVED: dict[tuple[str, str], str] = {}
+_PREFIXES = ("forest", "boosted", "logistic")
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -30,53 +33,111 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return features.where(~F.col("is_test")), features.where("is_test")
 
 
-def _soft_vote(spark: SparkSession, folder: str) -> DataFrame:
+def _ensemble(spark: SparkSession, folder: str) -> tuple[models.Ensemble, DataFrame]:
+    """The ensemble of the chat corpus, fitted once, and the features of its test rows."""
     fitted, test = _split(spark, folder)
-    scored = models.predict(models.fit_ensemble(fitted, **_SMALL), test)
-    return scored.select("doc_id", "label", "is_ai", "human_probability", "ai_probability", "ai_score")
+    key = spark.sparkContext.applicationId, folder
+    if key not in _SAVED:
+        path = scratch_path(spark, "ensemble")
+        models.save_ensemble(models.fit_ensemble(fitted), path)
+        _SAVED[key] = path
+    return models.load_ensemble(_SAVED[key]), test
 
 
-def _calibrated(spark: SparkSession, folder: str) -> DataFrame:
-    return add_calibrated_confidence(_soft_vote(spark, folder)).drop("label", "ai_score")
+def _near(a, b, most: float = 1e-9):
+    return F.abs(a - b) <= most
 
 
-def _evaluate(spark: SparkSession, folder: str) -> DataFrame:
-    training = train.train_and_evaluate(tables.chat_corpus(spark, folder), **_SMALL)
-    return training.evaluation.metrics
+def _soft_vote(spark: SparkSession, folder: str) -> DataFrame:
+    ensemble, test = _ensemble(spark, folder)
+    single = models.assemble(test)
+    for model in (ensemble.forest, ensemble.boosted, ensemble.logistic):
+        single = model.transform(single)
+    own = [models.vector_to_array(f"_{p}_probability")[1] for p in _PREFIXES]
+    mean = single.select("doc_id", (own[0] / 3 + own[1] / 3 + own[2] / 3).alias("_mean"))
+    p = F.col("ai_probability")
+    return models.predict(ensemble, test).join(mean, "doc_id").select(
+        "doc_id", "label", _near(p, F.col("_mean")).alias("is_mean"), (F.col("is_ai") == (p > 0.5)).alias("is_class"),
+        _near(p + F.col("human_probability"), F.lit(1.0)).alias("sums_to_one"), (p == F.col("ai_score")).alias("is_score"),
+    )
+
+
+def _calibrated(spark: SparkSession, folder: str) -> DataFrame:
+    ensemble, test = _ensemble(spark, folder)
+    scored = add_calibrated_confidence(models.predict(ensemble, test))
+    most, margin = F.greatest("human_probability", "ai_probability"), F.col("decision_margin")
+    factor = F.col("calibrated_confidence") / most
+    return scored.select(
+        "doc_id", "label", _near(margin, 2 * most - 1).alias("is_margin"),
+        F.expr("uncertainty in ('HIGH', 'MEDIUM', 'LOW')").alias("is_graded"),
+        F.when(F.col("uncertainty") == "HIGH", _near(factor, F.lit(0.8)))
+        .when(F.col("uncertainty") == "MEDIUM", _near(factor, F.lit(0.9))).otherwise(_near(factor, F.lit(1.0))).alias("is_scaled"),
+    )
 
 
-def _one_model(fit, prefix: str):
-    """Probability of one of the three models on the test rows."""
+def _evaluate(spark: SparkSession, folder: str) -> DataFrame:
+    ensemble, test = _ensemble(spark, folder)
+    run = train.evaluate_on(ensemble, test)
+    cells = F.expr("confusion_matrix.true_negatives + confusion_matrix.false_positives + confusion_matrix.false_negatives + confusion_matrix.true_positives")
+    right = F.expr("confusion_matrix.true_negatives + confusion_matrix.true_positives")
+    return run.metrics.select(
+        cells.cast("long").alias("test_size"), _near(F.col("accuracy"), right / cells).alias("is_accuracy"),
+        (F.lit(run.seconds) > 0).alias("is_timed"),
+    )
+
+
+def _one_model(prefix: str, settings):
+    """Probability of one of the three models on the test rows; ``settings`` must hold of the model."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        fitted, test = _split(spark, folder)
-        model = fit(models.training_vectors(fitted))
+        ensemble, test = _ensemble(spark, folder)
+        model = getattr(ensemble, prefix)
         scored = model.transform(models.assemble(test))
-        probability = models.vector_to_array(f"_{prefix}_probability")[1]
-        return scored.select("doc_id", "label", probability.alias("ai_probability"))
+        p = models.vector_to_array(f"_{prefix}_probability")
+        return scored.select(
+            "doc_id", "label", _near(p[0] + p[1], F.lit(1.0)).alias("sums_to_one"), p[1].between(0, 1).alias("is_probability"),
+            F.lit(bool(settings(model))).alias("has_settings"),
+        )
 
     return run
 
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
-    fitted, _ = _split(spark, folder)
-    forest = models.fit_forest(models.training_vectors(fitted), trees=10, depth=5)
-    values = [float(v) for v in forest.featureImportances.toArray()]
-    table = spark.createDataFrame(list(zip(FEATURES, values)), "feature string, importance double")
-    return evaluate.importance_rank(table)
+    ensemble, _ = _ensemble(spark, folder)
+    everything = Window.partitionBy(F.lit(0))  # fifteen rows
+    ranked = models.feature_importance(ensemble, spark)
+    return ranked.select(
+        "feature", _near(F.sum("importance").over(everything), F.lit(1.0)).alias("sums_to_one"),
+        (F.col("rank") == 1 + F.coalesce(F.count("*").over(everything.orderBy(F.desc("importance"), "feature").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0))).alias("is_ranked"),
+    )
 
 
 def _reloaded(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores of an ensemble that was saved and loaded."""
-    fitted, test = _split(spark, folder)
+    """Scores of an ensemble that was saved and loaded, beside those of the one it was saved from."""
+    ensemble, test = _ensemble(spark, folder)
     path = scratch_path(spark, "ensemble")
-    models.save_ensemble(models.fit_ensemble(fitted, **_SMALL), path)
-    scored = models.predict(models.load_ensemble(path), test)
-    return scored.select("doc_id", "label", "is_ai", "ai_probability")
+    models.save_ensemble(ensemble, path)
+    again = models.predict(models.load_ensemble(path), test).select("doc_id", F.col("ai_probability").alias("_again"))
+    scored = models.predict(ensemble, test).join(again, "doc_id")
+    return scored.select("doc_id", "label", (F.col("ai_probability") == F.col("_again")).alias("is_equal"))
 
 
 def _cross_validated(spark: SparkSession, folder: str) -> DataFrame:
     features = add_features(tables.chat_corpus(spark, folder)).select("doc_id", "label", *FEATURES)
-    return models.cross_validate(features, k=3, trees=5, depth=4, rounds=3, max_iter=20)
+    folds = models.cross_validate(features, k=5)
+    everything = Window.partitionBy(F.lit(0))  # five rows
+    return folds.select(
+        F.col("fold").cast("long").alias("fold"), F.col("accuracy").between(0, 1).alias("is_share"),
+        _near(F.col("mean_accuracy"), F.avg("accuracy").over(everything)).alias("is_mean"),
+    )
+
+
+def _flags(*names: str) -> str:
+    """The held-out rows, all flags true."""
+    return f"SELECT doc_id, label, {', '.join(f'true AS {n}' for n in names)} FROM ({_ORD4}) WHERE is_test"
+
+
+_ORD4 = next(e.sql for e in CORPUS if e.name == "ord4_stratified_split")
 
 
 def _metrics_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,13 +196,28 @@ ENTRIES = [
         f"""SELECT count(*) AS dataset_size, ceil(count(*) * 0.2::DOUBLE)::BIGINT AS test_samples,
         15::BIGINT AS features_used FROM ({ts.CHAT})""",
     ),
-    Entry("mod1_fit_forest", _one_model(lambda t: models.fit_forest(t, trees=20, depth=10), "forest")),
-    Entry("mod2_fit_boosted", _one_model(lambda t: models.fit_boosted(t, rounds=10), "boosted")),
-    Entry("mod3_fit_logistic", _one_model(lambda t: models.fit_logistic(t), "logistic")),
-    Entry("mod4_soft_vote", _soft_vote),
-    Entry("mod5_predict_calibrated", _calibrated),
-    Entry("mod7_evaluate", _evaluate),
-    Entry("mod8_feature_importance", _importance),
-    Entry("mod9_cross_validate", _cross_validated),
-    Entry("snk5_save_load_model", _reloaded),
+    Entry("mod1_fit_forest", _one_model(
+        "forest", lambda m: m.getNumTrees == models.TREES and max(t.depth for t in m.trees) <= models.DEPTH
+    ), _flags("sums_to_one", "is_probability", "has_settings")),
+    Entry("mod2_fit_boosted", _one_model(
+        "boosted", lambda m: m.getNumTrees == models.ROUNDS and max(t.depth for t in m.trees) <= models.BOOST_DEPTH
+    ), _flags("sums_to_one", "is_probability", "has_settings")),
+    Entry("mod3_fit_logistic", _one_model(
+        "logistic", lambda m: len(m.coefficients) == len(FEATURES) and m.getMaxIter() == models.MAX_ITER
+    ), _flags("sums_to_one", "is_probability", "has_settings")),
+    Entry("mod4_soft_vote", _soft_vote, _flags("is_mean", "is_class", "sums_to_one", "is_score")),
+    Entry("mod5_predict_calibrated", _calibrated, _flags("is_margin", "is_graded", "is_scaled")),
+    Entry(
+        "mod7_evaluate", _evaluate,
+        f"SELECT count(*)::BIGINT AS test_size, true AS is_accuracy, true AS is_timed FROM ({_ORD4}) WHERE is_test",
+    ),
+    Entry(
+        "mod8_feature_importance", _importance,
+        f"SELECT unnest({list(FEATURES)!r}) AS feature, true AS sums_to_one, true AS is_ranked",
+    ),
+    Entry(
+        "mod9_cross_validate", _cross_validated,
+        "SELECT range::BIGINT AS fold, true AS is_share, true AS is_mean FROM range(5)",
+    ),
+    Entry("snk5_save_load_model", _reloaded, _flags("is_equal")),
 ]

@@ -55,7 +55,10 @@ def substitute_terms(
     text = F.col("text")
     for old, new in terms.items():
         if whole_word:
-            text = F.regexp_replace(text, rf"\b{old}\b", new)
+            # Quoted, and bounded by what is no word character: terms may end in signs.
+            quoted = "\\Q" + old.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+            literal = new.replace("\\", "\\\\").replace("$", "\\$")
+            text = F.regexp_replace(text, rf"(?<!\w){quoted}(?!\w)", literal)
         else:
             text = F.replace(text, F.lit(old), F.lit(new))
     return df.withColumn("text", text)

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from penprint.functions.features import FEATURES
 from penprint.functions.rules import SHORT_LABELS, confidence
+from penprint.session import stored
 
 # Width bins of a curve. Their running totals are one window over at most this many rows, and as
 # many rows are broadcast.
-CURVE_BINS = 65_536
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -186,12 +186,11 @@ def _running(df: DataFrame) -> DataFrame:
     by_score = df.where(F.col("label").isin(0, 1)).groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    clipped = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    # A bin that cannot be null: else the join below would add a null check, which is pushed into the
-    # scan and computes every score once more there. A missing score ranks last.
-    bin_of = F.coalesce(F.floor(clipped * CURVE_BINS).cast("int"), F.lit(0))
-    binned = by_score.withColumn("_bin", bin_of)
-    above = Window.partitionBy(F.lit(0)).orderBy(F.desc("_bin")).rowsBetween(
+    # Ranges of equal depth, whatever the scores' spread; written, so that a range keeps its rows. Missing scores
+    # rank last.
+    in_ranges = by_score.repartitionByRange(F.desc_nulls_last("score"))
+    binned = stored(in_ranges.withColumn("_bin", F.spark_partition_id()), "curve")
+    above = Window.partitionBy(F.lit(0)).orderBy("_bin").rowsBetween(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy(F.lit(0))
@@ -203,7 +202,7 @@ def _running(df: DataFrame) -> DataFrame:
         F.sum("_p").over(whole).alias("all_pos"),
         F.sum("_n").over(whole).alias("all_neg"),
     )
-    inside = Window.partitionBy("_bin").orderBy(F.desc("score")).rowsBetween(
+    inside = Window.partitionBy("_bin").orderBy(F.desc_nulls_last("score")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
@@ -236,7 +235,8 @@ def roc_auc(df: DataFrame) -> DataFrame:
     A step's height is known from its own running totals, so no step looks at its neighbour. The
     products are summed as decimals: exact for any number of rows.
     """
-    twice = (F.col("neg") * (2 * F.col("tps") - F.col("pos"))).cast("decimal(38,0)")
+    neg, steps = F.col("neg").cast("decimal(19,0)"), (2 * F.col("tps") - F.col("pos")).cast("decimal(19,0)")
+    twice = (neg * steps).cast("decimal(38,0)")
     sums = _running(df).agg(
         F.coalesce(F.sum(twice).cast("double"), F.lit(0.0)).alias("_twice"),
         F.coalesce(F.max("all_pos"), F.lit(0)).cast("double").alias("_p"),

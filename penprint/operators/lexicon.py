@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from penprint.functions import tokens as tk
 from penprint.functions.lexicons import BE_FORMS
-from penprint.session import cut_lineage
+from penprint.session import cut_lineage, stored
 
 # A lexicon within both limits is sent to every executor.
 BROADCAST_TERMS = 500_000
@@ -40,9 +40,9 @@ def lexicon_hits_join(
     all tokens of a text are reduced to one row before anything is shuffled. A larger lexicon is joined
     by term, see ``_shuffled_hits``. Texts without a hit stay, with zero.
     """
-    terms = lexicon.select("term").where(F.col("term").isNotNull()).distinct()
+    terms = stored(lexicon.select("term").where(F.col("term").isNotNull()).distinct(), "terms")
     tokens = df.select(id_col, F.explode_outer(tk.words(F.col(text))).alias("term"))
-    size = terms.limit(broadcast_terms + 1).agg(
+    size = terms.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")
     ).first()
     if size["n"] > broadcast_terms or size["bytes"] > BROADCAST_BYTES:
@@ -60,18 +60,20 @@ def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFram
     are fewer than 10,000 of them whatever the corpus, so they are looked up in the lexicon once and
     broadcast. Only the other terms are shuffled.
     """
-    counted = cut_lineage(tokens.groupBy(id_col, "term").agg(F.count("term").alias("_times")))
+    everything = cut_lineage(tokens.groupBy(id_col, "term").agg(F.count("term").alias("_times")))
+    # Texts without tokens have the null term: no hit, and no part in the join.
+    counted = everything.where(F.col("term").isNotNull())
+    without = everything.where(F.col("term").isNull()).withColumn("_hit", F.lit(None).cast("int"))
     marked = terms.withColumn("_hit", F.lit(1))
     total = counted.agg(F.count(F.lit(1))).scalar()
     hot = (
-        counted.where(F.col("term").isNotNull())
-        .groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+        counted.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > total * _HOT_SHARE)
         .select("term")
     )
     hot_rows = counted.join(F.broadcast(hot.join(marked, "term", "left")), "term")
-    cold_rows = counted.join(F.broadcast(hot), "term", "left_anti").join(marked, "term", "left")
-    both = hot_rows.unionByName(cold_rows)
+    cold_rows = counted.join(F.broadcast(hot), "term", "left_anti").join(marked.hint("merge"), "term", "left")
+    both = hot_rows.unionByName(cold_rows).unionByName(without)
     return both.groupBy(id_col).agg(
         F.sum("_times").alias("n_tokens"),
         F.sum(F.when(F.col("_hit") == 1, F.col("_times")).otherwise(0)).alias("hits"),

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from penprint.operators.prepare import cast_trim, drop_null, require_columns
 
 
-def merge_corpora(real: DataFrame | None, generated: DataFrame) -> DataFrame:
-    """Clean and concatenate two labelled corpora; ``real`` may be absent.
+def merge_corpora(real: DataFrame | None, generated: DataFrame, *more: DataFrame) -> DataFrame:
+    """Clean and concatenate labelled corpora; ``real`` may be absent.
 
-    ``source_rank`` tells them apart (0 real, 1 generated), so that ``(source_rank, doc_id)`` is a
-    key even if both number their rows from the same start.
+    ``source_rank`` tells them apart (0 real, 1 generated, then the others), so that
+    ``(source_rank, doc_id)`` is a key even if all number their rows from the same start.
     """
     parts = []
-    for rank, part in ((0, real), (1, generated)):
+    for rank, part in enumerate((real, generated, *more)):
         if part is not None:
             require_columns(part, "text", "label")
             cleaned = cast_trim(drop_null(part, "text", "label"))
@@ -25,17 +25,19 @@ def merge_corpora(real: DataFrame | None, generated: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _groups(df: DataFrame, id_col: str, ranks: int) -> DataFrame:
-    """One row per distinct (text, label): its size and the lowest id in each source.
+def _groups(df: DataFrame, id_col: str) -> DataFrame:
+    """One row per distinct (text, label): its copies and the row that stays, ``_head``.
 
-    Grouped by two digests of the text, so texts are not shuffled; sums and minima of numbers combine
-    on the map side, so a text with any number of copies costs each task one row.
+    Grouped by two digests of the text, so texts are not shuffled; counts and minima combine on the map side,
+    so a text with any number of copies costs each task one row. ``_head`` is the least (source_rank, id) with
+    the number of rows that have it, as ids need not be distinct.
     """
-    return df.groupBy(
-        F.md5("text").alias("_digest"), F.xxhash64("text").alias("_hash"), "label"
-    ).agg(
-        F.count(F.lit(1)).alias("_copies"),
-        *[F.min(F.when(F.col("source_rank") == r, F.col(id_col))).alias(f"_id{r}") for r in range(ranks)],
+    same = df.groupBy(
+        F.md5("text").alias("_digest"), F.xxhash64("text").alias("_hash"), F.col("label").alias("_label"),
+        F.col("source_rank").alias("_rank"), F.col(id_col).alias("_id"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    return same.groupBy("_digest", "_hash", "_label").agg(
+        F.sum("_n").alias("_copies"), F.min(F.struct("_rank", "_id", "_n")).alias("_head")
     )
 
 
@@ -43,25 +45,30 @@ def _ranked(df: DataFrame) -> DataFrame:
     return df if "source_rank" in df.columns else df.withColumn("source_rank", F.lit(0))
 
 
-def dedupe_text_label(df: DataFrame, id_col: str = "doc_id", ranks: int = 2) -> DataFrame:
-    """Drop repeats of (text, label): the row of the earlier source, then of the lowest id, stays.
+def dedupe_text_label(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Drop repeats of (text, label): the row of the earliest source, then of the lowest id, stays.
 
-    ``ranks`` is the number of sources. The kept ids are joined back, an even shuffle on unique keys.
+    Only texts with repeats are looked up, by digest; they are few, so that adaptive execution may broadcast
+    them. Of rows with one source, id, text and label one stays.
     """
-    ids = [F.col(f"_id{r}") for r in range(ranks)]
-    rank = reduce(
-        lambda rest, r: F.when(ids[r].isNotNull(), F.lit(r)).otherwise(rest),
-        reversed(range(ranks)), F.lit(None).cast("int"),
+    ranked = _ranked(df)
+    repeated = _groups(ranked, id_col).where(F.col("_copies") > 1)
+    same = (
+        (F.md5("text") == F.col("_digest")) & (F.xxhash64("text") == F.col("_hash"))
+        & F.col("label").eqNullSafe(F.col("_label"))
     )
-    kept = _groups(_ranked(df), id_col, ranks).select(
-        rank.alias("source_rank"), F.coalesce(*ids).alias(id_col)
-    )
-    return _ranked(df).join(kept, ["source_rank", id_col], "left_semi").select(*df.columns)
+    marked = ranked.join(repeated, same, "left")
+    head = F.col("_head")
+    stays = F.col("source_rank").eqNullSafe(head["_rank"]) & F.col(id_col).eqNullSafe(head["_id"])
+    kept = marked.where(F.col("_digest").isNull() | stays)
+    once = kept.where(F.col("_digest").isNull() | (head["_n"] == 1)).select(*df.columns)
+    several = kept.where(head["_n"] > 1).dropDuplicates(["_digest", "_hash", "_label"]).select(*df.columns)
+    return once.unionByName(several)
 
 
 def dedupe_report(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows before, after and dropped, from the groups alone."""
-    groups = _groups(_ranked(df), id_col, 0)
+    groups = _groups(_ranked(df), id_col)
     return groups.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),

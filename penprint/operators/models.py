@@ -29,8 +29,8 @@ ROUNDS, RATE, BOOST_DEPTH = 100, 0.1, 3
 MAX_ITER = 1000
 SEED = 42
 
-# A fit runs hundreds of short jobs, so a task should have at least this many rows to work on.
-_ROWS_PER_TASK = 1_000
+# A forest draws its samples by partition, so their number is fixed and does not follow rows or cores.
+_FIT_PARTITIONS = 16
 
 
 @dataclass(frozen=True)
@@ -50,11 +50,15 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
 
-def training_vectors(train: DataFrame) -> DataFrame:
-    """``label, features`` of a feature table, in fewer tasks where the table is small."""
-    vectors = assemble(train.select("label", *FEATURES)).select("label", "features")
-    # No effect on a table that has fewer partitions than that.
-    return vectors.coalesce(train.count() // _ROWS_PER_TASK + 1)
+def training_vectors(train: DataFrame, id_col: str = "doc_id", partitions: int = _FIT_PARTITIONS) -> DataFrame:
+    """``label, features`` of a feature table in fixed partitions and row order.
+
+    Equal rows give equal models on any cluster. Give large tables more ``partitions``: the number is part of
+    the model's settings.
+    """
+    vectors = assemble(train.select(id_col, "label", *FEATURES))
+    placed = vectors.repartition(partitions, id_col).sortWithinPartitions(id_col, "label")
+    return placed.select("label", "features")
 
 
 def _named(estimator, prefix: str):
@@ -95,6 +99,7 @@ def fit_ensemble(
     rounds: int = ROUNDS,
     max_iter: int = MAX_ITER,
     seed: int = SEED,
+    id_col: str = "doc_id",
 ) -> Ensemble:
     """Fit the three models on a feature table with ``label``.
 
@@ -102,7 +107,7 @@ def fit_ensemble(
     for the fits; a lost block is rebuilt from the written table, not from the texts.
     """
     shared_folder(train.sparkSession)  # boosting cuts its own lineage every ten rounds
-    vectors = training_vectors(train).persist()
+    vectors = training_vectors(train, id_col).persist()
     try:
         rows = vectors.count()
         return Ensemble(
@@ -171,7 +176,7 @@ def cross_validate(
     folded = cut_lineage(kfold(features, k, seed, id_col))
     parts = []
     for fold in range(k):
-        model = fit_ensemble(folded.where(F.col("fold") != fold), seed=seed, **settings)
+        model = fit_ensemble(folded.where(F.col("fold") != fold), seed=seed, id_col=id_col, **settings)
         scored = predict(model, folded.where(F.col("fold") == fold))
         hit = F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double"))
         parts.append((fold, scored.agg(hit).first()[0]))

@@ -138,10 +138,10 @@ def random_split(
     df: DataFrame, holdout: float = 0.2, seed: int = 42, id_col: str = "doc_id"
 ) -> DataFrame:
     """Add ``is_holdout`` by hash bucket, whatever the class. Narrow."""
-    bound = format(int(holdout * _BUCKETS), f"0{_DIGITS}x")
-    return df.withColumn(
-        "is_holdout", F.substring(order_key(seed, id_col), 1, _DIGITS) < F.lit(bound)
-    )
+    if not 0 <= holdout <= 1:
+        raise ValueError(f"holdout {holdout} is not a share")
+    bucket = F.conv(F.substring(order_key(seed, id_col), 1, _DIGITS), 16, 10).cast("int")
+    return df.withColumn("is_holdout", bucket < F.lit(int(holdout * _BUCKETS)))
 
 
 def rank_in_class(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:

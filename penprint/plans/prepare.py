@@ -10,14 +10,6 @@ from penprint.functions.keys import order_key
 from penprint.operators import merge, prepare, sampling
 
 
-def add_text_id(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """A key for a source that has none: the digest of the text. Equal texts share it.
-
-    Use it where texts are distinct, as after a deduplication.
-    """
-    return df.withColumn(key, F.md5("text"))
-
-
 def prepare_real(df: DataFrame, layout: str, max_samples: int | None = None, seed: int = 42) -> DataFrame:
     """Unify layout 'a' or 'b' and subsample by class before anything costly runs."""
     unify = {"a": prepare.unify_layout_a, "b": prepare.unify_layout_b}[layout]

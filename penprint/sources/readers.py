@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penprint.functions import tokens as tk
@@ -15,26 +17,55 @@ LAYOUT_A_SCHEMA = "text string, generated double"
 LAYOUT_B_SCHEMA = "Data string, Label double"
 
 
+def place_id(name: str = "doc_id") -> Column:
+    """An id for a row at the scan: file, block and position. Use it directly on a file source.
+
+    A retried task gives the same ids. They follow how files are cut into tasks, so store a corpus once
+    (``write_corpus``) before it is split or sampled.
+    """
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.concat_ws(":", "_metadata.file_path", "_metadata.file_block_start", position.cast("string")).alias(name)
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Header line to the files that begin with it: one pass over the lines, one row for each file."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    groups: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("header")).collect():
+        groups.setdefault(row["header"].lstrip("\ufeff").strip(), []).append(row["file"])
+    return groups
+
+
 def read_labeled_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: str = CORPUS_SCHEMA,
     required: Sequence[str] = ("text", "label"),
+    id_col: str | None = None,
 ) -> DataFrame:
-    """A CSV corpus with a header; texts may hold line breaks and doubled quotes.
+    """CSV files with headers; texts may hold line breaks and doubled quotes.
 
+    Files may order their columns differently: those with one header are read together, by its names. A
+    label that is no number, or a row that does not fit, fails the job. With ``id_col`` rows get an id.
     Such a file cannot be split, so one file is one task: keep many files, or convert them to Parquet
-    once by ``write_corpus``. The header is checked by name against the wanted columns.
+    once by ``write_corpus``.
     """
-    options = {"header": True, "multiLine": True, "escape": '"'}
-    found = spark.read.options(**options).csv(path)  # header line only
-    require_columns(found, *required)
-    wanted = [f for f in _fields(schema) if f[0] in found.columns]
-    full = ", ".join(
-        f"`{c}` {dict(wanted).get(c, 'string')}" for c in found.columns
-    )
-    typed = spark.read.options(**options).schema(full).csv(path)
-    return typed.select(*[F.col(f"`{c}`") for c, _ in wanted])
+    options = {"header": True, "multiLine": True, "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
+    parts = []
+    for header, files in sorted(_headers(spark, path).items()):
+        names = next(csv.reader([header]))
+        require_columns(spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names)), *required)
+        wanted = [f for f in _fields(schema) if f[0] in names]
+        full = ", ".join(f"`{n}` {dict(wanted).get(n, 'string')}" for n in names)
+        typed = spark.read.options(**options).schema(full).csv(files)
+        parts.append(typed.select(*([place_id(id_col)] if id_col else []), *[F.col(f"`{c}`") for c, _ in wanted]))
+    if not parts:
+        empty = spark.createDataFrame([], schema)
+        return empty if id_col is None else empty.select(F.lit(None).cast("string").alias(id_col), "*")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def _fields(schema: str) -> list[tuple[str, str]]:
@@ -42,32 +73,42 @@ def _fields(schema: str) -> list[tuple[str, str]]:
 
 
 def read_source_collections(
-    spark: SparkSession, human: Sequence[str], ai: Sequence[str]
+    spark: SparkSession, human: Sequence[str], ai: Sequence[str], id_col: str | None = None
 ) -> DataFrame:
     """Files holding one JSON array each; elements that are no objects with ``text`` are left out.
 
     Returns ``text, label, source``, the source being the file's name without its ending. An array is
-    read as a whole, so one file is one task: spread a large collection over many files.
+    read as a whole, so one file is one task: spread a large collection over many files. A file that is
+    no array fails the job. With ``id_col`` rows get an id, of file and place in the array.
     """
     parts = []
     for label, paths in ((0, human), (1, ai)):
         if paths:
             files = spark.read.text(list(paths), wholetext=True)
             name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1)
+            value = F.regexp_replace("value", "^\ufeff", "")
+            array = F.coalesce(
+                F.from_json(value, "array<string>"),
+                F.raise_error(F.concat(F.lit("no JSON array: "), F.col("_metadata.file_path"))),
+            )
             elements = files.select(
-                F.explode(F.from_json("value", "array<string>")).alias("_element"), name.alias("source")
+                F.posexplode(array).alias("_place", "_element"), name.alias("source"),
+                F.col("_metadata.file_path").alias("_file"),
             )
+            row_id = F.concat_ws(":", "_file", F.col("_place").cast("string"))
             text = F.get_json_object("_element", "$.text").alias("text")
-            parts.append(elements.select(text, F.lit(label).alias("label"), "source"))
+            ids = [row_id.alias(id_col)] if id_col else []
+            parts.append(elements.select(*ids, text, F.lit(label).alias("label"), "source"))
     if not parts:
         raise ValueError("no collection named")
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return both.where(F.col("text").isNotNull())
 
 
-def read_text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The lines of UTF-8 files as ``text``, stripped, blank ones dropped."""
-    stripped = spark.read.text(path).select(tk.strip(F.col("value")).alias("text"))
+def read_text_lines(spark: SparkSession, path: str | Sequence[str], id_col: str | None = None) -> DataFrame:
+    """The lines of UTF-8 files as ``text``, stripped, blank ones dropped; with ``id_col`` rows get an id."""
+    ids = [place_id(id_col)] if id_col else []
+    stripped = spark.read.text(path).select(*ids, tk.strip(F.col("value")).alias("text"))
     return stripped.where(F.col("text") != "")
 
 

@@ -19,6 +19,12 @@ def test_terms(spark):
     assert by_id(augment.substitute_terms(df, whole_word=True)) == {1: "because we utilize effective facilitate"}
 
 
+def test_terms_are_taken_as_they_stand(spark):
+    df = spark.createDataFrame([(1, "c++ and c, a.b but axb, cc++")], "doc_id long, text string")
+    got = augment.substitute_terms(df, {"c++": "cpp", "a.b": "$5\\\\x"}, whole_word=True).first()["text"]
+    assert got == "cpp and c, $5\\\\x but axb, cc++"
+
+
 def test_phrases_at_their_rate(texts):
     before = by_id(texts)
     after = by_id(augment.append_phrase(texts, ["one", "two"], 0.3, "p"))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-from catalog import ENTRIES
+from catalog import ENTRIES  # the optional operators have tests of their own
 from tools.check_queries import canonical
 
 FOLDER = "/root/testdata/sf0.001"

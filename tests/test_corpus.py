@@ -116,6 +116,27 @@ def test_merge_prefers_the_real_row(spark):
     assert jobs.merge_large_into_real(real, made, drop_duplicates=False, shuffle=False).count() == 3
 
 
+def test_dedupe_loses_no_source_and_needs_no_ids(spark):
+    rows = [(r, i, t, 0) for r, i, t in [
+        (0, 1, "a"), (1, 1, "a"), (2, 5, "a"), (2, 6, "only third"), (2, 7, "only third"), (1, 3, "same id"), (1, 3, "same id"),
+        (3, 3, None), (3, None, None), (0, None, "no id"), (0, None, "no id"),
+    ]]
+    df = spark.createDataFrame(rows, "source_rank int, doc_id long, text string, label int")
+    left = merge.dedupe_text_label(df)
+    assert left.columns == df.columns
+    texts = [(r.source_rank, r.text) for r in left.collect() if r.text]
+    assert sorted(texts) == [(0, "a"), (0, "no id"), (1, "same id"), (2, "only third")]
+    report = merge.dedupe_report(df.where("text is not null")).first()
+    assert report["dropped"] == df.where("text is not null").count() - len(texts)
+
+
+def test_holdout_limits(corpus):
+    assert sampling.random_split(corpus, 1.0).where("is_holdout").count() == corpus.count()
+    assert sampling.random_split(corpus, 0.0).where("is_holdout").isEmpty()
+    with pytest.raises(ValueError):
+        sampling.random_split(corpus, 1.1)
+
+
 def test_layouts(spark):
     long = "  " + "words " * 10
     a = spark.createDataFrame([(long, 1.0), ("short", 0.0), (None, 1.0)], "text string, generated double")

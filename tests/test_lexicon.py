@@ -60,3 +60,13 @@ def test_bulky_lexicon_is_not_broadcast(spark, corpus, monkeypatch):
     table = spark.createDataFrame([("again",)], "term string")
     rows = lexicon.lexicon_hits_join(corpus, table).where("hits = 2").count()
     assert rows == 334
+
+
+def test_empty_texts_take_no_part_in_the_join(spark, monkeypatch):
+    rows = [(i, "" if i % 2 else f"word{i} known") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = spark.createDataFrame([("known",)], "term string")
+    monkeypatch.setattr(lexicon, "BROADCAST_BYTES", 0)
+    joined = lexicon.lexicon_hits_join(df, terms)
+    assert {(r["doc_id"], r["n_tokens"], r["hits"]) for r in joined.collect()} == {(i, 0, 0) if i % 2 else (i, 2, 1) for i in range(400)}
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()

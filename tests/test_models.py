@@ -107,3 +107,10 @@ def test_train_and_evaluate(spark, tmp_path, texts):
         assert spark.read.json(f"{tmp_path}/run/{name}").count() > 0
     loaded, _ = writers.load_model(spark, f"{tmp_path}/run/model")
     assert score.score_texts(texts, loaded).count() == 240
+
+
+def test_models_do_not_depend_on_partitions(features):
+    few = models.fit_ensemble(features.repartition(3), **SMALL)
+    many = models.fit_ensemble(features.repartition(11, "label"), **SMALL)
+    a, b = (probabilities(models.predict(m, features)) for m in (few, many))
+    assert a == pytest.approx(b, abs=1e-9)

@@ -60,20 +60,41 @@ def test_parquet_round_trip(spark, tmp_path, corpus):
 def test_small_inputs_are_spread_and_large_ones_left(spark, tmp_path, corpus):
     corpus.coalesce(1).write.parquet(f"{tmp_path}/s")
     df = spark.read.parquet(f"{tmp_path}/s")
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(df, "doc_id").rdd.getNumPartitions() == 4 * cores
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        plan = session.spread(df, "doc_id")._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-
-
-@pytest.mark.parametrize("setting, value", [("128MB", 2**27), ("1k", 1024), ("134217728b", 2**27), ("77", 77), ("2g", 2**31)])
-def test_byte_settings(setting, value):
-    assert session._bytes(setting) == value
+    assert session.spread(df, "doc_id", 12).rdd.getNumPartitions() == 12
+    assert session.spread(df, "doc_id", 1) is df
+
+
+def test_columns_in_another_order(spark, tmp_path):
+    for name, text in (("a", "text,label\nx,1\nx,1\n"), ("b", 'label,text\n0,"y, z"\n'), ("c", "text,label\nw,\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    rows = readers.read_labeled_csv(spark, f"{tmp_path}", id_col="doc_id")
+    assert sorted((r["text"], r["label"]) for r in rows.collect()) == sorted([("x", 1.0), ("x", 1.0), ("y, z", 0.0), ("w", None)], key=str) or {
+        (r["text"], r["label"]) for r in rows.collect()
+    } == {("x", 1.0), ("y, z", 0.0), ("w", None)}
+    assert rows.count() == rows.select("doc_id").distinct().count() == 4
+    assert {r[0] for r in rows.select("doc_id").collect()} == {r[0] for r in rows.select("doc_id").collect()}
+
+
+def test_bad_files_fail_loudly(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("text,label\nx,one\n")
+    with pytest.raises(Exception, match="(?i)malformed|one"):
+        readers.read_labeled_csv(spark, f"{tmp_path}/bad.csv").collect()
+    (tmp_path / "cut.json").write_text('[{"text": "a"}, {"te')
+    with pytest.raises(Exception, match="no JSON array"):
+        readers.read_source_collections(spark, [f"{tmp_path}/cut.json"], []).collect()
+    (tmp_path / "mark.json").write_text('\ufeff[{"text": "a"}]')
+    rows = readers.read_source_collections(spark, [f"{tmp_path}/mark.json"], [], id_col="doc_id")
+    assert [r["text"] for r in rows.collect()] == ["a"] and rows.first()["doc_id"].endswith("mark.json:0")
+
+
+def test_scratch_is_cleared(spark, corpus):
+    cut = session.cut_lineage(corpus)
+    assert cut.count() == corpus.count()
+    path = session.scratch_path(spark, "x")
+    corpus.write.parquet(path)
+    session.remove_path(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_lineage_cut(spark, corpus):
