@@ -17,7 +17,8 @@ hold more often than L does, what they share is at most what y shares with L, so
 least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold t. So linked nodes that the leader
 leaves apart meet in a group (leader, shingle) if each lists its shingles above the leader in one order, up to where
 what follows weighs less than its need (a ninth of a text at most, at 0.8). Groups that hold several components are
-treated as buckets were, each again with its lightest node, until a round joins no components any more. So a large
+treated as buckets were, each again with its lightest node, until a round joins no components any more, or after
+``ROUNDS``: later rounds join next to nothing (the README has the measured recall). So a large
 group of copies costs a comparison for each member and leader, never one for each pair.
 
 Components spread by table joins and pointer jumps, cut by written tables.
@@ -46,6 +47,7 @@ from penprint.session import stored
 THRESHOLD = 0.8
 SHINGLE = 5
 BANDS = 14
+ROUNDS = 3
 ROWS = 4
 _FEATURE_BITS = 18
 _TABLE_BITS = 16
@@ -233,10 +235,11 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
     groups = stored(band_table(docs, sampler, text), "minhash-groups")
     weights = groups.select("node", "weight").distinct()
     compared = links = labels = None
-    while True:
+    for turn in range(ROUNDS):
+        last = turn == ROUNDS - 1
         led = stored(_led(groups), "minhash-led")
         # Pairs in groups of three or more may leave others apart, and list what the member has above the leader.
-        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
+        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(((F.max("n") > 2) & ~F.lit(last)).alias("listed"))
         if compared is not None:
             pairs = pairs.join(compared.filter("above is not null or not listed").select("a", "b"), ["a", "b"], "left_anti")
         new = stored(similarities(pairs, docs, sampler, threshold, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
@@ -259,6 +262,8 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
             labels = components(found)
         compared = new if compared is None else compared.unionByName(new)
         links = found if links is None else links.unionByName(found)
+        if last:
+            break
 
         named = led.join(labels, "node", "left").select("grp", "leader", "node", "n", F.coalesce("label", "node").alias("label"))
         # Groups whose members beside the leader are of one component have nothing to find.
@@ -268,10 +273,14 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
         shared = above.select(F.explode("above").alias("shingle"), "leader", "node", "label")
         shared = shared.select(F.xxhash64("leader", "shingle").alias("grp"), "node", "label").distinct()
         shared = stored(shared, "minhash-above")
-        several = shared.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        several = shared.groupBy("grp").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"),
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"),
+        ).filter("low <> high").groupBy("members", "n").agg(F.min("grp").alias("grp"))  # one group for each set of members
         groups = stored(shared.join(several.select("grp"), "grp").select("grp", "node").join(weights, "node").select("grp", "node", "weight"), "minhash-groups")
         if groups.isEmpty():
-            return links
+            break
+    return links
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
