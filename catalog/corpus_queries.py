@@ -102,10 +102,11 @@ t AS (SELECT label, size - fl - CASE WHEN turn <= open_n THEN 1 ELSE 0 END AS te
 
 
 def _prepared(spark: SparkSession, folder: str) -> DataFrame:
-    """Prepare, merge, deduplicate and count: the whole preparation job."""
-    real = jobs.prepare_real(_layout_a(spark, folder), "a", 300)
+    """Prepare, merge, deduplicate, balance and count: the whole preparation job, on all rows."""
+    real = jobs.prepare_real(_layout_a(spark, folder), "a")
     merged = jobs.merge_large_into_real(real, jobs.prepare_real(_layout_b(spark, folder), "b"))
-    return classes.class_ratios(merged)
+    keyed = merged.withColumn("key", F.concat_ws("/", "source_rank", "doc_id"))
+    return classes.class_ratios(sampling.balance_to_minority(keyed, id_col="key"))
 
 
 def _csv_merged(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,10 +187,10 @@ ENTRIES = [
     ),
     Entry(
         "prj4_tag_provenance",
-        lambda spark, d: prepare.tag_provenance(
-            tables.table(spark, d, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("source")).alias("source")), 1
-        ),
-        """SELECT doc_id, CASE WHEN lang <> 'en' THEN source ELSE 'synthetic_ai' END AS source,
+        lambda spark, d: _digest(prepare.tag_provenance(tables.table(spark, d, "documents").select(
+            "doc_id", "text", F.when(F.col("lang") != "en", F.col("source")).alias("source")), 1
+        ), "doc_id", "source", "label", "category", "topic"),
+        f"""SELECT doc_id, {_TEXT}, CASE WHEN lang <> 'en' THEN source ELSE 'synthetic_ai' END AS source,
         1 AS label, 'formal_explanation' AS category, 'unknown' AS topic FROM documents""",
     ),
     Entry(
@@ -288,7 +289,7 @@ ENTRIES = [
     ),
     Entry(
         "ord6_head_per_class",
-        lambda spark, d: sampling.head_per_class(tables.chat_corpus(spark, d)).select("doc_id", "label"),
+        lambda spark, d: sampling.head_per_class(tables.chat_corpus(spark, d), 200).select("doc_id", "label"),
         f"WITH {_KEYED} SELECT doc_id, label FROM r, least_class WHERE rn <= least(200, smallest)",
     ),
     Entry(
@@ -340,22 +341,19 @@ ENTRIES = [
     ),
     Entry(
         "set3_stack_classes",
-        lambda spark, d: merge.stack_classes(
-            tables.table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn"),
-            tables.table(spark, d, "conversations").where("role = 'assistant'").select("conv_id", "turn"),
-        ),
-        """SELECT conv_id, turn, 0 AS label FROM conversations WHERE role = 'user'
-        UNION ALL SELECT conv_id, turn, 1 FROM conversations WHERE role = 'assistant'""",
+        lambda spark, d: _digest(merge.stack_classes(
+            tables.table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", "text"),
+            tables.table(spark, d, "conversations").where("role = 'assistant'").select("conv_id", "turn", "text"),
+        ), "conv_id", "turn", "label"),
+        f"""SELECT conv_id, turn, 0 AS label, {_TEXT} FROM conversations WHERE role = 'user'
+        UNION ALL SELECT conv_id, turn, 1, {_TEXT} FROM conversations WHERE role = 'assistant'""",
     ),
     Entry(
         "job_prepare_merge_balance", _prepared,
-        f"""WITH a AS (SELECT * FROM (SELECT doc_id, label, {ts.strip('text')} AS text FROM ({ts.DOC}))
-          WHERE length(text) > 30),
-        ra AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {ts.key(_SEED, 'doc_id')}) AS rn,
-          count(*) OVER () AS total FROM a),
-        u AS (SELECT text, label FROM ra WHERE total <= 300 OR rn <= 150
-          UNION SELECT * FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.CHAT}))
-          WHERE length(text) > 30)
-        SELECT label, count(*) AS n, count(*) / sum(count(*)) OVER ()::DOUBLE AS ratio FROM u GROUP BY label""",
+        f"""WITH u AS (SELECT * FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.DOC})) WHERE length(text) > 30
+          UNION SELECT * FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.CHAT})) WHERE length(text) > 30),
+        c AS (SELECT label, count(*) AS own FROM u GROUP BY label)
+        SELECT label, (SELECT min(own) FROM c) AS n,
+          (SELECT min(own) FROM c) / sum((SELECT min(own) FROM c)) OVER ()::DOUBLE AS ratio FROM c""",
     ),
 ]

@@ -57,7 +57,7 @@ def _contrast(spark: SparkSession, folder: str) -> DataFrame:
 
 def _contrast_sample(spark: SparkSession, folder: str) -> DataFrame:
     """The contrast over the first 200 texts of each class; only those are tokenised."""
-    sample = sampling.head_per_class(tables.chat_corpus(spark, folder))
+    sample = sampling.head_per_class(tables.chat_corpus(spark, folder), 200)
     return evaluate.feature_contrast(add_features(sample)).select(
         "feature", F.round("human_mean", 4).alias("human_mean"), F.round("ai_mean", 4).alias("ai_mean"),
     )

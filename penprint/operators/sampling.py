@@ -96,7 +96,7 @@ def balance_to_minority(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -
 
 
 def head_per_class(
-    df: DataFrame, k: int = 200, seed: int = 42, id_col: str = "doc_id"
+    df: DataFrame, k: int, seed: int = 42, id_col: str = "doc_id"
 ) -> DataFrame:
     """The first ``k`` rows of each class, or as many as the smaller class has."""
     return take_per_class(df, lambda: F.least(F.lit(k), F.col("smallest")), seed, id_col)
