@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.llm.exprs import quoted
-from penprint.llm.shingles import chunks, distinct_shingles, mixed
+from penprint.llm.shingles import chunks, distinct_shingles, mixed, shingle_hashes, word_hashes
 from penprint.session import stored
 
 THRESHOLD = 0.8
@@ -116,9 +116,10 @@ def feature_idf(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> np.
         table, rows = np.zeros(1 << _FEATURE_BITS, np.int64), 0
         for batch in batches:
             for part in chunks(batch, 0):
-                values, of, _ = distinct_shingles(part.column(0), size)
-                pairs = np.unique((of.astype(np.int64) << _FEATURE_BITS) | (values >> np.uint64(64 - _FEATURE_BITS)).astype(np.int64))
-                table += np.bincount(pairs & ((1 << _FEATURE_BITS) - 1), minlength=len(table))
+                values, of = shingle_hashes(*word_hashes(part.column(0)), size)
+                pairs = np.sort((of.astype(np.int64) << _FEATURE_BITS) | (values >> np.uint64(64 - _FEATURE_BITS)).astype(np.int64))
+                new = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
+                table += np.bincount(pairs[new] & ((1 << _FEATURE_BITS) - 1), minlength=len(table))
                 rows += part.num_rows
         used = np.flatnonzero(table)
         features = np.append(used, -1)  # -1: documents
