@@ -17,9 +17,11 @@ hold more often than L does, what they share is at most what y shares with L, so
 least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold t. So linked nodes that the leader
 leaves apart meet in a group (leader, shingle) if each lists its shingles above the leader in one order, up to where
 what follows weighs less than its need (a ninth of a text at most, at 0.8). Groups that hold several components are
-treated as buckets were, each again with its lightest node, until a round joins no components any more, or after
-``ROUNDS``: later rounds join next to nothing (the README has the measured recall). So a large
-group of copies costs a comparison for each member and leader, never one for each pair.
+treated as buckets were, each again with its lightest node, until no group of several components is left: a round that
+joins nothing does not end the search, as its leaders may stand between nodes that meet in the next. Leaders get heavier
+from round to round, so the rounds end. When all pairs of the groups that are left are no more than ``PAIRS`` a node,
+those of two components are compared at once, each once, which finds the same links: groups overlap, so these are few. So a large group of copies costs a comparison for each member and leader,
+never one for each pair; only large groups of texts that are alike, but not linked, take many rounds.
 
 Components spread by table joins and pointer jumps, cut by written tables.
 
@@ -47,7 +49,8 @@ from penprint.session import stored
 THRESHOLD = 0.8
 SHINGLE = 5
 BANDS = 14
-ROUNDS = 3
+#: The search ends with all pairs of the groups that are left once they are no more than so many a node, repeats counted.
+PAIRS = 100
 ROWS = 4
 _FEATURE_BITS = 18
 _TABLE_BITS = 16
@@ -230,41 +233,50 @@ def _led(groups: DataFrame) -> DataFrame:
     return led.filter("node <> leader")
 
 
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, label) after links (a, b) were found between components (node, label) and nodes without one."""
+    known = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    joining = found.join(known, "a", "left").join(other, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)")
+    joining = stored(joining, "minhash-joining")
+    if joining.isEmpty():
+        return labels
+    # Components are joined as nodes of a graph of their own.
+    joined = components(joining.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    everyone = labels.select("node", "label").unionByName(
+        joined.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti")
+    )
+    renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+    return stored(everyone.join(renamed, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
+
+
+def _across(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs (a, b), a the lighter one, of the nodes of groups (grp, node, weight) that are of two components."""
+    named = groups.join(labels, "node", "left").select("grp", F.struct("weight", "node").alias("at"), F.coalesce("label", "node").alias("label"))
+    one = named.select("grp", F.col("at").alias("one"), F.col("label").alias("label_a"))
+    other = named.select("grp", F.col("at").alias("other"), F.col("label").alias("label_b"))
+    pairs = one.join(other, "grp").filter("one < other and label_a <> label_b")
+    return pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, text: str = "text") -> DataFrame:
     """(a, b, similarity) of linked nodes: enough links to hold every class together."""
     sampler = Sampler(feature_idf(docs, text), seed)
     groups = stored(band_table(docs, sampler, text), "minhash-groups")
     weights = groups.select("node", "weight").distinct()
+    n_nodes = weights.count()
     compared = links = labels = None
-    for turn in range(ROUNDS):
-        last = turn == ROUNDS - 1
+    while True:
         led = stored(_led(groups), "minhash-led")
         # Pairs in groups of three or more may leave others apart, and list what the member has above the leader.
-        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(((F.max("n") > 2) & ~F.lit(last)).alias("listed"))
+        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
         if compared is not None:
             pairs = pairs.join(compared.filter("above is not null or not listed").select("a", "b"), ["a", "b"], "left_anti")
         new = stored(similarities(pairs, docs, sampler, threshold, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
         found = new.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
-        if labels is not None:
-            known = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-            other = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-            joining = found.join(known, "a", "left").join(other, "b", "left").filter("not (coalesce(la, a) = coalesce(lb, b))")
-            joining = stored(joining, "minhash-joining")
-            if joining.isEmpty():
-                return links
-            # Components are joined as nodes of a graph of their own.
-            joined = components(joining.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-            everyone = labels.select("node", "label").unionByName(
-                joined.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti")
-            )
-            renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
-            labels = stored(everyone.join(renamed, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
-        else:
-            labels = components(found)
+        labels = components(found) if labels is None else _joined(labels, found)
         compared = new if compared is None else compared.unionByName(new)
         links = found if links is None else links.unionByName(found)
-        if last:
-            break
 
         named = led.join(labels, "node", "left").select("grp", "leader", "node", "n", F.coalesce("label", "node").alias("label"))
         # Groups whose members beside the leader are of one component have nothing to find.
@@ -279,9 +291,13 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"),
         ).filter("low <> high").groupBy("members", "n").agg(F.min("grp").alias("grp"))  # one group for each set of members
         groups = stored(shared.join(several.select("grp"), "grp").select("grp", "node").join(weights, "node").select("grp", "node", "weight"), "minhash-groups")
-        if groups.isEmpty():
-            break
-    return links
+        left = groups.groupBy("grp").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0]
+        if left is None:
+            return links
+        if left <= PAIRS * n_nodes:
+            pairs = _across(groups, labels).join(compared.select("a", "b"), ["a", "b"], "left_anti").withColumn("listed", F.lit(False))
+            rest = stored(similarities(pairs, docs, sampler, threshold, text), "minhash-compared")
+            return links.unionByName(rest.filter(F.col("similarity") >= threshold).select("a", "b", "similarity"))
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from penprint.llm import shingles as sh
 from penprint.llm import suffix_levels as s
 from penprint.llm import weighted_minhash as m
 from penprint.llm import winnowing as w
@@ -115,6 +116,58 @@ def test_near_duplicate_classes(hard, hard_texts):
     assert sorted(r.doc_id for r in rows) == sorted({root(i) for i in ids})
 
 
+def nested_texts():
+    """Texts that keep each other apart round by round: lead 0 is unlike all, lead k shares the k first passages with x
+    and y, each a single heavy shingle, and x and y list the next one only. x and y are linked to each other only."""
+    rng = random.Random(11)
+
+    def value(words):
+        return int(sh.shingle_hashes(*sh.word_hashes(pa.array([" ".join(words)])), 5)[0][0]) / 2**64
+
+    def more(words, n):
+        """``words`` and so many more, each of which makes a shingle whose hash is in the upper half."""
+        words = list(words) or [f"w{rng.random()}" for _ in range(4)]
+        while n:
+            word = f"w{rng.randrange(10**9)}"
+            if value([*words[-4:], word]) >= 0.5:
+                words.append(word)
+                n -= 1
+        return words
+
+    def passage(words, low):
+        """``words`` and one word 18 times, which is one shingle 14 times, its hash in the tenth that begins at ``low``."""
+        while True:
+            word = f"w{rng.randrange(10**9)}"
+            run = [*words[-4:], *[word] * 5]
+            if low <= value(run[-5:]) < low + 0.1 and all(value(run[i : i + 5]) >= 0.5 for i in range(len(run) - 5)):
+                return [*words, *[word] * 18]
+
+    prefixes = [[]]
+    for k in range(3):
+        prefixes.append(passage(prefixes[-1], k / 10))
+    leads = [more(p, n + 4 - len(p) if p else n) for n, p in zip(range(85, 89), prefixes)]
+    core = more(prefixes[-1], 34)
+    return [" ".join(t) for t in (*leads, more(core, 7), more(core, 7))]
+
+
+def linked(spark, monkeypatch, texts, buckets):
+    """{(place, place)} of the links of texts of equal shingle weights that share the buckets given as lists of places."""
+    nodes = [hashlib.md5(t.encode()).digest() for t in texts]
+    counts = [len(t.split(" ")) - 4.0 for t in texts]
+    rows = [(g, nodes[i], counts[i]) for g, places in enumerate(buckets) for i in places]
+    monkeypatch.setattr(m, "feature_idf", lambda *a, **k: np.ones(1 << 18))
+    monkeypatch.setattr(m, "band_table", lambda *a, **k: spark.createDataFrame([(g, bytearray(n), w) for g, n, w in rows], "grp long, node binary, weight double"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {tuple(sorted((nodes.index(bytes(r.a)), nodes.index(bytes(r.b))))) for r in m.near_links(docs).collect()}
+
+
+def test_links_behind_many_leaders(spark, monkeypatch):
+    """x and y meet in round 5 only, after rounds that join nothing; comparing all that is left at once finds the same."""
+    for pairs in (0, 100):
+        monkeypatch.setattr(m, "PAIRS", pairs)
+        assert linked(spark, monkeypatch, nested_texts(), [range(6)]) == {(4, 5)}
+
+
 def test_samples_agree_as_often_as_weights():
     rng = np.random.default_rng(5)
     sampler = m.Sampler(np.ones(1 << 18))
