@@ -271,7 +271,9 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
         # Pairs in groups of three or more may leave others apart, and list what the member has above the leader.
         pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
         if compared is not None:
-            pairs = pairs.join(compared.filter("above is not null or not listed").select("a", "b"), ["a", "b"], "left_anti")
+            # A pair that was compared without a list comes again if it needs one now.
+            done = compared.groupBy("a", "b").agg(F.max("listed").alias("has"))
+            pairs = pairs.join(done, ["a", "b"], "left").filter("has is null or (listed and not has)").drop("has")
         new = stored(similarities(pairs, docs, sampler, threshold, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
         found = new.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
         labels = components(found) if labels is None else _joined(labels, found)
@@ -282,7 +284,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
         # Groups whose members beside the leader are of one component have nothing to find.
         apart = named.filter("n > 2").groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
         open_pairs = named.join(apart.select("grp"), "grp").select("leader", "node", "label").distinct()
-        above = open_pairs.join(compared.select(F.col("a").alias("leader"), F.col("b").alias("node"), "above"), ["leader", "node"])
+        above = open_pairs.join(compared.filter("listed").select(F.col("a").alias("leader"), F.col("b").alias("node"), "above"), ["leader", "node"])
         shared = above.select(F.explode("above").alias("shingle"), "leader", "node", "label")
         shared = shared.select(F.xxhash64("leader", "shingle").alias("grp"), "node", "label").distinct()
         shared = stored(shared, "minhash-above")

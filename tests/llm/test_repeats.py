@@ -168,6 +168,13 @@ def test_links_behind_many_leaders(spark, monkeypatch):
         assert linked(spark, monkeypatch, nested_texts(), [range(6)]) == {(4, 5)}
 
 
+def test_pairs_compared_without_a_list_get_one_when_needed(spark, monkeypatch):
+    """Lead 1 and x are alone in a bucket first, and then keep x and y apart in a group of three."""
+    texts = nested_texts()
+    monkeypatch.setattr(m, "PAIRS", 0)
+    assert linked(spark, monkeypatch, texts, [[0, 1, 4, 5], [1, 4]]) == {(4, 5)}
+
+
 def test_samples_agree_as_often_as_weights():
     rng = np.random.default_rng(5)
     sampler = m.Sampler(np.ones(1 << 18))
