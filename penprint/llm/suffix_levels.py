@@ -7,7 +7,7 @@ batches are held in about log n levels and a suffix is written again about log n
 The arrays are sparse and truncated, which loses no match of ``LENGTH`` bytes: of the grams of 20 bytes in a window of
 50, the one with the least hash is its anchor, so equal windows have anchors at equal places, and consecutive windows
 with one anchor form a run. An array holds one entry for each distinct run, in the order of the bytes at its anchor,
-with a digest of all bytes of the run's windows and the least document that has them. About one position in 16 is an
+with digests of all bytes of the run's windows and the least document that has them. About one position in 16 is an
 anchor. Equal runs meet in the merge scan and all their windows repeat. Where runs share an anchor's bytes but differ
 around it (a match that begins or ends inside them) their windows are listed one by one, of the first document of
 each run only, and meet by digest; one more pass per text settles them.
@@ -17,8 +17,9 @@ scanned in one task, in numpy. A task that cuts up texts sends each distinct run
 passage that a third of all documents share costs a bucket one entry for each part of about ``PART_BYTES`` of text.
 Texts are kept as parts in the shared folder, and answers go to parts; no text is shuffled.
 
-Runs that share the first 8 bytes and 16 hashed bits of their anchor compare 40 bits of a digest, and so do their
-windows at equal distance from it.
+Beyond the first 8 bytes of the anchor, entries are ordered and matched by hashes, not by bytes: 16 bits of the anchor
+and 104 bits of all bytes of the run, or of the window and its distance from the anchor, from two polynomials of
+different bases. Inside a part, runs and windows are looked up by 64 bits made of all of these.
 
 Defined results: a null text is empty; a document with a null id loses nothing and takes nothing from others; equal ids
 are not smaller than each other; texts under 50 bytes lose nothing; an empty table gives an empty result. Only id and
@@ -52,6 +53,7 @@ PART_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15
+_BASE_2 = 0xD1342543DE82EF95
 _NO_DOC = np.int64(2**63 - 1)
 
 _ROWS = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("part", pa.int64()), ("path", pa.string()), ("blob", pa.binary())])
@@ -75,17 +77,17 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return [np.cumsum(arrays[0], dtype=np.uint64), *arrays[1:]]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(n: int, base: int) -> np.ndarray:
     factors = np.full(n, base & (2**64 - 1), np.uint64)
     factors[:1] = 1
     return np.cumprod(factors, dtype=np.uint64)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, from tables that chunks of usual size share."""
+def _power_tables(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse, from tables that chunks of usual size share."""
     size = max(n, 2 * CHUNK_BYTES)
-    return _powers(size, _BASE)[:n], _powers(size, pow(_BASE, -1, 2**64))[:n]
+    return _powers(size, base)[:n], _powers(size, pow(base, -1, 2**64))[:n]
 
 
 @dataclass
@@ -98,28 +100,35 @@ class Runs:
     anchor: np.ndarray
     head: np.ndarray
     tail: np.ndarray
+    more: np.ndarray
     sums: np.ndarray
     inverse: np.ndarray
+    sums_2: np.ndarray
+    inverse_2: np.ndarray
 
-    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(start, run, head, tail) of all windows of some runs; a window's tail tells it from others at its anchor."""
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, run, head, tail, more) of all windows of some runs; tail and more tell a window from others at its anchor."""
         n = self.last[which] - self.first[which] + 1
         starts = np.repeat(self.first[which], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         run = np.repeat(which, n)
         digests = mixed((self.sums[starts + LENGTH] - self.sums[starts]) * self.inverse[starts])
         place = (self.anchor[run] - starts).astype(np.uint64) << np.uint64(40)
-        return starts, run, self.head[run], (self.tail[run] >> np.uint64(40) << np.uint64(48)) | place | (digests >> np.uint64(24))
+        more = mixed((self.sums_2[starts + LENGTH] - self.sums_2[starts]) * self.inverse_2[starts])
+        return starts, run, self.head[run], (self.tail[run] >> np.uint64(40) << np.uint64(48)) | place | (digests >> np.uint64(24)), more
 
 
 def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
     """The runs of texts that lie one after the other in ``data``."""
     n = len(data)
     power, inverse = _power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64, out=sums[1:])
+    power_2, inverse_2 = _power_tables(n + 1, _BASE_2)
+    values = data.astype(np.uint64) + np.uint64(1)
+    sums, sums_2 = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+    np.cumsum(values * power[:n], dtype=np.uint64, out=sums[1:])
+    np.cumsum(values * power_2[:n], dtype=np.uint64, out=sums_2[1:])
     if n < LENGTH:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64), sums, inverse)
+        return Runs(none, none, none, none, *[none.astype(np.uint64)] * 3, sums, inverse, sums_2, inverse_2)
     grams = (sums[GRAM:] - sums[:-GRAM]) * inverse[: n + 1 - GRAM]
     grams ^= grams >> np.uint64(31)
     grams *= np.uint64(_BASE)
@@ -147,15 +156,16 @@ def find_runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
         head = (head << np.uint64(8)) | data[anchor + i]
     context = mixed((sums[last + LENGTH] - sums[first]) * inverse[first] + (anchor - first).astype(np.uint64) * np.uint64(_BASE))
     tail = (mixed(grams[anchor]) & np.uint64(0xFFFF)) << np.uint64(40) | (context >> np.uint64(24))
-    return Runs(first, last, row, anchor, head, tail, sums, inverse)
+    more = mixed((sums_2[last + LENGTH] - sums_2[first]) * inverse_2[first] + (anchor - first).astype(np.uint64) * np.uint64(_BASE_2))
+    return Runs(first, last, row, anchor, head, tail, more, sums, inverse, sums_2, inverse_2)
 
 
-def _grouped(head: np.ndarray, tail: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, first): the order by head, tail and then more, and where each distinct (head, tail) begins in it."""
-    order = np.lexsort((*more[::-1], tail, head))
-    h, t = head[order], tail[order]
+def _grouped(head: np.ndarray, tail: np.ndarray, more: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): the order by head, tail, more and then doc, and where each distinct (head, tail, more) begins in it."""
+    order = np.lexsort((doc, more, tail, head))
+    h, t, m = head[order], tail[order], more[order]
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+    new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1]) | (m[1:] != m[:-1])
     return order, np.flatnonzero(new)
 
 
@@ -175,14 +185,14 @@ class Part:
             data = np.frombuffer(b"".join(self.texts.slice(a, b - a).to_pylist()), np.uint8)
             yield a, data, find_runs(data, self.sizes[a:b])
 
-    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The part's distinct runs in order: head, tail and least document."""
-        found = [(r.head, r.tail, self.docs[a + r.row]) for a, _, r in self.chunks()]
-        head, tail, doc = (np.concatenate(c) if found else np.zeros(0, np.uint64) for c in zip(*found)) if found else (np.zeros(0, np.uint64),) * 3
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The part's distinct runs in order: head, tail, more and least document."""
+        found = [(r.head, r.tail, r.more, self.docs[a + r.row]) for a, _, r in self.chunks()]
+        head, tail, more, doc = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.uint64),) * 4
         doc = doc.astype(np.int64)
-        order, first = _grouped(head, tail, doc)
+        order, first = _grouped(head, tail, more, doc)
         at = order[first]
-        return head[at], tail[at], doc[at]
+        return head[at], tail[at], more[at], doc[at]
 
 
 def _write_part(folder: str, number: int, doc_ids: pa.Array, texts: pa.Array) -> str:
@@ -226,9 +236,9 @@ def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataF
         def done() -> pa.RecordBatch:
             doc_ids, values = pa.chunked_array(ids).combine_chunks(), pa.chunked_array(texts).combine_chunks()
             path = _write_part(folder, number, doc_ids, values)
-            head, tail, doc = Part(doc_ids.to_numpy(), values).entries()
+            head, tail, more, doc = Part(doc_ids.to_numpy(), values).entries()
             rows = [_row(PART, number % n_buckets, number, path, None)]
-            rows += [_row(ENTRIES, b, number, path, pack(head[i], tail[i], doc[i])) for b, i in _buckets(head, n_buckets)]
+            rows += [_row(ENTRIES, b, number, path, pack(head[i], tail[i], more[i], doc[i])) for b, i in _buckets(head, n_buckets)]
             return _batch_of(rows)
 
         for received in batches:
@@ -279,13 +289,13 @@ def _scan(n_new: int, merge: tuple[int, ...], folder: str):
         sizes = [len(x[0]) for x in own]
         part_of = np.repeat(np.array([r["part"] for r in parts], np.uint64), sizes)
         if own:
-            batch = [np.concatenate([x[i] for x in own]) for i in range(3)] + [part_of]
-            order, first = _grouped(*batch[:3])
+            batch = [np.concatenate([x[i] for x in own]) for i in range(4)] + [part_of]
+            order, first = _grouped(*batch[:4])
             known = np.full(len(first), _NO_DOC)
-            heads, tails = batch[0][order][first], batch[1][order][first]
+            keys = [c[order][first] for c in batch[:3]]
             for entries in levels.values():
-                known = np.minimum(known, _scanned(heads, tails, entries))
-            docs = batch[2][order].view(np.int64)
+                known = np.minimum(known, _scanned(keys, entries))
+            docs = batch[3][order].view(np.int64)
             least = np.minimum(known, docs[first])
             group = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
             found = np.empty(len(order), np.int64)
@@ -294,16 +304,16 @@ def _scan(n_new: int, merge: tuple[int, ...], folder: str):
             for r, x in zip(parts, own, strict=True):
                 mine = found[at : at + len(x[0])]
                 at += len(x[0])
-                told = np.flatnonzero(mine < x[2].view(np.int64))
+                told = np.flatnonzero(mine < x[3].view(np.int64))
                 if len(told):
-                    out.append(_row(ANSWER, bucket, r["part"], r["path"], pack(x[0][told], x[1][told], mine[told])))
+                    out.append(_row(ANSWER, bucket, r["part"], r["path"], pack(*[c[told] for c in x[:3]], mine[told])))
             # The new level: of each distinct run the least document, in every part that has it.
             keep = docs == docs[first][group]
             out.append(_row(LEVEL, bucket, n_new, _write_level(f"{folder}/{n_new}", bucket, *[c[order][keep] for c in batch]), None))
         if merge and any(m in levels for m in merge):
-            entries = [np.concatenate([levels[m][i] for m in merge if m in levels]) for i in range(4)]
-            order, first = _grouped(*entries[:3])
-            docs = entries[2][order]
+            entries = [np.concatenate([levels[m][i] for m in merge if m in levels]) for i in range(5)]
+            order, first = _grouped(*entries[:4])
+            docs = entries[3][order]
             group = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
             keep = docs == docs[first][group]
             out.append(_row(LEVEL, bucket, merge[0], _write_level(f"{folder}/{merge[0]}", bucket, *[c[order][keep] for c in entries]), None))
@@ -312,17 +322,21 @@ def _scan(n_new: int, merge: tuple[int, ...], folder: str):
     return scan
 
 
-def _scanned(heads: np.ndarray, tails: np.ndarray, level: list[np.ndarray]) -> np.ndarray:
+def _scanned(keys: list[np.ndarray], level: list[np.ndarray]) -> np.ndarray:
     """The least document that a level has for each of the sorted distinct runs, by merging the two orders."""
-    n = len(level[0])
-    order = np.lexsort((np.repeat([0, 1], [n, len(heads)]), np.concatenate((level[1], tails)), np.concatenate((level[0], heads))))
+    n, asked_for = len(level[0]), len(keys[0])
+    found = np.full(asked_for, _NO_DOC)
+    if not n:
+        return found
+    order = np.lexsort((np.repeat([0, 1], [n, asked_for]), *[np.concatenate((level[i], keys[i])) for i in (2, 1, 0)]))
     asked = np.flatnonzero(order >= n)
     before = np.where(order < n, np.arange(len(order)), -1)
     before = np.maximum.accumulate(before)[asked]  # the level's entry next before each one that is asked for
-    entry, run = order[np.maximum(before, 0)], order[asked] - n
-    same = (before >= 0) & (level[0][np.minimum(entry, n - 1)] == heads[run]) & (level[1][np.minimum(entry, n - 1)] == tails[run]) if n else np.zeros(len(run), bool)
-    found = np.full(len(heads), _NO_DOC)
-    found[run[same]] = level[2].view(np.int64)[entry[same]]
+    entry, run = np.minimum(order[np.maximum(before, 0)], n - 1), order[asked] - n
+    same = before >= 0
+    for known, key in zip(level[:3], keys, strict=True):
+        same &= known[entry] == key[run]
+    found[run[same]] = level[3].view(np.int64)[entry[same]]
     return found
 
 
@@ -330,31 +344,31 @@ def _differing(table: pa.Table) -> pa.Table:
     """Of all levels of a bucket: for each part, its runs that share their anchor's bytes with another run."""
     rows = table.to_pylist()
     levels = [_read_level(r["path"]) for r in rows]
-    head, tail, doc, part = (np.concatenate([x[i] for x in levels]) for i in range(4))
-    order, first = _grouped(head, tail, doc)
+    head, tail, more, doc, part = (np.concatenate([x[i] for x in levels]) for i in range(5))
+    order, first = _grouped(head, tail, more, doc)
     group = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
     keep = doc[order] == doc[order][first][group]
-    head, tail, part = head[order][keep], tail[order][keep], part[order][keep]
+    head, tail, more, part = (c[order][keep] for c in (head, tail, more, part))
     anchor = tail >> np.uint64(40)
     new_anchor = np.ones(len(head), bool)
     new_anchor[1:] = (head[1:] != head[:-1]) | (anchor[1:] != anchor[:-1])
     number = np.cumsum(new_anchor) - 1
     new_run = new_anchor.copy()
-    new_run[1:] |= tail[1:] != tail[:-1]
+    new_run[1:] |= (tail[1:] != tail[:-1]) | (more[1:] != more[:-1])
     wanted = np.bincount(number[new_run])[number] > 1
-    head, tail, part = head[wanted], tail[wanted], part[wanted]
+    head, tail, more, part = (c[wanted] for c in (head, tail, more, part))
     order = np.argsort(part, kind="stable")
     which, start = np.unique(part[order], return_index=True)
     out = [
-        _row(REQUEST, rows[0]["bucket"], int(p), None, pack(head[i], tail[i]))
+        _row(REQUEST, rows[0]["bucket"], int(p), None, pack(head[i], tail[i], more[i]))
         for p, i in zip(which.tolist(), np.split(order, start[1:]))
         if len(i)
     ]
     return pa.Table.from_pylist(out, schema=_ROWS)
 
 
-def _ids(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    return mixed(head * np.uint64(_BASE) + tail)
+def _ids(head: np.ndarray, tail: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return mixed(mixed(head * np.uint64(_BASE) + tail) + more)
 
 
 def _requested(rows: list[dict], kind: int = REQUEST) -> np.ndarray:
@@ -378,11 +392,11 @@ def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _requested_windows(part: Part, asked: np.ndarray) -> list[np.ndarray]:
-    """The distinct windows of the runs that are asked for, in order: head, tail and least document."""
+    """The distinct windows of the runs that are asked for, in order: head, tail, more and least document."""
     found = []
     for a, _, runs in part.chunks():
-        _, run, head, tail = runs.windows(np.flatnonzero(_inside(_ids(runs.head, runs.tail), asked)))
-        found.append((head, tail, part.docs[a + runs.row[run]]))
+        _, run, *key = runs.windows(np.flatnonzero(_inside(_ids(runs.head, runs.tail, runs.more), asked)))
+        found.append((*key, part.docs[a + runs.row[run]]))
     columns = [np.concatenate(c) for c in zip(*found, strict=True)]
     order, first = _grouped(*columns)
     return [c[order[first]] for c in columns]
@@ -404,17 +418,17 @@ def _meet_windows(table: pa.Table) -> pa.Table:
     """Of one bucket of windows: for each part, those that a smaller document has elsewhere."""
     rows = table.to_pylist()
     own = [unpack(r["blob"]) for r in rows]
-    head, tail, doc = (np.concatenate([x[i] for x in own]) for i in range(3))
-    order, first = _grouped(head, tail, doc.view(np.int64))
+    head, tail, more, doc = (np.concatenate([x[i] for x in own]) for i in range(4))
+    order, first = _grouped(head, tail, more, doc.view(np.int64))
     least = np.empty(len(order), np.int64)
     least[order] = np.repeat(doc.view(np.int64)[order[first]], np.diff(first, append=len(order)))
     out, at = [], 0
-    for r, (h, t, d) in zip(rows, own, strict=True):
+    for r, (h, t, m, d) in zip(rows, own, strict=True):
         found = least[at : at + len(h)]
         at += len(h)
         told = found < d.view(np.int64)
         if told.any():
-            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(h[told], t[told], found[told])))
+            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(h[told], t[told], m[told], found[told])))
     return pa.Table.from_pylist(out, schema=_ROWS)
 
 
@@ -426,7 +440,7 @@ def _answers(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
     got = [unpack(r["blob"]) for r in rows if r["kind"] == kind]
     if not got:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return _least(np.concatenate([_ids(x[0], x[1]) for x in got]), np.concatenate([x[-1] for x in got]).view(np.int64))
+    return _least(np.concatenate([_ids(*x[:3]) for x in got]), np.concatenate([x[-1] for x in got]).view(np.int64))
 
 
 def _known(keys: np.ndarray, answers: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -445,9 +459,9 @@ def _remove(texts: bool):
         asked = _requested(rows)
         cut = []
         for a, _, runs in part.chunks():
-            ids = _ids(runs.head, runs.tail)
-            starts, run, head, tail = runs.windows(np.flatnonzero(_inside(ids, asked)))
-            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, _ids(head, tail)))
+            ids = _ids(runs.head, runs.tail, runs.more)
+            starts, run, *key = runs.windows(np.flatnonzero(_inside(ids, asked)))
+            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, _ids(*key)))
         runs_own = _least(*[np.concatenate([c[i] for c in cut]) for i in (2, 3)])
         windows_own = _least(np.concatenate([c[6] for c in cut]), np.concatenate([c[3][c[5]] for c in cut]))
         runs_told, windows_told = _answers(rows, ANSWER), _answers(rows, WINDOW_ANSWER)

@@ -61,6 +61,19 @@ def test_repeats_at_every_offset(spark):
     check_removed(docs, 3)
 
 
+def test_windows_that_share_40_bits_of_a_digest_are_told_apart():
+    """Two windows around one anchor, 8 bytes and place of it, with one tail: a second digest tells them apart."""
+    rng = np.random.default_rng(2)
+    one, other = (s.find_runs(rng.integers(97, 123, 50, dtype=np.uint8), np.array([50])) for _ in range(2))
+    other.head, other.tail = one.head, one.tail
+    keys = [(r.head, r.tail, r.more) for r in (one, other)]
+    assert s._ids(*keys[0])[0] != s._ids(*keys[1])[0]
+    order, first = s._grouped(*[np.concatenate(c) for c in zip(*keys)], np.array([1, 2]))
+    assert len(first) == 2
+    level = [*keys[0], np.array([1], np.uint64), np.array([0], np.uint64)]
+    assert s._scanned(list(keys[1]), level)[0] == s._NO_DOC and s._scanned(list(keys[0]), level)[0] == 1
+
+
 def test_levels_merge_geometrically(spark):
     rng = random.Random(1)
     index = s.SuffixLevels(spark, 2)
