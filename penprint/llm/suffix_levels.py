@@ -12,9 +12,11 @@ anchor. Equal runs meet in the merge scan and all their windows repeat. Where ru
 around it (a match that begins or ends inside them) their windows are listed one by one, of the first document of
 each run only, and meet by digest; one more pass per text settles them.
 
-Arrays are cut into buckets by a hash of the anchor's first bytes; a bucket's slices of a batch and of all levels are
-scanned in one task, in numpy. A task that cuts up texts sends each distinct run once with its least document, so a
-passage that a third of all documents share costs a bucket one entry for each part of about ``PART_BYTES`` of text.
+Arrays are cut into buckets by the anchor's first bytes and hashed bits; a bucket's slices of a batch and of all levels
+are scanned in one task, in numpy. A task that cuts up texts sends each distinct run once with its least document, so
+equal runs of a passage that a third of all documents share cost a bucket one entry for each part of about ``PART_BYTES``
+of text. Runs that differ around one such anchor are all entries of one bucket, one or two for each document that has
+it. Windows, about 15 for each of these, go to buckets by all their bits, so they are spread.
 Texts are kept as parts in the shared folder, and answers go to parts; no text is shuffled.
 
 Beyond the first 8 bytes of the anchor, entries are ordered and matched by hashes, not by bytes: 16 bits of the anchor
@@ -218,6 +220,11 @@ def _buckets(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(b), places
 
 
+def _anchors(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """What runs share whose anchors have equal bytes: the first 8 and the hashed bits."""
+    return head * np.uint64(_BASE) + (tail >> np.uint64(40))
+
+
 def _row(kind: int, bucket: int, part: int, path: str | None, blob: bytes | None) -> dict[str, object]:
     return {"kind": kind, "bucket": bucket, "part": part, "path": path, "blob": blob}
 
@@ -238,7 +245,7 @@ def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataF
             path = _write_part(folder, number, doc_ids, values)
             head, tail, more, doc = Part(doc_ids.to_numpy(), values).entries()
             rows = [_row(PART, number % n_buckets, number, path, None)]
-            rows += [_row(ENTRIES, b, number, path, pack(head[i], tail[i], more[i], doc[i])) for b, i in _buckets(head, n_buckets)]
+            rows += [_row(ENTRIES, b, number, path, pack(head[i], tail[i], more[i], doc[i])) for b, i in _buckets(_anchors(head, tail), n_buckets)]
             return _batch_of(rows)
 
         for received in batches:
@@ -407,7 +414,7 @@ def _list_windows(n_buckets: int):
         rows = table.to_pylist()
         columns = _requested_windows(_read_part(rows[0]["path"]), _requested(rows))
         out = [
-            _row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(columns[0], n_buckets)
+            _row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(_ids(*columns[:3]), n_buckets)
         ]
         return pa.Table.from_pylist(out, schema=_ROWS)
 

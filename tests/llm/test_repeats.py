@@ -74,6 +74,24 @@ def test_windows_that_share_40_bits_of_a_digest_are_told_apart():
     assert s._scanned(list(keys[1]), level)[0] == s._NO_DOC and s._scanned(list(keys[0]), level)[0] == 1
 
 
+def test_windows_of_a_hot_anchor_are_spread(tmp_path):
+    """Different text around one passage: its windows go to all buckets, equal ones to one, and other anchors' runs too."""
+    rng = random.Random(4)
+    passage = prose(rng, 12)
+    texts = [f"{prose(rng, 12)} {passage} {prose(rng, 12)}".encode() for _ in range(300)]
+    path = s._write_part(f"file://{tmp_path}", 0, pa.array(range(300)), pa.array(texts, pa.large_binary()))
+    head, tail, more, _ = s._read_part(path).entries()
+    anchors, counts = np.unique(s._anchors(head, tail), return_counts=True)
+    hot = np.flatnonzero(s._anchors(head, tail) == anchors[counts.argmax()])
+    assert counts.max() > 100
+    rows = [s._row(s.REQUEST, 0, 0, path, s.pack(head[hot], tail[hot], more[hot]))]
+    out = s._list_windows(8)(pa.Table.from_pylist(rows, schema=s._ROWS)).to_pylist()
+    sizes = [len(s.unpack(r["blob"])[0]) for r in out]
+    assert sorted(r["bucket"] for r in out) == list(range(8)) and max(sizes) < sum(sizes) / 4
+    keys = [k for r in out for k in zip(*s.unpack(r["blob"])[:3])]
+    assert len(keys) == len(set(keys))
+
+
 def test_levels_merge_geometrically(spark):
     rng = random.Random(1)
     index = s.SuffixLevels(spark, 2)
