@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from catalog.entry import Entry
 from penprint.llm import (
+    exact_dedup,
     histogram_sort,
     quality_rules,
+    ranked_search,
     source_mixing,
     suffix_levels,
     token_files,
@@ -17,9 +19,10 @@ from penprint.llm import (
     warc,
     weak_labels,
     weighted_minhash,
+    whitening,
     winnowing,
 )
-from penprint.llm.sql import OP4_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL
+from penprint.llm.sql import OP4_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL, OP12_SQL, OP13_SQL
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -106,6 +109,29 @@ def op10_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     return weak_labels.score_quality(_table(spark, folder, "documents"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector in the directions of greatest variance, scaled to a variance of one."""
+    vectors = _table(spark, folder, "embeddings")
+    model = whitening.fit_whitening(vectors)
+    explained = F.array(*[F.lit(float(v)) for v in model.variances / (model.total or 1.0)], F.lit(0.0))
+    return whitening.whiten(vectors, model).select(
+        "vec_id", "component", F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.element_at(explained, F.col("component")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's group of copies, and the one that stays."""
+    found = exact_dedup.find_copies(_table(spark, folder, "documents"), digests=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 ENTRIES = [
     Entry("op1_toxicity", op1_toxicity),
     Entry("op2_suffix_levels", op2_suffix_levels),
@@ -117,4 +143,7 @@ ENTRIES = [
     Entry("op8_warc", op8_warc, OP8_SQL),
     Entry("op9_histogram_sort", op9_histogram_sort, OP9_SQL),
     Entry("op10_weak_labels", op10_weak_labels),
+    Entry("op11_lanczos_whitening", op11_lanczos_whitening),
+    Entry("op12_ranked_search", op12_ranked_search, OP12_SQL),
+    Entry("op13_exact_dedup", op13_exact_dedup, OP13_SQL),
 ]

@@ -169,3 +169,42 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (rid) LEFT JOIN it USING (rid)
 """
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, length(coalesce(text, '')) AS n_chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       first_value(rid) OVER w = rid AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t ORDER BY n_chars DESC, doc_id NULLS LAST, rid)
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP12_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents
+), s AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0
+), m AS (
+  SELECT rid, doc_id, 50 + (50 * len(w)::BIGINT * docs) // words AS m FROM d, s WHERE len(w) > 0
+), i AS (
+  SELECT iid, item_id, unnest(list_distinct(w)) AS t
+  FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS w FROM benchmark)
+), tf AS (
+  SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY rid, t
+), w AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s
+), scored AS (
+  SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM i JOIN tf USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+) WHERE rank <= 50
+"""
