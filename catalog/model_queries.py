@@ -24,7 +24,6 @@ from penprint.sources import tables, writers
 from penprint.streaming import score as stream
 
 _SAVED: dict[tuple[str, str], str] = {}
-_PREFIXES = ("forest", "boosted", "logistic")
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -50,11 +49,8 @@ def _near(a, b, most: float = 1e-9):
 
 def _soft_vote(spark: SparkSession, folder: str) -> DataFrame:
     ensemble, test = _ensemble(spark, folder)
-    single = models.assemble(test)
-    for model in (ensemble.forest, ensemble.boosted, ensemble.logistic):
-        single = model.transform(single)
-    own = [models.vector_to_array(f"_{p}_probability")[1] for p in _PREFIXES]
-    mean = single.select("doc_id", (own[0] / 3 + own[1] / 3 + own[2] / 3).alias("_mean"))
+    single = models.probabilities(ensemble, test)
+    mean = single.select("doc_id", (F.col("_forest") / 3 + F.col("_boosted") / 3 + F.col("_logistic") / 3).alias("_mean"))
     p = F.col("ai_probability")
     return models.predict(ensemble, test).join(mean, "doc_id").select(
         "doc_id", "label", _near(p, F.col("_mean")).alias("is_mean"), (F.col("is_ai") == (p > 0.5)).alias("is_class"),
@@ -86,19 +82,93 @@ def _evaluate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _one_model(prefix: str, settings):
-    """Probability of one of the three models on the test rows; ``settings`` must hold of the model."""
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        ensemble, test = _ensemble(spark, folder)
-        model = getattr(ensemble, prefix)
-        scored = model.transform(models.assemble(test))
-        p = models.vector_to_array(f"_{prefix}_probability")
-        return scored.select(
-            "doc_id", "label", _near(p[0] + p[1], F.lit(1.0)).alias("sums_to_one"), p[1].between(0, 1).alias("is_probability"),
-            F.lit(bool(settings(model))).alias("has_settings"),
-        )
+def _walked(test: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
+    """``doc_id`` and the mean leaf value of every tree, by following nodes (tree, node, feature, threshold, left, right,
+    value) from node 0 on as joins: a second way to a forest's or a booster's scores."""
+    values = F.create_map(*[x for f in FEATURES for x in (F.lit(f), F.col(f))])
+    trees = nodes.agg(F.max("tree")).first()[0] + 1
+    at = test.select("doc_id", values.alias("values"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(depth):
+        left = F.element_at("values", F.col("feature")) <= F.col("threshold")
+        following = F.when(F.col("feature").isNull(), F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
+        at = at.join(nodes, ["tree", "node"]).select("doc_id", "values", "tree", following.alias("node"))
+    return at.join(nodes, ["tree", "node"]).groupBy("doc_id").agg(F.avg("value").alias("mean"))
+
+
+def _forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The saved forest's nodes; a leaf's value is its share of class 1."""
+    n = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    leaf = F.col("leftChild") < 0
+    names = F.array(*[F.lit(f) for f in FEATURES])
+    counts = F.col("impurityStats")
+    return n.select(
+        F.col("treeID").cast("int").alias("tree"), F.col("id").cast("int").alias("node"),
+        F.when(~leaf, F.get(names, F.col("split.featureIndex"))).alias("feature"),
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+        F.col("leftChild").cast("int").alias("left"), F.col("rightChild").cast("int").alias("right"),
+        F.when(leaf, counts[1] / (counts[0] + counts[1])).alias("value"),
+    )
+
+
+def _boosted_nodes(spark: SparkSession, model) -> DataFrame:
+    """The booster's nodes, numbered from 0; a node without a split leads left."""
+    n = model.table(spark)
+    return n.select(
+        "tree", (F.col("node") - 1).alias("node"), "feature", "threshold",
+        (2 * F.col("node") - 1).alias("left"), (2 * F.col("node")).alias("right"), "value",
+    )
+
+
+def _area(scored: DataFrame, score: str) -> float:
+    return evaluate.roc_auc(scored.select("label", F.col(score).alias("score"))).first()[0]
+
+
+def _forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of the forest on the test rows, its saved trees walked again, and what it has learned."""
+    ensemble, test = _ensemble(spark, folder)
+    model = ensemble.forest
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    again = _walked(test, _forest_nodes(spark, path), models.DEPTH)
+    scored = models.probabilities(ensemble, test).join(again, "doc_id")
+    settings = model.getNumTrees == models.TREES and max(t.depth for t in model.trees) <= models.DEPTH
+    return _learned(spark, folder, "_forest", scored, F.lit(settings) & _near(F.col("_forest"), F.col("mean")))
+
 
-    return run
+def _boosted(spark: SparkSession, folder: str) -> DataFrame:
+    ensemble, test = _ensemble(spark, folder)
+    model = ensemble.boosted
+    again = _walked(test, _boosted_nodes(spark, model), models.BOOST_DEPTH)
+    margin = model.start + models.RATE * models.ROUNDS * F.col("mean")
+    scored = models.probabilities(ensemble, test).join(again, "doc_id")
+    settings = len(model.trees) == models.ROUNDS and model.depth == models.BOOST_DEPTH and model.rate == models.RATE
+    return _learned(spark, folder, "_boosted", scored, F.lit(settings) & _near(F.col("_boosted"), 1 / (1 + F.exp(-margin))))
+
+
+def _logistic(spark: SparkSession, folder: str) -> DataFrame:
+    """The gradient of the penalised loss on the training rows, summed by Spark, vanishes at the weights."""
+    ensemble, test = _ensemble(spark, folder)
+    model = ensemble.logistic
+    fitted, _ = _split(spark, folder)
+    residual = F.col("_logistic") - F.col("label")
+    sums = models.probabilities(ensemble, fitted).agg(
+        F.count("*").alias("n"), F.sum(residual).alias("_intercept"), *[F.sum(residual * F.col(f)).alias(f) for f in FEATURES]
+    ).first()
+    gradient = [sums["_intercept"], *(sums[f] + w for f, w in zip(FEATURES, model.weights, strict=True))]
+    optimal = max(map(abs, gradient)) / sums["n"] < 1e-6
+    return _learned(spark, folder, "_logistic", models.probabilities(ensemble, test), F.lit(optimal))
+
+
+def _learned(spark: SparkSession, folder: str, name: str, scored: DataFrame, as_fitted) -> DataFrame:
+    """Flags that a model of noise, or another model than the one fitted, fails: the area under the curve over the rows
+    that it learned from is far above a half, and each probability is what the model's parts say."""
+    ensemble, _ = _ensemble(spark, folder)
+    fitted, _ = _split(spark, folder)
+    area = _area(models.probabilities(ensemble, fitted), name)
+    p = F.col(name)
+    return scored.select(
+        "doc_id", "label", p.between(0, 1).alias("is_probability"), as_fitted.alias("is_as_fitted"), F.lit(area > 0.6).alias("has_learned"),
+    )
 
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,15 +266,9 @@ ENTRIES = [
         f"""SELECT count(*) AS dataset_size, ceil(count(*) * 0.2::DOUBLE)::BIGINT AS test_samples,
         15::BIGINT AS features_used FROM ({ts.CHAT})""",
     ),
-    Entry("mod1_fit_forest", _one_model(
-        "forest", lambda m: m.getNumTrees == models.TREES and max(t.depth for t in m.trees) <= models.DEPTH
-    ), _flags("sums_to_one", "is_probability", "has_settings")),
-    Entry("mod2_fit_boosted", _one_model(
-        "boosted", lambda m: m.getNumTrees == models.ROUNDS and max(t.depth for t in m.trees) <= models.BOOST_DEPTH
-    ), _flags("sums_to_one", "is_probability", "has_settings")),
-    Entry("mod3_fit_logistic", _one_model(
-        "logistic", lambda m: len(m.coefficients) == len(FEATURES) and m.getMaxIter() == models.MAX_ITER
-    ), _flags("sums_to_one", "is_probability", "has_settings")),
+    Entry("mod1_fit_forest", _forest, _flags("is_probability", "is_as_fitted", "has_learned")),
+    Entry("mod2_fit_boosted", _boosted, _flags("is_probability", "is_as_fitted", "has_learned")),
+    Entry("mod3_fit_logistic", _logistic, _flags("is_probability", "is_as_fitted", "has_learned")),
     Entry("mod4_soft_vote", _soft_vote, _flags("is_mean", "is_class", "sums_to_one", "is_score")),
     Entry("mod5_predict_calibrated", _calibrated, _flags("is_margin", "is_graded", "is_scaled")),
     Entry(

@@ -7,7 +7,7 @@ moments need array lambdas; they fold over sentences, not tokens, and capture no
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,10 +68,73 @@ def _variation(m: Column) -> Column:
     return F.when(m["n"] > 1, spread).otherwise(0.0)
 
 
-def _members(hits: Column, terms: Sequence[str]) -> Column:
+def members_of(hits: Column, terms: Sequence[str]) -> Column:
     return F.size(F.filter(hits, lambda t: t.isin(*terms)))
 
 
+def tokenised(df: DataFrame, text: str, sentences_in_clauses: bool = True) -> DataFrame:
+    """Add the forms of a text that everything is counted on: ``_t_text`` in lower case, ``_t_spaced`` and ``_t_even``
+    with marks between sentences, ``_t_clauses`` with marks between clauses, and ``_t_line`` without marks."""
+    col = F.col
+    lowered = df.withColumn("_t_text", F.lower(F.coalesce(col(text), F.lit(""))))
+    marked = lowered.withColumn("_t_marked", tk.mark_sentences(col("_t_text")))
+    clause_source = col("_t_marked" if sentences_in_clauses else "_t_text")
+    punctuated = marked.withColumns({
+        "_t_word_part": tk.space_punctuation(col("_t_marked")),
+        "_t_clause_part": tk.space_punctuation(tk.mark_clauses(clause_source)),
+    })
+    spaced = punctuated.withColumns({
+        "_t_spaced": tk.space_clitics(col("_t_text"), col("_t_word_part")),
+        "_t_clauses": tk.space_clitics(col("_t_text"), col("_t_clause_part")),
+    })
+    even = spaced.withColumn("_t_even", tk.even_blanks(col("_t_spaced"), marks=""))
+    return even.withColumn("_t_line", F.concat(
+        F.lit(" "), F.replace(col("_t_even"), F.lit(tk.SENTENCE), F.lit(" ")), F.lit(" ")
+    ))
+
+
+def alpha_words() -> Column:
+    """The tokens of letters only."""
+    return F.regexp_extract_all("_t_line", F.lit(_ALPHA), F.lit(1))
+
+
+def contractions() -> Column:
+    spaced = F.col("_t_spaced")
+    return F.when(F.contains(spaced, F.lit("'")), F.regexp_count(spaced, F.lit(_CONTRACTION))).otherwise(0)
+
+
+def commas(sentence: Column) -> Column:
+    return F.length(sentence) - F.length(F.replace(sentence, F.lit(","), F.lit("")))
+
+
+def formulas(part: Callable[[str], Column]) -> dict[str, Column]:
+    """The fifteen features from a text's counts: ``n`` tokens (``distinct``, ``long``, in word lists), letters-only
+    tokens and their characters, ``chars``, ``punctuation``, ``contractions``, ``passives``, sentences ``ns``, clauses,
+    and the moments of sentences, of tokens by comma part, and of paragraphs."""
+    n = F.greatest(part("n"), F.lit(1)).cast("double")
+    unique = part("distinct") / n
+    return {
+        "unique_word_ratio": unique,
+        "ai_word_ratio": part("ai") / n,
+        "sentence_variation": _variation(part("sentence_m")),
+        "avg_word_length": F.when(part("alpha_n") > 0, part("alpha_chars") / F.greatest(part("alpha_n"), F.lit(1))).otherwise(0.0),
+        "punctuation_density": part("punctuation") / F.greatest(part("chars"), F.lit(1)),
+        "conjunction_ratio": part("conjunctions") / n,
+        "paragraph_variation": F.coalesce(F.least(population_std(part("paragraph_m")), F.lit(PARAGRAPH_CAP)), F.lit(0.0)),
+        "readability": part("long") / n,
+        "burstiness": _variation(part("burst_m")),
+        "transition_density": part("transitions") / n,
+        "avg_clause_length": F.when(
+            part("clause_count") > 0,
+            F.least(part("clause_tokens") / F.greatest(part("clause_count"), F.lit(1)), F.lit(CLAUSE_CAP)),
+        ).otherwise(0.0),
+        "lexical_diversity": unique,
+        "pronoun_ratio": part("pronouns") / n,
+        "contraction_ratio": part("contractions") / n,
+        "passive_ratio": part("passives") / F.greatest(part("ns"), F.lit(1)),
+    }
+
+
 def add_features(
     df: DataFrame,
     text: str = "text",
@@ -90,39 +153,20 @@ def add_features(
     """
     counted = sorted({*ai_words, *conjunctions, *transitions, *pronouns})
     col = F.col
+    lines = tokenised(df, text, sentences_in_clauses)
 
-    lowered = df.withColumn("_t_text", F.lower(F.coalesce(col(text), F.lit(""))))
-    marked = lowered.withColumn("_t_marked", tk.mark_sentences(col("_t_text")))
-    clause_source = col("_t_marked" if sentences_in_clauses else "_t_text")
-    punctuated = marked.withColumns({
-        "_t_word_part": tk.space_punctuation(col("_t_marked")),
-        "_t_clause_part": tk.space_punctuation(tk.mark_clauses(clause_source)),
-    })
-    spaced = punctuated.withColumns({
-        "_t_spaced": tk.space_clitics(col("_t_text"), col("_t_word_part")),
-        "_t_clauses": tk.space_clitics(col("_t_text"), col("_t_clause_part")),
-    })
-
-    even = spaced.withColumn("_t_even", tk.even_blanks(col("_t_spaced"), marks=""))
-    lines = even.withColumn("_t_line", F.concat(
-        F.lit(" "), F.replace(col("_t_even"), F.lit(tk.SENTENCE), F.lit(" ")), F.lit(" ")
-    ))
-
-    x, line = col("_t_spaced"), col("_t_line")
+    line = col("_t_line")
     measured = lines.withColumns({
         "_t_words": tk.split_even(line),
-        "_t_alpha": F.regexp_extract_all(line, F.lit(_ALPHA), F.lit(1)),
-        "_t_contractions": F.when(
-            F.contains(x, F.lit("'")), F.regexp_count(x, F.lit(_CONTRACTION))
-        ).otherwise(0),
+        "_t_alpha": alpha_words(),
+        "_t_contractions": contractions(),
         "_t_passives": F.regexp_count(line, F.lit(tk.pair_pattern(be_forms, "ed"))),
         "_t_sentences": F.filter(
             F.transform(
                 F.split(col("_t_even"), tk.SENTENCE),
                 lambda s: F.struct(
                     F.size(tk.split_even(s)).cast("double").alias("tokens"),
-                    (F.length(s) - F.length(F.replace(s, F.lit(","), F.lit(""))) + 1)
-                    .cast("double").alias("comma_parts"),
+                    (commas(s) + 1).cast("double").alias("comma_parts"),
                 ),
             ),
             lambda s: s["tokens"] > 0,
@@ -158,35 +202,11 @@ def add_features(
         "_t_paragraph_m": moments(col("_t_paragraph_words")),
     })
 
-    n = F.greatest(col("_t_n"), F.lit(1)).cast("double")
-    unique = col("_t_distinct") / n
-    out = {
-        "unique_word_ratio": unique,
-        "ai_word_ratio": _members(col("_t_hits"), ai_words) / n,
-        "sentence_variation": _variation(col("_t_sentence_m")),
-        "avg_word_length": F.when(
-            col("_t_alpha_n") > 0, col("_t_alpha_chars") / F.greatest(col("_t_alpha_n"), F.lit(1))
-        ).otherwise(0.0),
-        "punctuation_density": col("_t_punctuation") / F.greatest(col("_t_chars"), F.lit(1)),
-        "conjunction_ratio": _members(col("_t_hits"), conjunctions) / n,
-        "paragraph_variation": F.coalesce(
-            F.least(population_std(col("_t_paragraph_m")), F.lit(PARAGRAPH_CAP)), F.lit(0.0)
-        ),
-        "readability": col("_t_long") / n,
-        "burstiness": _variation(col("_t_burst_m")),
-        "transition_density": _members(col("_t_hits"), transitions) / n,
-        "avg_clause_length": F.when(
-            col("_t_clause_count") > 0,
-            F.least(
-                col("_t_clause_tokens") / F.greatest(col("_t_clause_count"), F.lit(1)),
-                F.lit(CLAUSE_CAP),
-            ),
-        ).otherwise(0.0),
-        "lexical_diversity": unique,
-        "pronoun_ratio": _members(col("_t_hits"), pronouns) / n,
-        "contraction_ratio": col("_t_contractions") / n,
-        "passive_ratio": col("_t_passives") / F.greatest(col("_t_ns"), F.lit(1)),
+    members = {
+        name: members_of(col("_t_hits"), terms)
+        for name, terms in (("ai", ai_words), ("conjunctions", conjunctions), ("transitions", transitions), ("pronouns", pronouns))
     }
+    out = formulas(lambda name: members[name] if name in members else col(f"_t_{name}"))
     counts = {"n_tokens": col("_t_n"), "n_sentences": col("_t_ns")} if keep_counts else {}
     return folded.select(
         *[F.col(c) for c in df.columns],

@@ -1,17 +1,10 @@
-"""The soft-voting ensemble as three MLlib models, and its use on feature tables."""
+"""The soft-voting ensemble: a forest, boosted trees and a logistic regression, and its use on feature tables."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,9 +12,12 @@ from pyspark.sql import functions as F
 
 from penprint.functions.features import FEATURES
 from penprint.functions.rules import add_heuristic_class
+from penprint.operators.boosting import BoostedTrees, fit_boosted
 from penprint.operators.evaluate import importance_rank
+from penprint.operators.logistic import Logistic, fit_logistic
+from penprint.operators.passes import training_rows
 from penprint.operators.sampling import kfold
-from penprint.session import cut_lineage, shared_folder
+from penprint.session import run_together, stored
 
 # Settings that must equal the reference's.
 TREES, DEPTH = 100, 15
@@ -29,8 +25,9 @@ ROUNDS, RATE, BOOST_DEPTH = 100, 0.1, 3
 MAX_ITER = 1000
 SEED = 42
 
-# A forest draws its samples by partition, so their number is fixed and does not follow rows or cores.
-_FIT_PARTITIONS = 16
+# A forest draws its samples by partition, so their number is part of the model's settings: it follows the number of
+# rows by this rule, and not cores or files.
+LEAST_FIT_PARTITIONS, ROWS_A_PARTITION = 4, 50_000
 
 
 @dataclass(frozen=True)
@@ -38,8 +35,8 @@ class Ensemble:
     """Three fitted models that vote with equal weight."""
 
     forest: RandomForestClassificationModel
-    boosted: GBTClassificationModel
-    logistic: LogisticRegressionModel
+    boosted: BoostedTrees
+    logistic: Logistic
 
     @property
     def name(self) -> str:
@@ -50,46 +47,27 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
 
-def training_vectors(train: DataFrame, id_col: str = "doc_id", partitions: int = _FIT_PARTITIONS) -> DataFrame:
-    """``label, features`` of a feature table in fixed partitions and row order.
-
-    Equal rows give equal models on any cluster. Give large tables more ``partitions``: the number is part of
-    the model's settings.
-    """
-    vectors = assemble(train.select(id_col, "label", *FEATURES))
-    placed = vectors.repartition(partitions, id_col).sortWithinPartitions(id_col, "label")
-    return placed.select("label", "features")
+def fit_partitions(rows: int) -> int:
+    return max(LEAST_FIT_PARTITIONS, -(-rows // ROWS_A_PARTITION))
 
 
-def _named(estimator, prefix: str):
-    """Give an estimator output columns of its own, so that three can run over one table."""
-    return (
-        estimator.setRawPredictionCol(f"_{prefix}_raw")
-        .setProbabilityCol(f"_{prefix}_probability")
-        .setPredictionCol(f"_{prefix}_prediction")
-    )
+def training_vectors(train: DataFrame, id_col: str = "doc_id", partitions: int | None = None) -> DataFrame:
+    """``label, features`` (and ``fold``, if there is one) of a feature table in fixed partitions and row order: equal
+    rows give equal models on any cluster."""
+    fold = [c for c in ("fold",) if c in train.columns]
+    partitions = fit_partitions(train.count()) if partitions is None else partitions
+    vectors = assemble(train.select(id_col, "label", *fold, *FEATURES))
+    placed = vectors.repartition(partitions, id_col).sortWithinPartitions(id_col, "label")
+    return placed.select("label", *fold, "features")
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED):
     """``train`` carries the vector column ``features`` and ``label``."""
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt"
-    )
-    return _named(forest, "forest").fit(train)
-
-
-def fit_boosted(train: DataFrame, rounds: int = ROUNDS, rate: float = RATE, seed: int = SEED):
-    boosted = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=BOOST_DEPTH, seed=seed)
-    return _named(boosted, "boosted").fit(train)
-
-
-def fit_logistic(train: DataFrame, rows: int | None = None, max_iter: int = MAX_ITER):
-    """L2 with C = 1 on unscaled features: the penalty is spread over the rows."""
-    rows = train.count() if rows is None else rows
-    logistic = LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
-    )
-    return _named(logistic, "logistic").fit(train)
+        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
+        rawPredictionCol="_forest_raw", probabilityCol="_forest_vector", predictionCol="_forest_prediction",
+    )
+    return forest.fit(train)
 
 
 def fit_ensemble(
@@ -101,22 +79,49 @@ def fit_ensemble(
     seed: int = SEED,
     id_col: str = "doc_id",
 ) -> Ensemble:
-    """Fit the three models on a feature table with ``label``.
+    """Fit the three models on a feature table with ``label``, at the same time.
+
+    The fits read the table hundreds of times: pass one whose lineage is cut. What they read is cached; a lost block is
+    rebuilt from the written table, not from the texts.
+    """
+    forest, boosted, logistic = _fit_all(train, None, trees, depth, rounds, max_iter, seed, id_col)
+    return Ensemble(forest[0], boosted[0], logistic[0])
+
+
+def _fit_all(
+    train: DataFrame, folds: int | None, trees: int, depth: int, rounds: int, max_iter: int, seed: int, id_col: str
+) -> tuple[list, list[BoostedTrees], list[Logistic]]:
+    """The three kinds of models; with ``folds`` one of each for every fold left out.
 
-    The fits read the table hundreds of times: pass one whose lineage is cut. Vectors are cached
-    for the fits; a lost block is rebuilt from the written table, not from the texts.
+    Forests are fitted by jobs of their own from one cached table of vectors, boosted trees and regressions by passes
+    that serve all folds. All of them run at once, each in a scheduler pool of its own.
     """
-    shared_folder(train.sparkSession)  # boosting cuts its own lineage every ten rounds
+    spark = train.sparkSession
     vectors = training_vectors(train, id_col).persist()
+    rows = training_rows(train, FEATURES, None if folds is None else "fold").persist()
+    left_out = [None] if folds is None else list(range(folds))
+
+    def forest(fold: int | None):
+        return fit_forest(vectors if fold is None else vectors.where(F.col("fold") != fold), trees, depth, seed)
+
+    jobs = {f"forest-{k}": lambda k=k: forest(k) for k in left_out}
+    jobs["boosted"] = lambda: fit_boosted(rows, FEATURES, rounds, RATE, BOOST_DEPTH, folds)
+    jobs["logistic"] = lambda: fit_logistic(rows, FEATURES, max_iter=max_iter, folds=folds)
     try:
-        rows = vectors.count()
-        return Ensemble(
-            fit_forest(vectors, trees, depth, seed),
-            fit_boosted(vectors, rounds, seed=seed),
-            fit_logistic(vectors, rows, max_iter),
-        )
+        done = run_together(spark, jobs)
     finally:
         vectors.unpersist()
+        rows.unpersist()
+    return [done[f"forest-{k}"] for k in left_out], done["boosted"], done["logistic"]
+
+
+def probabilities(ensemble: Ensemble, df: DataFrame) -> DataFrame:
+    """Add each model's probability of class 1 to a feature table: ``_forest``, ``_boosted``, ``_logistic``. Narrow."""
+    scored = ensemble.forest.transform(assemble(df))
+    return scored.select(
+        *df.columns, vector_to_array("_forest_vector")[1].alias("_forest"),
+        ensemble.boosted.probability().alias("_boosted"), ensemble.logistic.probability().alias("_logistic"),
+    )
 
 
 def predict(ensemble: Ensemble, df: DataFrame) -> DataFrame:
@@ -124,13 +129,7 @@ def predict(ensemble: Ensemble, df: DataFrame) -> DataFrame:
 
     The vote is the mean of the three probabilities; a tie is human.
     """
-    scored = assemble(df)
-    for model in (ensemble.forest, ensemble.boosted, ensemble.logistic):
-        scored = model.transform(scored)
-    mean = sum(
-        vector_to_array(f"_{p}_probability")[1] for p in ("forest", "boosted", "logistic")
-    ) / 3
-    voted = scored.withColumn("ai_probability", mean)
+    voted = probabilities(ensemble, df).withColumn("ai_probability", (F.col("_forest") + F.col("_boosted") + F.col("_logistic")) / 3)
     p = F.col("ai_probability")
     return voted.select(
         *df.columns, (p > 1.0 - p).alias("is_ai"), (1.0 - p).alias("human_probability"), p,
@@ -154,33 +153,37 @@ def feature_importance(ensemble: Ensemble, spark: SparkSession) -> DataFrame:
 
 
 def save_ensemble(ensemble: Ensemble, path: str) -> None:
-    for name in ("forest", "boosted", "logistic"):
-        getattr(ensemble, name).write().overwrite().save(f"{path}/{name}")
+    spark = SparkSession.active()
+    ensemble.forest.write().overwrite().save(f"{path}/forest")
+    ensemble.boosted.save(spark, f"{path}/boosted")
+    ensemble.logistic.save(spark, f"{path}/logistic")
 
 
 def load_ensemble(path: str) -> Ensemble:
+    spark = SparkSession.active()
     return Ensemble(
         RandomForestClassificationModel.load(f"{path}/forest"),
-        GBTClassificationModel.load(f"{path}/boosted"),
-        LogisticRegressionModel.load(f"{path}/logistic"),
+        BoostedTrees.load(spark, f"{path}/boosted"),
+        Logistic.load(spark, f"{path}/logistic"),
     )
 
 
 def cross_validate(
-    features: DataFrame, k: int = 5, seed: int = SEED, id_col: str = "doc_id", **settings
-) -> DataFrame:
+    features: DataFrame, k: int = 5, seed: int = SEED, id_col: str = "doc_id", trees: int = TREES, depth: int = DEPTH,
+    rounds: int = ROUNDS, max_iter: int = MAX_ITER,
+) -> DataFrame:
     """Accuracy per fold with the mean and twice the deviation over folds.
 
-    Each fold needs its own fit, so the loop over ``k`` folds is on the driver; the data is not.
+    The rows are read from one table with a fold column; the folds' fits run at the same time.
     """
-    folded = cut_lineage(kfold(features, k, seed, id_col))
-    parts = []
-    for fold in range(k):
-        model = fit_ensemble(folded.where(F.col("fold") != fold), seed=seed, id_col=id_col, **settings)
-        scored = predict(model, folded.where(F.col("fold") == fold))
-        hit = F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double"))
-        parts.append((fold, scored.agg(hit).first()[0]))
-    table = features.sparkSession.createDataFrame(parts, "fold int, accuracy double")
+    folded = stored(kfold(features, k, seed, id_col).select(id_col, "label", "fold", *FEATURES), "folds")
+    fitted = _fit_all(folded, k, trees, depth, rounds, max_iter, seed, id_col)
+    scored = None
+    for fold, models in enumerate(zip(*fitted, strict=True)):
+        part = predict(Ensemble(*models), folded.where(F.col("fold") == fold))
+        part = part.select(F.col("fold").cast("int").alias("fold"), (F.col("is_ai").cast("int") == F.col("label")).cast("double").alias("hit"))
+        scored = part if scored is None else scored.unionByName(part)
+    table = stored(scored, "fold-scores").groupBy("fold").agg(F.avg("hit").alias("accuracy"))
     folds = Window.partitionBy(F.lit(0))  # k rows
     return table.withColumns({
         "mean_accuracy": F.avg("accuracy").over(folds),

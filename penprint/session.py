@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -69,3 +73,19 @@ def spread(df: DataFrame, key: str, at_least: int = 32) -> DataFrame:
     follow the cluster, and an input with enough partitions is left alone: no shuffle is added at scale.
     """
     return df.repartition(at_least, key) if df.rdd.getNumPartitions() < at_least else df
+
+
+def run_together(spark: SparkSession, jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run driver functions in threads, so that their Spark jobs share the cluster; the first error is raised.
+
+    Each function's jobs go to a scheduler pool of its name: with ``spark.scheduler.mode=FAIR`` they get even shares,
+    with the default they fill what the others leave.
+    """
+
+    def in_pool(name: str, job: Callable[[], Any]) -> Any:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return job()
+
+    with ThreadPoolExecutor(max(len(jobs), 1)) as threads:
+        futures = {name: threads.submit(inheritable_thread_target(spark)(in_pool), name, job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
