@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from penprint.llm import toxicity as t
@@ -83,3 +84,15 @@ def test_quality_scores(spark, hard, empty):
     assert q.score_quality(empty).count() == 0
     same = q.score_quality(hard).filter(F.col("doc_id") == 20).select("score").distinct().count()
     assert same == 1
+
+
+def test_a_row_has_one_score_in_batches_of_any_size():
+    rng = random.Random(9)
+    texts = [prose(rng, 40) for _ in range(40)]
+    weights = np.random.default_rng(2).standard_normal(q.FEATURES + 1).astype(np.float32)
+    steps = np.zeros((40, len(q.LABELLERS)), np.int64)
+    seen = set()
+    for size in range(1, 41):
+        x = q.hashed_features(pa.array(texts[40 - size :]), steps[:size])
+        seen.add(q.linear_scores(x, weights)[-1])
+    assert len(seen) == 1
