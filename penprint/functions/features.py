@@ -72,12 +72,14 @@ def members_of(hits: Column, terms: Sequence[str]) -> Column:
     return F.size(F.filter(hits, lambda t: t.isin(*terms)))
 
 
-def tokenised(df: DataFrame, text: str, sentences_in_clauses: bool = True) -> DataFrame:
+def tokenised(
+    df: DataFrame, text: str, sentences_in_clauses: bool = True, abbreviations: Sequence[str] = (), starters: Sequence[str] = ()
+) -> DataFrame:
     """Add the forms of a text that everything is counted on: ``_t_text`` in lower case, ``_t_spaced`` and ``_t_even``
     with marks between sentences, ``_t_clauses`` with marks between clauses, and ``_t_line`` without marks."""
     col = F.col
     lowered = df.withColumn("_t_text", F.lower(F.coalesce(col(text), F.lit(""))))
-    marked = lowered.withColumn("_t_marked", tk.mark_sentences(col("_t_text")))
+    marked = lowered.withColumn("_t_marked", tk.mark_sentences(col("_t_text"), abbreviations, starters))
     clause_source = col("_t_marked" if sentences_in_clauses else "_t_text")
     punctuated = marked.withColumns({
         "_t_word_part": tk.space_punctuation(col("_t_marked")),
@@ -145,15 +147,18 @@ def add_features(
     pronouns: Sequence[str] = lx.PRONOUNS,
     be_forms: Sequence[str] = lx.BE_FORMS,
     sentences_in_clauses: bool = True,
+    abbreviations: Sequence[str] = (),
+    starters: Sequence[str] = (),
     keep_counts: bool = False,
 ) -> DataFrame:
     """Add the fifteen features of ``text`` to every row. Narrow: no shuffle, no Python.
 
-    ``keep_counts`` also keeps ``n_tokens`` and ``n_sentences``.
+    ``abbreviations`` and ``starters`` as learned from a corpus (``operators.abbreviations``) tell where periods end
+    no sentence. ``keep_counts`` also keeps ``n_tokens`` and ``n_sentences``.
     """
     counted = sorted({*ai_words, *conjunctions, *transitions, *pronouns})
     col = F.col
-    lines = tokenised(df, text, sentences_in_clauses)
+    lines = tokenised(df, text, sentences_in_clauses, abbreviations, starters)
 
     line = col("_t_line")
     measured = lines.withColumns({

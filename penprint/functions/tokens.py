@@ -53,9 +53,29 @@ _CLITIC = (
 )
 
 
-def mark_sentences(text: Column) -> Column:
-    """Replace the blanks after a sentence's end by the sentence mark."""
-    return F.regexp_replace(text, _SENTENCE_END, f"$1{SENTENCE}")
+# The word before a stretch's last period, and the word that the next stretch begins with.
+_LAST_SHORT = rf"""(?:^|[{BLANK}])["'(\[{{<]*+([^{BLANK}]*?)\.["')\]]*+$"""
+_FIRST_WORD = rf"""^["'(\[{{<]*+([^{BLANK}"')\]}}>,;:!?]*)"""
+
+
+def mark_sentences(text: Column, abbreviations: Sequence[str] = (), starters: Sequence[str] = ()) -> Column:
+    """Replace the blanks after a sentence's end by the sentence mark.
+
+    A period after one of ``abbreviations`` (in lower case, without it) ends a sentence only before one of ``starters``.
+    """
+    marked = F.regexp_replace(text, _SENTENCE_END, f"$1{SENTENCE}")
+    if not abbreviations:
+        return marked
+    parts = F.split(marked, SENTENCE)
+    following = F.concat(F.slice(parts, F.lit(2), F.size(parts)), F.array(F.lit(None).cast("string")))
+
+    def with_mark(part: Column, next_part: Column) -> Column:
+        short = F.lower(F.regexp_extract(part, _LAST_SHORT, 1)).isin(*abbreviations)
+        first = F.regexp_replace(F.lower(F.regexp_extract(next_part, _FIRST_WORD, 1)), r"\.+$", "")
+        goes_on = short & ~first.isin(*starters) if starters else short
+        return F.concat(part, F.when(next_part.isNull(), F.lit("")).when(goes_on, F.lit(" ")).otherwise(F.lit(SENTENCE)))
+
+    return F.array_join(F.zip_with(parts, following, with_mark), "")
 
 
 def mark_clauses(text: Column) -> Column:
@@ -136,9 +156,9 @@ def words(text: Column) -> Column:
     return token_array(spaced_words(F.lower(text)))
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: Column, abbreviations: Sequence[str] = (), starters: Sequence[str] = ()) -> Column:
     """Sentences of the lower-cased text, blanks trimmed."""
-    parts = F.split(mark_sentences(F.lower(text)), SENTENCE)
+    parts = F.split(mark_sentences(F.lower(text), abbreviations, starters), SENTENCE)
     trimmed = F.transform(parts, lambda s: strip(s))
     return F.filter(trimmed, lambda s: s != "")
 

@@ -23,13 +23,22 @@ def write_metrics(df: DataFrame, path: str) -> None:
 
 
 def append_run_log(df: DataFrame, path: str, run_id: str, **facts) -> None:
-    """Append a run's metrics with its id, the time and the given facts (sizes, seed)."""
+    """Log a run's metrics with its id, the time and the given facts (sizes, seed).
+
+    Each run has a partition of its own, which a repeated run overwrites: the log has one entry for each id.
+    """
     tagged = df.withColumns({
         "run_id": F.lit(run_id),
         "logged_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
         **{name: F.lit(value) for name, value in facts.items()},
+        "run_key": F.concat(F.lit("run-"), F.md5(F.lit(run_id))),
     })
-    tagged.write.mode("append").json(path)
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_key").json(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each logged run and row of its metrics."""
+    return spark.read.json(path).drop("run_key")
 
 
 def run_metadata(spark: SparkSession, **facts) -> DataFrame:
