@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import text_sql as ts
 from catalog.entry import Entry
 from penprint.functions import rules
-from penprint.operators import classes, merge, prepare, sampling
+from penprint.operators import classes, digest_index, merge, prepare, sampling
 from penprint.plans import prepare as jobs
 from penprint.session import scratch_path
-from penprint.sources import readers, tables, writers
+from penprint.sources import readers, tables, versions, writers
 
 
 def _digest(df: DataFrame, *keep: str) -> DataFrame:
@@ -109,6 +111,44 @@ def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     return classes.class_ratios(sampling.balance_to_minority(keyed, id_col="key"))
 
 
+def _indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents added in two batches to a corpus that has an index of its digests."""
+    real = _labelled(spark, folder).withColumn("source_rank", F.lit(0))
+    every = prepare.cast_trim(tables.table(spark, folder, "documents").select("doc_id", "text", F.lit(1).alias("label")))
+    every = every.withColumn("source_rank", F.lit(1))
+    index = digest_index.DigestIndex.create(real, f"digests_{uuid.uuid4().hex}", scratch_path(spark, "digests"))
+    added = index.add(every.where("doc_id % 2 = 0")).unionByName(index.add(every.where("doc_id % 2 = 1")))
+    both = merge.dedupe_text_label(real).unionByName(added)
+    return _digest(both.drop("doc_id"), "label")
+
+
+def _labelled(spark: SparkSession, folder: str) -> DataFrame:
+    return prepare.cast_trim(tables.doc_corpus(spark, folder).select("doc_id", "text", "label"))
+
+
+def _replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """A corpus replaced by itself merged with the documents, read back from its newest version."""
+    path = scratch_path(spark, "versions")
+    versions.write_version(_labelled(spark, folder), path)
+    more = tables.table(spark, folder, "documents").select("doc_id", "text", F.lit(1).alias("label"))
+    versions.replace_corpus(spark, path, lambda old: merge.dedupe_text_label(merge.merge_corpora(old, more)))
+    return _digest(versions.read_current(spark, path), "source_rank", "doc_id", "label")
+
+
+def _columns_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables that have the columns of a text corpus, with their rows; the others are refused by name."""
+    out = None
+    for name in ("documents", "labels", "pages", "conversations"):
+        df = tables.table(spark, folder, name)
+        try:
+            ok = prepare.require_columns(df, "text").columns == df.columns
+        except ValueError as error:
+            ok = "text" not in str(error)
+        row = df.agg(F.lit(name).alias("name"), F.lit(ok).alias("has_text"), F.count(F.lit(1)).alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _csv_merged(spark: SparkSession, folder: str) -> DataFrame:
     """Keyless CSV folders with repeats inside and across, one file in another column order, and a third source."""
     path = scratch_path(spark, "csv-corpora")
@@ -116,7 +156,7 @@ def _csv_merged(spark: SparkSession, folder: str) -> DataFrame:
     chat = tables.chat_corpus(spark, folder)
     writers.write_corpus(docs.unionByName(docs), f"{path}/real", "csv")
     writers.write_corpus(chat.select("text", "label"), f"{path}/made", "csv")
-    writers.write_corpus(docs.select("label", "text").coalesce(1), f"{path}/turned", "csv")
+    writers.write_corpus(docs.select("label", "text"), f"{path}/turned", "csv")
     third = tables.table(spark, folder, "documents").select("text", F.lit(1).alias("label"))
     writers.write_corpus(third, f"{path}/third", "csv")
     read = [
@@ -339,6 +379,22 @@ ENTRIES = [
         f"""WITH {_DEDUPED} SELECT source_rank, doc_id, {ts.key(_SEED, 'source_rank', 'doc_id')} AS shuffle_key
         FROM d WHERE rn = 1""",
     ),
+    Entry(
+        "set2_incremental_index", _indexed,
+        f"""SELECT label, {_TEXT} FROM (SELECT {ts.strip('text')} AS text, label FROM ({ts.DOC})
+          UNION SELECT {ts.strip('text')}, 1 FROM documents)""",
+    ),
+    Entry(
+        "snk1_replace_in_place", _replaced,
+        f"WITH {_DEDUPED} SELECT source_rank, doc_id, label, {_TEXT} FROM d WHERE rn = 1",
+    ),
+    Entry(
+        "src4_require_columns", _columns_checked,
+        """SELECT 'documents' AS name, true AS has_text, count(*) AS n FROM documents
+        UNION ALL SELECT 'labels', false, count(*) FROM labels
+        UNION ALL SELECT 'pages', false, count(*) FROM pages
+        UNION ALL SELECT 'conversations', true, count(*) FROM conversations""",
+    ),
     Entry(
         "set3_stack_classes",
         lambda spark, d: _digest(merge.stack_classes(

@@ -18,10 +18,13 @@ from catalog.text_queries import _scored_sql
 from penprint.functions.features import FEATURES, add_features
 from penprint.functions.rules import add_calibrated_confidence
 from penprint.operators import evaluate, models, sampling
+from penprint.operators.models import predict_or_heuristic
+from penprint.operators.prepare import scorable
 from penprint.plans import train
 from penprint.session import cut_lineage, scratch_path
 from penprint.sources import tables, writers
 from penprint.streaming import score as stream
+from penprint.streaming import summary
 
 _SAVED: dict[tuple[str, str], str] = {}
 
@@ -202,6 +205,76 @@ def _cross_validated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _permuted(spark: SparkSession, folder: str) -> DataFrame:
+    """The fall of the vote's accuracy by feature, on the test rows with one more feature held constant."""
+    ensemble, test = _ensemble(spark, folder)
+    falls = models.permutation_importance(ensemble, test.withColumn("passive_ratio", F.lit(0.0)))
+    p = F.col("importance")
+    return falls.select(
+        "feature", p.between(-1, 1).alias("is_share"), ((F.col("feature") != "passive_ratio") | (p == 0)).alias("constant_is_zero")
+    )
+
+
+def _trained(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole training job with its files read back: rows of each, and whether they agree with the scores."""
+    path = scratch_path(spark, "run")
+    run = train.train_and_evaluate(tables.chat_corpus(spark, folder), path=path)
+    loaded, metadata = writers.load_model(spark, f"{path}/model")
+    facts, scored = metadata.first(), run.evaluation.scored
+    right = scored.agg(F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double"))).first()[0]
+    again = models.predict(loaded, scored.select("doc_id", "label", *FEATURES)).select("doc_id", F.col("ai_probability").alias("_again"))
+    checks = {
+        "test_results": _near(F.col("accuracy"), F.lit(right)),
+        "classification_report": F.col("support") > 0,
+        "confidence_analysis": F.col("min_confidence") <= F.col("max_confidence"),
+        "feature_statistics": F.col("feature").isin(*FEATURES),
+        "feature_importance": F.col("rank").between(1, len(FEATURES)),
+        "areas": F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1),
+    }
+    sizes = F.lit(facts["dataset_size"]).cast("long").alias("dataset_size"), F.lit(facts["test_samples"]).cast("long").alias("test_samples")
+    out = scored.join(again, "doc_id").agg(
+        F.lit("model").alias("file"), F.count(F.lit(1)).alias("n"), F.every(F.col("ai_probability") == F.col("_again")).alias("agrees")
+    )
+    for name, holds in checks.items():
+        part = spark.read.json(f"{path}/{name}").agg(F.lit(name).alias("file"), F.count(F.lit(1)).alias("n"), F.every(holds).alias("agrees"))
+        out = out.unionByName(part)
+    log = writers.read_run_log(spark, f"{path}/run_log")
+    out = out.unionByName(log.agg(F.lit("run_log").alias("file"), F.count(F.lit(1)).alias("n"), F.every(F.col("dataset_size") == facts["dataset_size"]).alias("agrees")))
+    for name, cells in (("roc_curve", ("fpr", "tpr")), ("pr_curve", ("precision", "recall"))):
+        points = spark.read.json(f"{path}/{name}")
+        distinct = scored.select("score").distinct().count() + 1
+        inside = F.every(F.col(cells[0]).between(0, 1) & F.col(cells[1]).between(0, 1)) & (F.count(F.lit(1)) == distinct)
+        out = out.unionByName(points.agg(F.lit(name).alias("file"), F.lit(1).cast("long").alias("n"), inside.alias("agrees")))
+    return out.select("file", "n", "agrees", *sizes)
+
+
+def _stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """The dates that a run's files are stamped with: their form, and that they are today's or yesterday's."""
+    rows = tables.chat_corpus(spark, folder).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    path = scratch_path(spark, "stamps")
+    writers.write_metrics(writers.run_metadata(spark, dataset_size=rows), f"{path}/metadata")
+    writers.append_run_log(spark.range(1).select(F.lit(rows).alias("dataset_size")), f"{path}/log", "one")
+    first = spark.read.json(f"{path}/metadata").select("dataset_size", F.col("training_date").alias("stamp"))
+    second = writers.read_run_log(spark, f"{path}/log").select("dataset_size", F.col("logged_at").alias("stamp"))
+    recent = F.timestamp_diff("DAY", F.to_timestamp("stamp"), F.current_timestamp()) <= 1
+    form = F.col("stamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")
+    return first.unionByName(second).select(F.col("dataset_size").cast("long").alias("dataset_size"), form.alias("has_form"), recent.alias("is_recent"))
+
+
+def _stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct documents through the stream, scored, as totals by window; the windows are summed up."""
+    out = scratch_path(spark, "totals")
+    source = stream.read_text_stream(spark, folder, "documents.parquet")
+    timed = source.withColumn("at", F.timestamp_seconds((F.col("doc_id") + 1) * 60))  # the epoch itself would be late
+    first = summary.distinct_texts(timed, "at", "100000 days")
+    scored = predict_or_heuristic(add_features(scorable(first, 10)))
+    summary.start_totals(scored, "at", "1 day", out, f"{out}-checkpoint", once=True).awaitTermination()
+    totals = summary.read_totals(spark, out)
+    return totals.agg(
+        F.sum("n").alias("n"), F.sum("n_ai").alias("n_ai"), F.round(F.sum(F.col("mean_ai") * F.col("n")) / F.sum("n"), 6).alias("mean_ai")
+    )
+
+
 def _flags(*names: str) -> str:
     """The held-out rows, all flags true."""
     return f"SELECT doc_id, label, {', '.join(f'true AS {n}' for n in names)} FROM ({_ORD4}) WHERE is_test"
@@ -283,5 +356,26 @@ ENTRIES = [
         "mod9_cross_validate", _cross_validated,
         "SELECT range::BIGINT AS fold, true AS is_share, true AS is_mean FROM range(5)",
     ),
+    Entry(
+        "mod8_permutation_importance", _permuted,
+        f"SELECT unnest({list(FEATURES)!r}) AS feature, true AS is_share, true AS constant_is_zero",
+    ),
+    Entry(
+        "mod9_train_pipeline", _trained,
+        f"""WITH s AS (SELECT count(*)::BIGINT AS dataset_size, count(*) FILTER (is_test)::BIGINT AS test_samples FROM ({_ORD4}))
+        SELECT file, CASE WHEN file = 'model' THEN test_samples ELSE n END::BIGINT AS n, true AS agrees, dataset_size, test_samples
+        FROM s, (VALUES ('model', 0), ('test_results', 1), ('classification_report', 5), ('confidence_analysis', 1),
+          ('feature_statistics', 15), ('feature_importance', 15), ('areas', 1), ('run_log', 1), ('roc_curve', 1), ('pr_curve', 1)) f(file, n)""",
+    ),
+    Entry(
+        "dat_run_stamps", _stamps,
+        f"SELECT count(*)::BIGINT AS dataset_size, true AS has_form, true AS is_recent FROM ({ts.CHAT}), range(2) GROUP BY range",
+    ),
+    Entry(
+        "str1_stream_totals", _stream_totals,
+        f"""WITH {_scored_sql(ts.DOCS)}, u AS (SELECT text, any_value(is_ai) AS is_ai, any_value(ai_probability) AS p FROM scored
+          WHERE length({ts.strip('text')}) >= 10 GROUP BY text)
+        SELECT count(*)::BIGINT AS n, count(*) FILTER (is_ai)::BIGINT AS n_ai, round(avg(p), 6) AS mean_ai FROM u""",
+    ),
     Entry("snk5_save_load_model", _reloaded, _flags("is_equal")),
 ]

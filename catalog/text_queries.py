@@ -13,9 +13,10 @@ from penprint.functions import lexicons as lx
 from penprint.functions import rules
 from penprint.functions import tokens as tk
 from penprint.functions.features import FEATURES, add_features
-from penprint.operators import augment, evaluate, lexicon
+from penprint.operators import abbreviations, augment, evaluate, lexicon, long_texts
 from penprint.operators.models import predict_or_heuristic
 from penprint.plans import score
+from penprint.session import stored
 from penprint.sources import tables
 
 # Words that do occur in the documents, so that every lexicon feature has something to count.
@@ -96,6 +97,47 @@ def _strip_each(parts: str) -> str:
     return f"list_filter(list_transform({parts}, lambda p: {ts.strip('p')}), lambda p: p <> '')"
 
 
+_SHORTENED = ("Dr. Abel met e.g. two friends of Acme Inc. in town.", "They left at 5 p.m. and called Mr. Lund.", "No. 7 was closed.")
+
+
+def _abbreviated(spark: SparkSession, folder: str) -> DataFrame:
+    """Abbreviations of the documents with phrases appended, a third of which hold some."""
+    noted = augment.append_phrase(tables.documents(spark, folder), _SHORTENED, 0.5, "short")
+    found = abbreviations.abbreviations(noted)
+    return found.select("type", "n", "n_period", F.round("score", 4).alias("score"))
+
+
+_ABBREVIATED = rf"""WITH d AS (SELECT CASE WHEN {ts.uniform(42, 'short')} < 0.5
+  THEN text || ' ' || ([{', '.join(ts.q(p) for p in _SHORTENED)}])[floor({ts.uniform(42, 'short:which')} * {len(_SHORTENED)})::INT + 1]
+  ELSE text END AS text FROM documents),
+w AS (SELECT regexp_replace(unnest({ts.whitespace_words('lower(text)')}), '^["''(\[{{<]+', '') AS w FROM d),
+b AS (SELECT regexp_replace(w, '["'')\]}}>,;:!?]+$', '') AS b FROM w),
+t AS (SELECT CASE WHEN regexp_matches(b, '\p{{L}}') THEN regexp_replace(b, '\.+$', '') ELSE '' END AS type,
+  regexp_matches(b, '[^.]\.$') AS period FROM b),
+c AS (SELECT type, count(*) AS n, count(*) FILTER (period) AS n_period FROM t GROUP BY type),
+z AS (SELECT *, sum(n_period) OVER () / sum(n) OVER ()::DOUBLE AS p, length(replace(type, '.', ''))::DOUBLE AS letters FROM c),
+s AS (SELECT type, n, n_period, letters,
+  -2 * ((n_period * ln(greatest(p, 1e-300)) + CASE WHEN n > n_period THEN (n - n_period) * ln(greatest(1 - p, 1e-300)) ELSE 0 END)
+    - (n_period * ln(0.99::DOUBLE) + (n - n_period) * ln(1 - 0.99::DOUBLE)))
+  * exp(-letters) * (length(type) - letters + 1) * pow(letters, -(n - n_period)::DOUBLE) AS score
+  FROM z WHERE n_period > 0 AND type <> '')
+SELECT type, n, n_period, round(score, 4) AS score FROM s WHERE score >= 0.3"""
+
+
+def _sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Vocabularies of languages, united from stored sketches of (language, source), against exact counts."""
+    docs = tables.table(spark, folder, "documents").select("lang", "source", "text")
+    sketches = stored(lexicon.vocabulary_sketches(docs, "lang", "source"), "sketches")
+    united = lexicon.united_vocabulary(sketches, "lang").withColumnRenamed("n_distinct", "_about")
+    words = docs.select("lang", F.explode(tk.words(F.col("text"))).alias("token"))
+    exact = words.distinct().groupBy("lang").agg(F.count("*").alias("n_distinct"))
+    near = F.abs(F.col("_about") - F.col("n_distinct")) <= 0.03 * F.col("n_distinct")
+    return united.join(exact, "lang").select("lang", "n_tokens", "n_distinct", near.alias("is_near"))
+
+
+_SKETCHED = f"""WITH w AS (SELECT lang, unnest({ts.words('lt')}) AS token FROM (SELECT lang, lower(text) AS lt FROM documents))
+SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct, true AS is_near FROM w GROUP BY lang"""
+
 _PROFILE = ("text_length", "word_count", *rules.PROFILE_RATIOS, "heuristic_score")
 _SQL_FLAGS = """((ai_word_ratio > 0.01)::INT + (sentence_variation < 0.3)::INT
   + (unique_word_ratio < 0.5)::INT + (punctuation_density < 0.01)::INT) / 4.0::DOUBLE"""
@@ -251,6 +293,13 @@ ENTRIES = [
           SELECT doc_id, {ts.sentences('lt')} AS s FROM (SELECT doc_id, lower(text) AS lt FROM documents))""",
     ),
     Entry("fea_feature_table", _feature_query(tables.documents), _feature_sql(ts.DOCS)),
+    Entry(
+        "fea_long_texts",
+        lambda spark, d: _rounded(long_texts.piece_features(long_texts.cut_texts(tables.documents(spark, d), 1000)), "doc_id"),
+        f"WITH {ts.features_cte(ts.DOCS)} SELECT {_sql_rounded('doc_id')} FROM feats",
+    ),
+    Entry("tok2_abbreviations", _abbreviated, _ABBREVIATED),
+    Entry("agg12_vocabulary_sketches", _sketched, _SKETCHED),
     Entry("fea_feature_table_chat", _feature_query(tables.chat_corpus), _feature_sql(ts.CHAT)),
     Entry(
         "fea_feature_table_marked",
@@ -450,6 +499,14 @@ ENTRIES = [
           SELECT doc_id, {_append_sql(augment.KEYWORDS, augment.AI_KEYWORD_RATE, 'keyword', ' Here a ', ' counts.')}
           AS text FROM documents))""",
     ),
+    Entry(
+        "aug2_append_clause_and_closing",
+        lambda spark, d: _text_digest(augment.append_closing(augment.append_clause(tables.documents(spark, d)))),
+        f"""SELECT doc_id, md5(text) AS text_md5, length(text)::BIGINT AS chars FROM (
+          SELECT doc_id, {_append_sql((augment.LIGHT_TOUCH,), augment.CLOSING_RATE, 'touch')} AS text FROM (
+          SELECT doc_id, {_append_sql(augment.CLOSINGS, 1.0, 'closing')} AS text FROM (
+          SELECT doc_id, {_append_sql(augment.CLAUSES, augment.CLAUSE_RATE, 'clause')} AS text FROM documents)))""",
+    ),
     Entry(
         "aug3_append_noise",
         lambda spark, d: _text_digest(augment.append_noise(tables.documents(spark, d))),

@@ -39,6 +39,21 @@ TRANSITION_STARTS = ("Furthermore,", "Moreover,", "Consequently,", "Therefore,")
 SLANG = ("lol", "tbh", "idk", "kinda", "sort of", "btw", "ngl", "omg", "haha", "lmao")
 EMOJIS = ("😂", "😅", "🙂", "🙃", "🥲", "🤦‍♂️", "🤷‍♀️")
 ENDINGS = ("...", "?!", "!!!")
+CLAUSES = (
+    "Honestly, it got stuck in my head the whole day.",
+    "It sounds small but it really threw off my mood.",
+    "I know it shouldn't bother me this much but it does.",
+    "Maybe I'm overthinking it, but still.",
+)
+CLOSINGS = (
+    "Overall, there is no single right answer, but paying attention to context usually helps.",
+    "In practice, small consistent habits matter more than any one big decision.",
+    "So the real challenge is balancing convenience, long-term impact and personal values.",
+    "Ultimately, the best approach depends on individual goals and constraints.",
+)
+LIGHT_TOUCH = "In practice, it doesn't always work out as neatly as it sounds."
+HUMAN_KEYWORD_WORDS = ("From my perspective the", "of the whole thing is how people adapt over time.")
+AI_KEYWORD_WORDS = ("In this context, a simple", "can help people reason about trade-offs without getting lost in details.")
 DOUBT = " I think."
 SLANG_RATE, EMOJI_RATE, ENDING_RATE, DOTS_RATE, DOUBT_RATE = 0.5, 0.35, 0.4, 0.2, 0.3
 CLAUSE_RATE, TRANSITION_RATE, CLOSING_RATE = 0.5, 0.5, 0.3
@@ -102,6 +117,29 @@ def append_keyword(
     return append_phrase(df, KEYWORDS, rate, "keyword", seed, id_col, f" {before} ", f" {after}")
 
 
+def append_clause(df: DataFrame, clauses: Sequence[str] = CLAUSES, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """An emotional clause, for half of the texts."""
+    return append_phrase(df, clauses, CLAUSE_RATE, "clause", seed, id_col)
+
+
+def append_closing(df: DataFrame, closings: Sequence[str] = CLOSINGS, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """A closing sentence for every text, and a light informal touch after some."""
+    closed = append_phrase(df, closings, 1.0, "closing", seed, id_col)
+    return append_phrase(closed, (LIGHT_TOUCH,), CLOSING_RATE, "touch", seed, id_col)
+
+
+def humanize(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """The steps for texts of class 0: a clause, now and then a keyword, noise, stretched periods and typos."""
+    longer = append_keyword(append_clause(df, seed=seed, id_col=id_col), *HUMAN_KEYWORD_WORDS, HUMAN_KEYWORD_RATE, seed, id_col)
+    return inject_typos(stretch_periods(append_noise(longer, seed, id_col), seed=seed, id_col=id_col), seed=seed, id_col=id_col)
+
+
+def formalize(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """The steps for texts of class 1: formal terms, a closing, and often a keyword."""
+    closed = append_closing(substitute_terms(df, FORMAL_TERMS_SHORT, whole_word=True), seed=seed, id_col=id_col)
+    return append_keyword(closed, *AI_KEYWORD_WORDS, AI_KEYWORD_RATE, seed, id_col)
+
+
 def append_noise(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Slang, an emoji and repeated end punctuation, each at its own rate."""
     noisy = append_phrase(df, SLANG, SLANG_RATE, "slang", seed, id_col)

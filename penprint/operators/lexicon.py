@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import tokens as tk
@@ -14,6 +14,8 @@ from penprint.session import cut_lineage, stored
 # A lexicon within both limits is sent to every executor.
 BROADCAST_TERMS = 500_000
 BROADCAST_BYTES = 64 * 2**20
+# The Bloom filter before the shuffled join: 16 MB in pages of 32,768 bits.
+_FILTER_BITS, _PAGE = 1 << 27, 1 << 15
 # A term in more than this share of the (text, term) rows is hot; so there are fewer than 10,000.
 _HOT_SHARE = 1e-4
 
@@ -53,6 +55,31 @@ def lexicon_hits_join(
     )
 
 
+def _slot(term: str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(_FILTER_BITS))
+
+
+def _term_filter(terms: DataFrame) -> DataFrame:
+    """A Bloom filter of the terms with one hash: ``_page, _bits``, at most 4,096 pages of 4 KB.
+
+    Up to eight million terms it lets one in 16 strange words pass, with ten times as many every other one; the exact
+    join decides in any case.
+    """
+    slots = terms.select(_slot("term").alias("slot"))
+    return slots.groupBy(F.floor(F.col("slot") / _PAGE).cast("long").alias("_page")).agg(
+        F.bitmap_construct_agg(F.pmod("slot", F.lit(_PAGE))).alias("_bits")
+    )
+
+
+def _filtered(rows: DataFrame, maybe: DataFrame) -> DataFrame:
+    """Add ``_maybe``: false for terms that the lexicon certainly doesn't hold."""
+    placed = rows.withColumns({"_page": F.floor(_slot("term") / _PAGE).cast("long"), "_at": F.pmod(_slot("term"), F.lit(_PAGE)).cast("int")})
+    looked = placed.join(F.broadcast(maybe), "_page", "left")
+    byte = F.expr("cast(conv(hex(substring(_bits, _at div 8 + 1, 1)), 16, 10) as int)")
+    bit = F.coalesce(F.expr("_bits is not null") & (byte.bitwiseAND(F.expr("shiftleft(1, _at % 8)")) > 0), F.lit(False))
+    return looked.withColumn("_maybe", bit).drop("_page", "_at", "_bits")
+
+
 def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
     """Join tokens and lexicon by term without sending a frequent word's rows to one task.
 
@@ -65,6 +92,7 @@ def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFram
     counted = everything.where(F.col("term").isNotNull())
     without = everything.where(F.col("term").isNull()).withColumn("_hit", F.lit(None).cast("int"))
     marked = terms.withColumn("_hit", F.lit(1))
+    maybe = _term_filter(terms)
     total = counted.agg(F.count(F.lit(1))).scalar()
     hot = (
         counted.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
@@ -72,8 +100,10 @@ def _shuffled_hits(tokens: DataFrame, terms: DataFrame, id_col: str) -> DataFram
         .select("term")
     )
     hot_rows = counted.join(F.broadcast(hot.join(marked, "term", "left")), "term")
-    cold_rows = counted.join(F.broadcast(hot), "term", "left_anti").join(marked.hint("merge"), "term", "left")
-    both = hot_rows.unionByName(cold_rows).unionByName(without)
+    cold = _filtered(counted.join(F.broadcast(hot), "term", "left_anti"), maybe)
+    cold_rows = cold.where("_maybe").drop("_maybe").join(marked.hint("merge"), "term", "left")
+    missed = cold.where(~F.col("_maybe")).drop("_maybe").withColumn("_hit", F.lit(None).cast("int"))
+    both = hot_rows.unionByName(cold_rows).unionByName(missed).unionByName(without)
     return both.groupBy(id_col).agg(
         F.sum("_times").alias("n_tokens"),
         F.sum(F.when(F.col("_hit") == 1, F.col("_times")).otherwise(0)).alias("hits"),
@@ -115,3 +145,18 @@ def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     return counts.agg(
         F.count(F.lit(1)).alias("n_distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_tokens")
     )
+
+
+def vocabulary_sketches(df: DataFrame, *by: str, text: str = "text", lg_size: int = 14) -> DataFrame:
+    """``by, sketch, n_tokens``: the vocabulary of each group as a sketch that can be stored and united later.
+
+    A HyperLogLog sketch of 2^14 registers (about 16 KB) is within 2 % of the exact count in 99 of 100 cases.
+    """
+    tokens = df.select(*by, F.explode(tk.words(F.col(text))).alias("token"))
+    return tokens.groupBy(*by).agg(F.hll_sketch_agg("token", lg_size).alias("sketch"), F.count("*").alias("n_tokens"))
+
+
+def united_vocabulary(sketches: DataFrame, *by: str) -> DataFrame:
+    """``by, n_distinct, n_tokens`` of united sketches: no text is read again."""
+    united = sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"), F.sum("n_tokens").alias("n_tokens"))
+    return united.select(*by, F.hll_sketch_estimate("sketch").alias("n_distinct"), "n_tokens")

@@ -26,18 +26,16 @@ def merge_corpora(real: DataFrame | None, generated: DataFrame, *more: DataFrame
 
 
 def _groups(df: DataFrame, id_col: str) -> DataFrame:
-    """One row per distinct (text, label): its copies and the row that stays, ``_head``.
+    """One row per distinct (text, label): its copies and the row that stays, ``_head``, the least (source_rank, id).
 
     Grouped by two digests of the text, so texts are not shuffled; counts and minima combine on the map side,
-    so a text with any number of copies costs each task one row. ``_head`` is the least (source_rank, id) with
-    the number of rows that have it, as ids need not be distinct.
+    so a text with any number of copies costs each task one row.
     """
-    same = df.groupBy(
-        F.md5("text").alias("_digest"), F.xxhash64("text").alias("_hash"), F.col("label").alias("_label"),
-        F.col("source_rank").alias("_rank"), F.col(id_col).alias("_id"),
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    return same.groupBy("_digest", "_hash", "_label").agg(
-        F.sum("_n").alias("_copies"), F.min(F.struct("_rank", "_id", "_n")).alias("_head")
+    return df.groupBy(
+        F.md5("text").alias("_digest"), F.xxhash64("text").alias("_hash"), F.col("label").alias("_label")
+    ).agg(
+        F.count(F.lit(1)).alias("_copies"),
+        F.min(F.struct(F.col("source_rank").alias("_rank"), F.col(id_col).alias("_id"))).alias("_head"),
     )
 
 
@@ -60,10 +58,10 @@ def dedupe_text_label(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     marked = ranked.join(repeated, same, "left")
     head = F.col("_head")
     stays = F.col("source_rank").eqNullSafe(head["_rank"]) & F.col(id_col).eqNullSafe(head["_id"])
-    kept = marked.where(F.col("_digest").isNull() | stays)
-    once = kept.where(F.col("_digest").isNull() | (head["_n"] == 1)).select(*df.columns)
-    several = kept.where(head["_n"] > 1).dropDuplicates(["_digest", "_hash", "_label"]).select(*df.columns)
-    return once.unionByName(several)
+    once = marked.where(F.col("_digest").isNull()).select(*df.columns)
+    # Ids need not be distinct: of the few heads of repeated texts, one each stays.
+    heads = marked.where(stays).dropDuplicates(["_digest", "_hash", "_label"]).select(*df.columns)
+    return once.unionByName(heads)
 
 
 def dedupe_report(df: DataFrame, id_col: str = "doc_id") -> DataFrame:

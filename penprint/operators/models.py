@@ -16,7 +16,7 @@ from penprint.operators.boosting import BoostedTrees, fit_boosted
 from penprint.operators.evaluate import importance_rank
 from penprint.operators.logistic import Logistic, fit_logistic
 from penprint.operators.passes import training_rows
-from penprint.operators.sampling import kfold
+from penprint.operators.sampling import kfold, row_ranks
 from penprint.session import run_together, stored
 
 # Settings that must equal the reference's.
@@ -152,6 +152,27 @@ def feature_importance(ensemble: Ensemble, spark: SparkSession) -> DataFrame:
     return importance_rank(table)
 
 
+def permutation_importance(ensemble: Ensemble, features: DataFrame, seed: int = SEED, id_col: str = "doc_id") -> DataFrame:
+    """``feature, importance`` of the vote: by how much its accuracy on ``features`` falls when one column is re-dealt.
+
+    The rows are put in two orders by hash keys; each row gets the column's value from the row that has its place in
+    the other order. One pass scores every row as it is and with each column re-dealt. Only ids and feature columns
+    move. ``id_col`` must be unique.
+    """
+    rows = stored(features.select(id_col, "label", *FEATURES), "importance")
+    place = {k: row_ranks(rows, seed + k, id_col) for k in (1, 2)}
+    given = rows.join(place[2], id_col).select("rank", *[F.col(f).alias(f"_{f}") for f in FEATURES])
+    paired = rows.join(place[1], id_col).join(given, "rank")
+    dealt = paired.withColumn("_changed", F.explode(F.sequence(F.lit(0), F.lit(len(FEATURES)))))
+    changed = dealt.select("label", "_changed", *[
+        F.when(F.col("_changed") == i, F.col(f"_{f}")).otherwise(F.col(f)).alias(f) for i, f in enumerate(FEATURES, 1)
+    ])
+    hit = F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double"))
+    accuracies = {r["_changed"]: r["accuracy"] for r in predict(ensemble, changed).groupBy("_changed").agg(hit.alias("accuracy")).collect()}
+    falls = [(f, accuracies[0] - accuracies[i]) for i, f in enumerate(FEATURES, 1)] if accuracies else []
+    return features.sparkSession.createDataFrame(falls, "feature string, importance double")
+
+
 def save_ensemble(ensemble: Ensemble, path: str) -> None:
     spark = SparkSession.active()
     ensemble.forest.write().overwrite().save(f"{path}/forest")

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from penprint.functions.keys import order_key
 from penprint.operators.prepare import CLASSES
+from penprint.session import stored
+
+#: Rows whose ids and ranks may be broadcast (about 40 bytes each).
+BROADCAST_RANKS = 1_000_000
 
 _DIGITS = 4
 _BUCKETS = 16**_DIGITS
@@ -144,18 +148,16 @@ def random_split(
     return df.withColumn("is_holdout", bucket < F.lit(int(holdout * _BUCKETS)))
 
 
-def rank_in_class(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """Add ``rank``, the position of each row in its class by order key.
+def _ranks(keyed: DataFrame, id_col: str) -> DataFrame:
+    """``label, id, rank`` of a table of labels, ids and keys: the position of each row in its class by key.
 
     Rows are ranked inside key buckets; the rows in lower buckets are added as an offset. The offsets
     are at most 65,536 rows a class, hence safe to broadcast.
     """
-    labelled = df.where(F.col("label").isin(*CLASSES))
-    keyed = labelled.withColumn("_key", order_key(seed, id_col))
     before = Window.partitionBy("label").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = _histogram(keyed.select("label", "_key")).select(
+    offsets = _histogram(keyed).select(
         "label", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     inside = Window.partitionBy("label", "_bucket").orderBy("_key")
@@ -163,10 +165,33 @@ def rank_in_class(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> Data
         keyed.withColumn("_bucket", F.substring("_key", 1, _DIGITS))
         .withColumn("_inside", F.row_number().over(inside))
         .join(F.broadcast(offsets), ["label", "_bucket"])
-        .select(*df.columns, (F.col("_offset") + F.col("_inside")).alias("rank"))
+        .select("label", id_col, (F.col("_offset") + F.col("_inside")).alias("rank"))
     )
 
 
+def class_ranks(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """``label, id_col, rank``: the position of each row in its class by order key. Only ids and labels move."""
+    labelled = df.where(F.col("label").isin(*CLASSES))
+    return _ranks(labelled.select("label", id_col, order_key(seed, id_col).alias("_key")), id_col)
+
+
+def row_ranks(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """``id_col, rank``: the position of each row among all by order key."""
+    return _ranks(df.select(F.lit(0).alias("label"), id_col, order_key(seed, id_col).alias("_key")), id_col).drop("label")
+
+
+def rank_in_class(df: DataFrame, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """Add ``rank``, the position of each row in its class by order key. ``id_col`` must be unique.
+
+    Ranks are found from ids alone. They are looked up by a join that broadcasts them while they are few, so that texts
+    stay where they are; beyond that rows and ranks meet by id. ``class_ranks`` gives the ranks without the rows.
+    """
+    ranks = class_ranks(df, seed, id_col).drop("label")
+    n = df.where(F.col("label").isin(*CLASSES)).count()
+    side = F.broadcast(stored(ranks, "ranks")) if n <= BROADCAST_RANKS else ranks
+    return df.where(F.col("label").isin(*CLASSES)).join(side, id_col).select(*df.columns, "rank")
+
+
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Add ``fold`` from 0 to k-1, each with the same share of either class."""
     ranked = rank_in_class(df, seed, id_col)

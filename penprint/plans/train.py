@@ -23,6 +23,8 @@ class Evaluation:
     metrics: DataFrame
     report: DataFrame
     confidence: DataFrame
+    roc_points: DataFrame
+    pr_points: DataFrame
     roc_auc: DataFrame
     pr_auc: DataFrame
     seconds: float
@@ -55,6 +57,8 @@ def evaluate_on(ensemble: models.Ensemble, features: DataFrame) -> Evaluation:
         evaluate.nested_metrics(scored),
         evaluate.classification_report(scored),
         evaluate.confidence_stats(scored),
+        evaluate.roc_points(scored),
+        evaluate.pr_points(scored),
         evaluate.roc_auc(scored),
         evaluate.pr_auc(scored),
         seconds,
@@ -122,8 +126,14 @@ def train_and_evaluate(
 
 def save_training(training: Training, path: str, facts: dict) -> None:
     save_model(training.ensemble, f"{path}/model", training.metadata)
-    write_metrics(training.evaluation.metrics, f"{path}/test_results")
-    write_metrics(training.evaluation.confidence, f"{path}/confidence_analysis")
+    results = training.evaluation
+    write_metrics(results.metrics, f"{path}/test_results")
+    write_metrics(results.report, f"{path}/classification_report")
+    write_metrics(results.confidence, f"{path}/confidence_analysis")
+    write_metrics(results.roc_points, f"{path}/roc_curve")
+    write_metrics(results.pr_points, f"{path}/pr_curve")
     write_metrics(training.contrast, f"{path}/feature_statistics")
     write_metrics(training.importance, f"{path}/feature_importance")
-    append_run_log(training.evaluation.roc_auc, f"{path}/run_log", run_id=str(time.time_ns()), **facts)
+    areas = results.roc_auc.crossJoin(F.broadcast(results.pr_auc))  # one row each
+    write_metrics(areas, f"{path}/areas")
+    append_run_log(areas, f"{path}/run_log", run_id=str(time.time_ns()), **facts)

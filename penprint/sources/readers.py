@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from penprint.operators.prepare import require_columns
 
 CORPUS_SCHEMA = "text string, label double"
 LAYOUT_A_SCHEMA = "text string, generated double"
+#: Bytes of a string value in Spark.
+LONGEST_ARRAY = (1 << 31) - 32
 LAYOUT_B_SCHEMA = "Data string, Label double"
 
 
@@ -28,14 +31,26 @@ def place_id(name: str = "doc_id") -> Column:
 
 
 def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """Header line to the files that begin with it: one pass over the lines, one row for each file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-    )
+    """Header line to the files that begin with it: only the beginning of each file is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    utf8 = jvm.java.nio.charset.StandardCharsets.UTF_8
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(name: str) -> str:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, utf8))
+        try:
+            return lines.readLine() or ""
+        finally:
+            lines.close()
+
     groups: dict[str, list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("header")).collect():
-        groups.setdefault(row["header"].lstrip("\ufeff").strip(), []).append(row["file"])
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(16) as threads:
+        for name, header in zip(files, threads.map(first_line, files), strict=True):
+            groups.setdefault(header.lstrip("\ufeff").strip(), []).append(name)
+    groups.pop("", None)  # a file without a header has no rows
     return groups
 
 
@@ -78,12 +93,16 @@ def read_source_collections(
     """Files holding one JSON array each; elements that are no objects with ``text`` are left out.
 
     Returns ``text, label, source``, the source being the file's name without its ending. An array is
-    read as a whole, so one file is one task: spread a large collection over many files. A file that is
-    no array fails the job. With ``id_col`` rows get an id, of file and place in the array.
+    read as a whole, so one file is one task and at most 2 GB: spread a large collection over many files. A larger
+    file, or one that is no array, fails the job with its name. With ``id_col`` rows get an id, of file and place in the array.
     """
     parts = []
     for label, paths in ((0, human), (1, ai)):
         if paths:
+            sizes = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(list(paths)).select("path", "length")
+            large = [r["path"] for r in sizes.where(F.col("length") > LONGEST_ARRAY).limit(3).collect()]
+            if large:
+                raise ValueError(f"arrays of more than 2 GB: {large}")
             files = spark.read.text(list(paths), wholetext=True)
             name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1)
             value = F.regexp_replace("value", "^\ufeff", "")

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import brute
+from pyspark.sql import functions as F
 
 from penprint.operators import lexicon
 
@@ -70,3 +71,21 @@ def test_empty_texts_take_no_part_in_the_join(spark, monkeypatch):
     joined = lexicon.lexicon_hits_join(df, terms)
     assert {(r["doc_id"], r["n_tokens"], r["hits"]) for r in joined.collect()} == {(i, 0, 0) if i % 2 else (i, 2, 1) for i in range(400)}
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filter_lets_every_term_pass_and_few_others(spark):
+    terms = spark.range(3000).selectExpr("concat('term', id) as term")
+    others = spark.range(20000).selectExpr("concat('other', id) as term")
+    maybe = lexicon._term_filter(terms)
+    assert lexicon._filtered(terms, maybe).where("not _maybe").count() == 0
+    assert lexicon._filtered(others, maybe).where("_maybe").count() < 20
+    nothing = lexicon._term_filter(terms.limit(0))
+    assert lexicon._filtered(others, nothing).where("_maybe").count() == 0
+
+
+def test_united_sketches(spark, corpus):
+    texts = corpus.withColumn("part", F.col("doc_id") % 7)
+    united = lexicon.united_vocabulary(lexicon.vocabulary_sketches(texts, "part", "label"), "label").collect()
+    for r in united:
+        exact = lexicon.vocabulary(texts.where(F.col("label") == r["label"])).first()
+        assert r["n_tokens"] == exact["n_tokens"] and abs(r["n_distinct"] / exact["n_distinct"] - 1) < 0.02

@@ -103,7 +103,8 @@ def test_train_and_evaluate(spark, tmp_path, texts):
     assert run.inner is not None and 20 < run.inner.rows < 60
     assert 0 <= run.evaluation.roc_auc.first()[0] <= 1 and 0 <= run.evaluation.pr_auc.first()[0] <= 1
     assert run.contrast.count() == 15 and run.importance.count() == 15
-    for name in ("test_results", "confidence_analysis", "feature_statistics", "feature_importance", "run_log"):
+    for name in ("test_results", "classification_report", "confidence_analysis", "roc_curve", "pr_curve", "areas", "feature_statistics",
+                 "feature_importance", "run_log"):
         assert spark.read.json(f"{tmp_path}/run/{name}").count() > 0
     loaded, _ = writers.load_model(spark, f"{tmp_path}/run/model")
     assert score.score_texts(texts, loaded).count() == 240
@@ -114,3 +115,23 @@ def test_models_do_not_depend_on_partitions(features):
     many = models.fit_ensemble(features.repartition(11, "label"), **SMALL)
     a, b = (probabilities(models.predict(m, features)) for m in (few, many))
     assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_permutation_importance(spark, ensemble, features):
+    flat = features.withColumn("readability", F.lit(0.5))
+    got = {r["feature"]: r["importance"] for r in models.permutation_importance(ensemble, flat, seed=3).collect()}
+    assert set(got) == set(FEATURES) and got["readability"] == 0.0
+
+    # The same by hand: rows in two orders, one column at a time.
+    rows = {r["doc_id"]: r.asDict() for r in flat.collect()}
+    order = [{r["doc_id"]: r["rank"] for r in models.row_ranks(flat, 3 + k).collect()} for k in (1, 2)]
+    giver = {rank: i for i, rank in order[1].items()}
+    changed = []
+    for f in FEATURES:
+        changed += [(*[rows[giver[order[0][i]]][g] if g == f else r[g] for g in FEATURES], r["label"], f) for i, r in rows.items()]
+    names = ", ".join(f"{f} double" for f in FEATURES)
+    hit = F.avg((F.col("is_ai").cast("int") == F.col("label")).cast("double")).alias("a")
+    by_hand = models.predict(ensemble, spark.createDataFrame(changed, f"{names}, label int, changed string")).groupBy("changed").agg(hit)
+    whole = models.predict(ensemble, flat).agg(hit).first()["a"]
+    assert got == pytest.approx({r["changed"]: whole - r["a"] for r in by_hand.collect()})
+    assert max(got.values()) > 0
