@@ -11,17 +11,23 @@ probability equal to their weighted Jaccard similarity. The draws of a shingle a
 by a hash of shingle and sample; equal values go to the least hash. 14 bands of 4 samples bring together a pair of
 similarity 0.8 with probability 0.9994, of 0.85 with 0.99997.
 
-Equal texts are one node. A bucket's nodes are compared with its lightest only (of least total weight). That loses no
-link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have no shingle that both
-hold more often than L does, what they share is at most what y shares with L, so x and y fail too. Moreover they share a weight of at
-least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold t. So linked nodes that the leader
-leaves apart meet in a group (leader, shingle) if each lists its shingles above the leader in one order, up to where
-what follows weighs less than its need (a ninth of a text at most, at 0.8). Groups that hold several components are
-treated as buckets were, each again with its lightest node, until no group of several components is left: a round that
-joins nothing does not end the search, as its leaders may stand between nodes that meet in the next. Leaders get heavier
-from round to round, so the rounds end. When all pairs of the groups that are left are no more than ``PAIRS`` a node,
-those of two components are compared at once, each once, which finds the same links: groups overlap, so these are few. So a large group of copies costs a comparison for each member and leader,
-never one for each pair; only large groups of texts that are alike, but not linked, take many rounds.
+Equal texts are one node. What rounds read is written once: a node's weight, its samples in 16 bits each, and the texts of
+the nodes that share a bucket with another. A bucket's nodes are first compared with its lightest only (of least total
+weight). Buckets whose nodes are of one component then are done. In the others, the pairs across components are told
+apart by their samples: as each sample agrees with probability equal to the similarity, a pair at 0.8 agrees in fewer than
+34 of 56 with probability 0.0002, and only pairs that agree in as many are verified on the whole texts; for each two
+components the best pair first, then what is left across components. Comparing samples takes place in tiles of two
+blocks of ``BLOCK_NODES`` nodes, so a bucket of any size is many tasks.
+
+That last step is taken once the pairs across components are no more than ``PAIRS`` a node, and those whose samples agree
+no more than ``VERIFIED`` a node. Until then large buckets of texts that are alike, but not linked, are taken apart by their
+leaders, which loses no link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have
+no shingle that both hold more often than L does, what they share is at most what y shares with L, so x and y fail too.
+Moreover they share a weight of at least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold
+t. So linked nodes that the leader leaves apart meet in a group (leader, shingle) if each lists its shingles above the
+leader in one order, up to where what follows weighs less than its need (a ninth of a text at most, at 0.8). Those groups
+are treated as buckets were, each again with its lightest node. Leaders get heavier from round to round, so the rounds end.
+A large group of copies costs a comparison for each member and leader, never one for each pair.
 
 Components spread by table joins and pointer jumps, cut by written tables.
 
@@ -49,9 +55,14 @@ from penprint.session import stored
 THRESHOLD = 0.8
 SHINGLE = 5
 BANDS = 14
-#: The search ends with all pairs of the groups that are left once they are no more than so many a node, repeats counted.
-PAIRS = 100
 ROWS = 4
+#: The search ends by samples once the pairs across components are no more than so many a node, repeats counted, and those
+#: that are to be verified no more than so many.
+PAIRS, VERIFIED = 1000, 20
+#: Nodes on either side of a tile.
+BLOCK_NODES = 1000
+#: Nodes whose keys may be broadcast (16 bytes each).
+BROADCAST_NODES = 1_000_000
 _FEATURE_BITS = 18
 _TABLE_BITS = 16
 _BLOCK = 1 << 15
@@ -67,17 +78,17 @@ class Sampler:
     def weights(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return counts * self.idf[values >> np.uint64(64 - _FEATURE_BITS)]
 
-    def signatures(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-        """An n x ``BANDS`` array of band hashes; texts without shingles get zeros, which are not to be used.
+    def signatures(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(band hashes, n x ``BANDS``; samples in 16 bits, n x 56); texts without shingles get zeros, not to be used.
 
         Texts are sampled in blocks of about ``_BLOCK`` shingles, which stay in a core's cache.
         """
-        out = np.zeros((n, BANDS), np.uint64)
+        out, samples = np.zeros((n, BANDS), np.uint64), np.zeros((n, BANDS * ROWS), np.uint16)
         ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of))
         cuts = [0, *ends[np.flatnonzero(np.diff(ends // _BLOCK, append=-1))].tolist()]
         for a, b in zip(cuts, cuts[1:]):
-            self._sample(values[a:b], of[a:b], counts[a:b], out)
-        return out
+            self._sample(values[a:b], of[a:b], counts[a:b], out, samples)
+        return out, samples
 
     @cached_property
     def _draws(self) -> tuple[np.ndarray, ...]:
@@ -89,7 +100,7 @@ class Sampler:
         factors = rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
         return r, 1 / r, ln_c, b, factors
 
-    def _sample(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
+    def _sample(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, out: np.ndarray, samples: np.ndarray) -> None:
         r, per_r, ln_c, b, factors = self._draws
         has, starts, sizes = np.unique(of, return_index=True, return_counts=True)
         if not len(has):
@@ -105,6 +116,7 @@ class Sampler:
             least = least[np.unique(inside[least], return_index=True)[1]]
             drawn = mixed(values[least] + level[least].astype(np.int64).astype(np.uint64) * factor)
             out[has, j // ROWS] = mixed(out[has, j // ROWS] + drawn)
+            samples[has, j] = drawn >> np.uint64(48)
 
 
 def node(text: str) -> Column:
@@ -137,31 +149,45 @@ def feature_idf(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> np.
     return 1 + 0.5 * np.log((documents + 1) / (frequency + 1)) / np.log(documents + 2)
 
 
-def band_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(grp, node, weight) of every distinct text with words, a row for each band."""
+def node_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """(node, weight, samples, bands) of every distinct text with words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
                 values, of, counts = distinct_shingles(part.column(1), size)
-                bands = sampler.signatures(values, of, counts, part.num_rows)
+                bands, samples = sampler.signatures(values, of, counts, part.num_rows)
                 has = np.unique(of)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(bands[has].view(np.int64).reshape(-1)), BANDS)
                 weight = np.bincount(of, sampler.weights(values, counts), part.num_rows)[has]
+                packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * BANDS * ROWS), len(has), [None, pa.py_buffer(samples[has].tobytes())])
                 yield pa.record_batch(
-                    [part.column(0).take(pa.array(has)), pa.array(weight), lists.cast(pa.list_(pa.int64()))], names=["node", "weight", "bands"]
+                    [part.column(0).take(pa.array(has)), pa.array(weight), packed.cast(pa.binary()), lists.cast(pa.list_(pa.int64()))],
+                    names=["node", "weight", "samples", "bands"],
                 )
 
     texts = docs.select(node(text).alias("node"), F.col(quoted(text)).alias("text"))
-    signed = texts.mapInArrow(sign, "node string, weight double, bands array<long>")
-    once = signed.groupBy("node").agg(F.any_value("weight").alias("weight"), F.any_value("bands").alias("bands"))
-    rows = once.select(F.unhex("node").alias("node"), "weight", F.posexplode("bands").alias("band", "bucket"))
+    signed = texts.mapInArrow(sign, "node string, weight double, samples binary, bands array<long>")
+    once = signed.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("weight", "samples", "bands")])
+    return once.withColumn("node", F.unhex("node"))
+
+
+def band_table(nodes: DataFrame) -> DataFrame:
+    """(grp, node, weight), a row for each node and band."""
+    rows = nodes.select("node", "weight", F.posexplode("bands").alias("band", "bucket"))
     return rows.select(F.xxhash64("band", "bucket").alias("grp"), "node", "weight")
 
 
-def similarities(
-    pairs: DataFrame, docs: DataFrame, sampler: Sampler, threshold: float = THRESHOLD, text: str = "text", size: int = SHINGLE
-) -> DataFrame:
+def shared_texts(groups: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """(node, text) of the nodes that share a group with another, written once."""
+    several = groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("node").alias("one")).filter("n > 1").select("grp")
+    wanted = stored(groups.join(several, "grp", "left_semi").select("node").distinct(), "minhash-wanted")
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted.hint("merge")
+    texts = docs.select(F.unhex(node(text)).alias("node"), F.col(quoted(text)).alias("text")).join(side, "node", "left_semi")
+    return stored(texts.groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
+
+
+def similarities(pairs: DataFrame, texts: DataFrame, sampler: Sampler, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """Pairs (a, b, listed) of nodes with the weighted Jaccard similarity of the whole texts and, where ``listed`` is
     true, the shingles that b holds more often than a, as far as a node linked to b may need them."""
 
@@ -171,9 +197,6 @@ def similarities(
                 for part in chunks(half, 4):
                     yield _compared(part, sampler, threshold, size)
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(F.unhex(node(text)).alias("node"), F.col(quoted(text)).alias("text"))
-    texts = stored(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     with_a = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return with_a.select("a", "b", "listed", "text_a", "text_b").mapInArrow(
@@ -250,56 +273,120 @@ def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     return stored(everyone.join(renamed, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
 
 
-def _across(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs (a, b), a the lighter one, of the nodes of groups (grp, node, weight) that are of two components."""
-    named = groups.join(labels, "node", "left").select("grp", F.struct("weight", "node").alias("at"), F.coalesce("label", "node").alias("label"))
-    one = named.select("grp", F.col("at").alias("one"), F.col("label").alias("label_a"))
-    other = named.select("grp", F.col("at").alias("other"), F.col("label").alias("label_b"))
-    pairs = one.join(other, "grp").filter("one < other and label_a <> label_b")
-    return pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+def least_agreeing(threshold: float) -> int:
+    """Samples that a pair must agree in to be verified: 3.6 deviations below what is expected at the threshold."""
+    n = BANDS * ROWS
+    return int(n * threshold - 3.6 * (n * threshold * (1 - threshold)) ** 0.5)
+
+
+def _agreeing(open_groups: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b, label_a, label_b, agreeing) across components of nodes in groups (grp, n, node, label) whose samples
+    agree in ``least`` places or more, a the lesser node.
+
+    A group of n nodes is cut into blocks of about ``BLOCK_NODES`` by a hash of the node, and each two blocks are a tile.
+    """
+    members = open_groups.join(nodes.select("node", "samples"), "node")
+    blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
+    cut = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    tiled = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    tiled = tiled.select(
+        F.xxhash64("grp", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
+        F.expr("case when block = other then 2 when block < other then 0 else 1 end").alias("side"), "node", "label", "samples",
+    )
+    # Small tiles are gathered, about as many rows to a group of Spark's as a large tile has.
+    n_packs = max(1, tiled.count() // (4 * BLOCK_NODES))
+    packed = tiled.withColumn("pack", F.pmod(F.xxhash64("tile"), F.lit(n_packs)))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("tile", "ascending"), ("side", "ascending")]).combine_chunks()
+        keys, sides = rows.column("tile").to_numpy(), rows.column("side").to_numpy()
+        samples = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint16).reshape(len(rows), -1)
+        label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        bounds = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1 if len(keys) else 0, append=keys[-1] + 1 if len(keys) else 1))
+        left, right, agree = [], [], []
+        for low, high in zip(bounds, bounds[1:]):
+            first = np.arange(low, high)[sides[low:high] != 1]
+            second = first if sides[low] == 2 else np.arange(low, high)[sides[low:high] == 1]
+            for at in range(0, len(first), 64):
+                some = first[at : at + 64]
+                same = np.zeros((len(some), len(second)), np.uint8)
+                for j in range(samples.shape[1]):
+                    same += samples[some, j][:, None] == samples[second, j]
+                x, y = np.nonzero((same >= least) & (label[some][:, None] != label[second]))
+                left.append(some[x]), right.append(second[y]), agree.append(same[x, y])
+        left, right, agree = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (left, right, agree))
+        node, label_of = rows.column("node"), rows.column("label")
+        return pa.table({
+            "a": node.take(left), "b": node.take(right), "label_a": label_of.take(left), "label_b": label_of.take(right),
+            "agreeing": pa.array(agree.astype(np.int32)),
+        })
+
+    found = packed.groupBy("pack").applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary, agreeing int")
+    return found.filter("a < b").union(found.filter("a > b").select("b", "a", "label_b", "label_a", "agreeing")).distinct()
 
 
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, text: str = "text") -> DataFrame:
     """(a, b, similarity) of linked nodes: enough links to hold every class together."""
     sampler = Sampler(feature_idf(docs, text), seed)
-    groups = stored(band_table(docs, sampler, text), "minhash-groups")
-    weights = groups.select("node", "weight").distinct()
-    n_nodes = weights.count()
+    nodes = stored(node_table(docs, sampler, text), "minhash-nodes")
+    groups = stored(band_table(nodes), "minhash-groups")
+    texts = shared_texts(groups, docs, text)
+    weights = nodes.select("node", "weight")
+    n_nodes = nodes.count()
     compared = links = labels = None
-    while True:
-        led = stored(_led(groups), "minhash-led")
-        # Pairs in groups of three or more may leave others apart, and list what the member has above the leader.
-        pairs = led.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg((F.max("n") > 2).alias("listed"))
-        if compared is not None:
-            # A pair that was compared without a list comes again if it needs one now.
-            done = compared.groupBy("a", "b").agg(F.max("listed").alias("has"))
-            pairs = pairs.join(done, ["a", "b"], "left").filter("has is null or (listed and not has)").drop("has")
-        new = stored(similarities(pairs, docs, sampler, threshold, text).withColumn("listed", F.col("above").isNotNull()), "minhash-compared")
+
+    def verified(pairs: DataFrame, listed: bool = False) -> DataFrame:
+        return stored(similarities(pairs.withColumn("listed", F.lit(listed)), texts, sampler, threshold), "minhash-compared")
+
+    def linked(new: DataFrame) -> None:
+        """Take new comparisons (a, b, similarity) into the links and components."""
+        nonlocal compared, links, labels
         found = new.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
-        labels = components(found) if labels is None else _joined(labels, found)
-        compared = new if compared is None else compared.unionByName(new)
+        labels = stored(components(found), "labels") if labels is None else _joined(labels, found)
+        pairs = new.select("a", "b")
+        compared = pairs if compared is None else compared.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
 
-        named = led.join(labels, "node", "left").select("grp", "leader", "node", "n", F.coalesce("label", "node").alias("label"))
-        # Groups whose members beside the leader are of one component have nothing to find.
-        apart = named.filter("n > 2").groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        open_pairs = named.join(apart.select("grp"), "grp").select("leader", "node", "label").distinct()
-        above = open_pairs.join(compared.filter("listed").select(F.col("a").alias("leader"), F.col("b").alias("node"), "above"), ["leader", "node"])
-        shared = above.select(F.explode("above").alias("shingle"), "leader", "node", "label")
-        shared = shared.select(F.xxhash64("leader", "shingle").alias("grp"), "node", "label").distinct()
+    while True:
+        led = stored(_led(groups), "minhash-led")
+        pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        linked(verified(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")))
+
+        everyone = led.select("grp", "node").unionByName(led.select("grp", F.col("leader").alias("node")).distinct())
+        named = stored(everyone.join(labels, "node", "left").select("grp", "node", F.coalesce("label", "node").alias("label")), "minhash-named")
+        each = named.groupBy("grp", "label").agg(F.count("*").alias("m"))
+        sizes = each.groupBy("grp").agg(F.sum("m").alias("n"), F.expr("(sum(m) * sum(m) - sum(m * m)) div 2").alias("pairs"))
+        sizes = stored(sizes.filter("pairs > 0"), "minhash-open")
+        left = sizes.agg(F.sum("pairs")).first()[0]
+        if left is None:
+            return links
+        still = named.join(sizes.select("grp", "n"), "grp")
+        if left <= PAIRS * n_nodes:
+            pairs = stored(_agreeing(still, nodes, least_agreeing(threshold)).join(compared, ["a", "b"], "left_anti"), "minhash-agreeing")
+            if pairs.count() <= VERIFIED * n_nodes:
+                best = pairs.groupBy(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y"))
+                best = best.agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
+                linked(verified(best))
+                names = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+                others = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+                rest = pairs.select("a", "b").join(compared, ["a", "b"], "left_anti").join(names, "a", "left").join(others, "b", "left")
+                linked(verified(rest.filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")))
+                return links
+
+        # Leaders of the groups that are left list what their members hold above them; members meet by that.
+        apart = led.join(sizes.select("grp"), "grp", "left_semi").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        above = verified(apart, listed=True).select("a", F.col("b").alias("node"), F.explode("above").alias("shingle"))
+        shared = above.join(labels, "node", "left").select(
+            F.xxhash64("a", "shingle").alias("grp"), "node", F.coalesce("label", "node").alias("label")
+        ).distinct()
         shared = stored(shared, "minhash-above")
         several = shared.groupBy("grp").agg(
             F.min("label").alias("low"), F.max("label").alias("high"),
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"),
         ).filter("low <> high").groupBy("members", "n").agg(F.min("grp").alias("grp"))  # one group for each set of members
         groups = stored(shared.join(several.select("grp"), "grp").select("grp", "node").join(weights, "node").select("grp", "node", "weight"), "minhash-groups")
-        left = groups.groupBy("grp").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0]
-        if left is None:
+        if groups.isEmpty():
             return links
-        if left <= PAIRS * n_nodes:
-            pairs = _across(groups, labels).join(compared.select("a", "b"), ["a", "b"], "left_anti").withColumn("listed", F.lit(False))
-            rest = stored(similarities(pairs, docs, sampler, threshold, text), "minhash-compared")
-            return links.unionByName(rest.filter(F.col("similarity") >= threshold).select("a", "b", "similarity"))
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,7 +406,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, id_co
     rows = found.groupBy("label", "doc_id", "node").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node", "n")).alias("head")
     heads = stored(rows.groupBy("label").agg(first).select("head.*"), "class-heads")
-    wanted = heads.select(F.col("doc_id").alias("_head_id"), F.col("node").alias("_head_node"))
-    same = F.col(quoted(id_col)).eqNullSafe(F.col("_head_id")) & (F.unhex(node(text)) == F.col("_head_node"))
-    kept = docs.join(wanted, same, "left_semi")
-    return kept if heads.filter("n > 1").isEmpty() else kept.dropDuplicates([id_col, text])
+    wanted = heads.select(F.struct("doc_id", "node").alias("head"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(quoted(id_col)).alias("id"), F.unhex(node(text)).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("head.doc_id")) & (F.col("key") == F.col("head.node"))
+    kept = rows.join(wanted, same, "left_semi")
+    # Rows of one id and text are told apart by nothing: one of them stays.
+    return (kept if heads.filter("n > 1").isEmpty() else kept.dropDuplicates(["id", "key"])).select("row.*")

@@ -214,7 +214,7 @@ def test_samples_agree_as_often_as_weights():
     counts = np.ones(480, np.int64)
     hits = total = 0
     for seed in range(40):
-        out = m.Sampler(sampler.idf, seed).signatures(both, np.repeat([0, 1], 240), counts, 2)
+        out, _ = m.Sampler(sampler.idf, seed).signatures(both, np.repeat([0, 1], 240), counts, 2)
         hits += (out[0] == out[1]).sum()
         total += m.BANDS
     assert abs(hits / total - (180 / 300) ** 4) < 0.05
@@ -278,3 +278,61 @@ def test_chunk_bounds_cover_all_rows():
 
     batch = pa.record_batch([pa.array(["x" * 3_000_000, None, "y", "z" * 5_000_000, "q"])], names=["t"])
     assert [r for c in sh.chunks(batch, 0) for r in c.column(0).to_pylist()] == batch.column(0).to_pylist()
+
+
+def weighted_pairs(texts, idf, least):
+    """Pairs of texts whose weighted Jaccard similarity is ``least`` or more, by the operator's weights."""
+    sampler = m.Sampler(idf)
+    bags = []
+    for t in texts:
+        values, _, counts = sh.distinct_shingles(pa.array([t]), 5)
+        bags.append(dict(zip(values.tolist(), sampler.weights(values, counts).tolist())))
+    out = set()
+    for i, a in enumerate(bags):
+        for j, b in enumerate(bags[:i]):
+            shared = sum(min(w, b[k]) for k, w in a.items() if k in b)
+            if a and b and shared / (sum(a.values()) + sum(b.values()) - shared) >= least:
+                out.add((j, i))
+    return out
+
+
+def alike(rng, n, words, share):
+    """Texts around one, each with a share of the words replaced: most pairs are near the threshold."""
+    core = prose(rng, words).split(" ")
+    return [" ".join(f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in core) for _ in range(n)]
+
+
+def test_classes_by_the_operators_own_weights(spark, monkeypatch):
+    rng = random.Random(21)
+    texts = sorted({*alike(rng, 60, 150, 0.012), *alike(rng, 60, 100, 0.02), *alike(rng, 40, 60, 0.05), *(prose(rng, 80) for _ in range(40))})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    links = weighted_pairs(texts, m.feature_idf(docs), 0.8)
+    assert len(links) > 300
+    # In one step by samples, in tiles of few nodes, and by leaders alone: no link across two classes.
+    for settings in ({}, {"BLOCK_NODES": 7}, {"PAIRS": 0}, {"VERIFIED": 0}):
+        with monkeypatch.context() as one:
+            for name, value in settings.items():
+                one.setattr(m, name, value)
+            got = {r.doc_id: r.class_id for r in m.near_classes(docs).collect()}
+        apart = [p for p in links if got[p[0]] != got[p[1]]]
+        assert len(apart) <= 2, (settings, apart)
+        # And nothing is joined but by links.
+        parent = {i: i for i in got}
+        for i, j in sorted(links):
+            x, y = i, j
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            parent[max(x, y)] = min(x, y)
+        for i in got:
+            x = i
+            while parent[x] != x:
+                x = parent[x]
+            assert got[i] >= x
+
+
+def test_clashing_names_are_kept(spark):
+    rows = [(1, "one two three four five six", 7, 8), (2, "one two three four five six", 7, 8), (None, "seven", 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _head_id int, label int")
+    assert sorted(r.text for r in m.keep_one(docs).select("text", "_head_id", "label").collect()) == ["one two three four five six", "seven"]
