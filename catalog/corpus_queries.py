@@ -241,11 +241,11 @@ ENTRIES = [
     ),
     Entry(
         "flt1_drop_null",
-        lambda spark, d: prepare.drop_null(
+        lambda spark, d: _digest(prepare.drop_null(
             tables.table(spark, d, "documents").join(tables.table(spark, d, "labels"), "doc_id", "left")
             .select("doc_id", "text", F.col("quality").alias("label")), "text", "label",
-        ).select("doc_id", "label"),
-        """SELECT doc_id, quality AS label FROM documents LEFT JOIN labels USING (doc_id)
+        ), "doc_id", "label"),
+        f"""SELECT doc_id, quality AS label, {_TEXT} FROM documents LEFT JOIN labels USING (doc_id)
         WHERE text IS NOT NULL AND quality IS NOT NULL""",
     ),
     Entry(
@@ -282,8 +282,8 @@ ENTRIES = [
     ),
     Entry(
         "flt6_scorable",
-        lambda spark, d: prepare.scorable(tables.documents(spark, d)).select("doc_id"),
-        f"SELECT doc_id FROM documents WHERE length({ts.strip('text')}) >= 10",
+        lambda spark, d: _digest(prepare.scorable(tables.documents(spark, d)), "doc_id"),
+        f"SELECT doc_id, {_TEXT} FROM documents WHERE length({ts.strip('text')}) >= 10",
     ),
     Entry(
         "agg1_class_counts",
@@ -304,33 +304,33 @@ ENTRIES = [
     ),
     Entry(
         "ord1_seeded_shuffle",
-        lambda spark, d: sampling.seeded_shuffle(tables.chat_corpus(spark, d)).select("doc_id", "shuffle_key"),
-        f"SELECT doc_id, {ts.key(_SEED, 'doc_id')} AS shuffle_key FROM ({ts.CHAT})",
+        lambda spark, d: _digest(sampling.seeded_shuffle(tables.chat_corpus(spark, d)), "doc_id", "shuffle_key"),
+        f"SELECT doc_id, {ts.key(_SEED, 'doc_id')} AS shuffle_key, {_TEXT} FROM ({ts.CHAT})",
     ),
     Entry(
         "ord2_balanced_subsample",
-        lambda spark, d: sampling.balanced_subsample(tables.chat_corpus(spark, d), 300).select("doc_id", "label"),
-        f"WITH {_KEYED} SELECT doc_id, label FROM r WHERE total <= 300 OR rn <= 150",
+        lambda spark, d: _digest(sampling.balanced_subsample(tables.chat_corpus(spark, d), 300), "doc_id", "label"),
+        f"WITH {_KEYED} SELECT doc_id, label, {_TEXT} FROM r WHERE total <= 300 OR rn <= 150",
     ),
     Entry(
         "ord3_balance_to_minority",
-        lambda spark, d: sampling.balance_to_minority(tables.chat_corpus(spark, d)).select("doc_id", "label"),
-        f"WITH {_KEYED} SELECT doc_id, label FROM r, least_class WHERE rn <= smallest",
+        lambda spark, d: _digest(sampling.balance_to_minority(tables.chat_corpus(spark, d)), "doc_id", "label"),
+        f"WITH {_KEYED} SELECT doc_id, label, {_TEXT} FROM r, least_class WHERE rn <= smallest",
     ),
     Entry(
         "ord4_stratified_split",
-        lambda spark, d: sampling.stratified_split(tables.chat_corpus(spark, d)).select("doc_id", "label", "is_test"),
-        f"WITH {_SPLIT} SELECT doc_id, label, rn <= test AS is_test FROM r JOIN t USING (label)",
+        lambda spark, d: _digest(sampling.stratified_split(tables.chat_corpus(spark, d)), "doc_id", "label", "is_test"),
+        f"WITH {_SPLIT} SELECT doc_id, label, rn <= test AS is_test, {_TEXT} FROM r JOIN t USING (label)",
     ),
     Entry(
         "ord5_random_split",
-        lambda spark, d: sampling.random_split(tables.documents(spark, d)).select("doc_id", "is_holdout"),
-        f"SELECT doc_id, substr({ts.key(_SEED, 'doc_id')}, 1, 4) < '3333' AS is_holdout FROM documents",
+        lambda spark, d: _digest(sampling.random_split(tables.documents(spark, d)), "doc_id", "is_holdout"),
+        f"SELECT doc_id, {_TEXT}, substr({ts.key(_SEED, 'doc_id')}, 1, 4) < '3333' AS is_holdout FROM documents",
     ),
     Entry(
         "ord6_head_per_class",
-        lambda spark, d: sampling.head_per_class(tables.chat_corpus(spark, d), 200).select("doc_id", "label"),
-        f"WITH {_KEYED} SELECT doc_id, label FROM r, least_class WHERE rn <= least(200, smallest)",
+        lambda spark, d: _digest(sampling.head_per_class(tables.chat_corpus(spark, d), 200), "doc_id", "label"),
+        f"WITH {_KEYED} SELECT doc_id, label, {_TEXT} FROM r, least_class WHERE rn <= least(200, smallest)",
     ),
     Entry(
         "ord8_sample_row_per_class",
@@ -346,13 +346,13 @@ ENTRIES = [
     ),
     Entry(
         "ord9_kfold",
-        lambda spark, d: sampling.kfold(tables.chat_corpus(spark, d)).select("doc_id", "label", "fold"),
-        f"WITH {_KEYED} SELECT doc_id, label, ((rn - 1) % 5)::INT AS fold FROM r",
+        lambda spark, d: _digest(sampling.kfold(tables.chat_corpus(spark, d)), "doc_id", "label", "fold"),
+        f"WITH {_KEYED} SELECT doc_id, label, {_TEXT}, ((rn - 1) % 5)::INT AS fold FROM r",
     ),
     Entry(
         "win2_rank_in_class",
-        lambda spark, d: sampling.rank_in_class(tables.chat_corpus(spark, d)).select("doc_id", "label", "rank"),
-        f"WITH {_KEYED} SELECT doc_id, label, rn AS rank FROM r",
+        lambda spark, d: _digest(sampling.rank_in_class(tables.chat_corpus(spark, d)), "doc_id", "label", "rank"),
+        f"WITH {_KEYED} SELECT doc_id, label, {_TEXT}, rn AS rank FROM r",
     ),
     Entry(
         "set1_merge_corpora",
@@ -372,11 +372,11 @@ ENTRIES = [
     ),
     Entry(
         "set2_merge_large_into_real",
-        lambda spark, d: jobs.merge_large_into_real(
+        lambda spark, d: _digest(jobs.merge_large_into_real(
             tables.doc_corpus(spark, d).select("doc_id", "text", "label"),
             tables.table(spark, d, "documents").select("doc_id", "text", F.lit(1).alias("label")),
-        ).select("source_rank", "doc_id", "shuffle_key"),
-        f"""WITH {_DEDUPED} SELECT source_rank, doc_id, {ts.key(_SEED, 'source_rank', 'doc_id')} AS shuffle_key
+        ), "source_rank", "doc_id", "shuffle_key"),
+        f"""WITH {_DEDUPED} SELECT source_rank, doc_id, {_TEXT}, {ts.key(_SEED, 'source_rank', 'doc_id')} AS shuffle_key
         FROM d WHERE rn = 1""",
     ),
     Entry(

@@ -1,12 +1,16 @@
 import hashlib
+import io
 import math
+import re
 from collections import Counter
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
 from penprint.operators import classes, merge, prepare, sampling
 from penprint.plans import prepare as jobs
+from penprint.session import stored
 
 
 def ordered(corpus, label, seed=42):
@@ -184,3 +188,17 @@ def test_standard_loading(spark):
 def test_load_large_balances(corpus):
     long = corpus.withColumn("text", F.concat("text", F.lit(" with some more words in it")))
     assert Counter(r["label"] for r in jobs.load_large(long).collect()) == {0: 200, 1: 200}
+
+
+def test_ranks_move_no_text(corpus):
+    corpus = stored(corpus)
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        sampling.kfold(corpus).explain("formatted")
+    moved = [part for part in shown.getvalue().split("\n\n") if re.match(r"\(\d+\) (Exchange|Sort|Window)", part.strip())]
+    assert not any("text#" in part for part in moved)
+    ranks = {r["doc_id"]: r["rank"] for r in sampling.class_ranks(corpus).collect()}
+    assert ranks == {r["doc_id"]: r["rank"] for r in sampling.rank_in_class(corpus).collect()}
+    for k in (0, 1):
+        own = sorted(ranks[r["doc_id"]] for r in corpus.where(f"label = {k}").collect())
+        assert own == list(range(1, len(own) + 1))
