@@ -179,5 +179,5 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
-    """The rows that are never learned from: checksum of the id divisible by ``folds``."""
-    return F.crc32(F.col(quoted(id_col)).cast("string")) % folds == 0
+    """The rows that are never learned from: checksum of the id divisible by ``folds``; false for a null id."""
+    return F.coalesce(F.crc32(F.col(quoted(id_col)).cast("string")) % folds == 0, F.lit(False))

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -96,3 +97,8 @@ def test_a_row_has_one_score_in_batches_of_any_size():
         x = q.hashed_features(pa.array(texts[40 - size :]), steps[:size])
         seen.add(q.linear_scores(x, weights)[-1])
     assert len(seen) == 1
+
+
+def test_held_out_is_never_null(spark):
+    rows = spark.createDataFrame([(None,), (0,), (1,)], "doc_id long").select(t.held_out().alias("h")).collect()
+    assert [r.h for r in rows] == [False, *(zlib.crc32(str(i).encode()) % 5 == 0 for i in (0, 1))]

@@ -308,8 +308,8 @@ def test_classes_by_the_operators_own_weights(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     links = weighted_pairs(texts, m.feature_idf(docs), 0.8)
     assert len(links) > 300
-    # In one step by samples, in tiles of few nodes, and by leaders alone: no link across two classes.
-    for settings in ({}, {"BLOCK_NODES": 7}, {"PAIRS": 0}, {"VERIFIED": 0}):
+    # By samples, in tiles of few nodes, and by leaders alone: no link across two classes.
+    for settings in ({"BLOCK_NODES": 7}, {"PAIRS": 0}):
         with monkeypatch.context() as one:
             for name, value in settings.items():
                 one.setattr(m, name, value)
