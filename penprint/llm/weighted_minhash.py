@@ -15,12 +15,11 @@ Equal texts are one node. What rounds read is written once: a node's weight, its
 the nodes that share a bucket with another. A bucket's nodes are first compared with its lightest only (of least total
 weight). Buckets whose nodes are of one component then are done. In the others, the pairs across components are told
 apart by their samples: as each sample agrees with probability equal to the similarity, a pair at 0.8 agrees in fewer than
-34 of 56 with probability 0.0002, and only pairs that agree in as many are verified on the whole texts; for each two
-components the best pair first, then what is left across components. Comparing samples takes place in tiles of two
-blocks of ``BLOCK_NODES`` nodes, so a bucket of any size is many tasks.
+34 of 56 with probability 0.0002, and only pairs that agree in as many are verified on the whole texts, the most agreeing
+first, and no longer once links have joined their components. That takes place in tiles of two blocks of ``BLOCK_NODES``
+nodes with their texts, of which only links leave the task, so a bucket of any size is many tasks and no pair is a row.
 
-That last step is taken once the pairs across components are no more than ``PAIRS`` a node, and those whose samples agree
-no more than ``VERIFIED`` a node. Until then large buckets of texts that are alike, but not linked, are taken apart by their
+That last step is taken once the pairs across components are no more than ``PAIRS`` a node. Until then large buckets of texts that are alike, but not linked, are taken apart by their
 leaders, which loses no link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have
 no shingle that both hold more often than L does, what they share is at most what y shares with L, so x and y fail too.
 Moreover they share a weight of at least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold
@@ -56,11 +55,10 @@ THRESHOLD = 0.8
 SHINGLE = 5
 BANDS = 14
 ROWS = 4
-#: The search ends by samples once the pairs across components are no more than so many a node, repeats counted, and those
-#: that are to be verified no more than so many.
-PAIRS, VERIFIED = 1000, 20
+#: The search ends by samples once the pairs across components are no more than so many a node, repeats counted.
+PAIRS = 200
 #: Nodes on either side of a tile.
-BLOCK_NODES = 1000
+BLOCK_NODES = 250
 #: Nodes whose keys may be broadcast (16 bytes each).
 BROADCAST_NODES = 1_000_000
 _FEATURE_BITS = 18
@@ -279,50 +277,92 @@ def least_agreeing(threshold: float) -> int:
     return int(n * threshold - 3.6 * (n * threshold * (1 - threshold)) ** 0.5)
 
 
-def _agreeing(open_groups: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b, label_a, label_b, agreeing) across components of nodes in groups (grp, n, node, label) whose samples
-    agree in ``least`` places or more, a the lesser node.
+def _links_across(
+    open_groups: DataFrame, nodes: DataFrame, texts: DataFrame, sampler: Sampler, threshold: float, by_band: bool, size: int = SHINGLE
+) -> DataFrame:
+    """Links (a, b, similarity) across components of nodes in groups (grp, n, node, label), as many as join them.
 
-    A group of n nodes is cut into blocks of about ``BLOCK_NODES`` by a hash of the node, and each two blocks are a tile.
+    A group of n nodes is cut into blocks of about ``BLOCK_NODES`` by a hash of the node, and each two blocks are a tile,
+    which one task holds with its texts. Only links leave the task. With ``by_band`` the groups are buckets: a pair that
+    shares several is looked at in the first.
     """
-    members = open_groups.join(nodes.select("node", "samples"), "node")
+    members = open_groups.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node")
     blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
     cut = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     tiled = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     tiled = tiled.select(
         F.xxhash64("grp", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
-        F.expr("case when block = other then 2 when block < other then 0 else 1 end").alias("side"), "node", "label", "samples",
+        F.expr("case when block = other then 2 when block < other then 0 else 1 end").alias("side"), "node", "label", "samples", "bands", "text",
     )
     # Small tiles are gathered, about as many rows to a group of Spark's as a large tile has.
-    n_packs = max(1, tiled.count() // (4 * BLOCK_NODES))
+    rows = open_groups.select(blocks.cast("long").alias("blocks")).agg(F.sum("blocks")).first()[0] or 0
+    n_packs = max(1, rows // (2 * BLOCK_NODES))
     packed = tiled.withColumn("pack", F.pmod(F.xxhash64("tile"), F.lit(n_packs)))
+    least = least_agreeing(threshold)
 
-    def compare(rows: pa.Table) -> pa.Table:
+    def search(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("tile", "ascending"), ("side", "ascending")]).combine_chunks()
-        keys, sides = rows.column("tile").to_numpy(), rows.column("side").to_numpy()
-        samples = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint16).reshape(len(rows), -1)
-        label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        bounds = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1 if len(keys) else 0, append=keys[-1] + 1 if len(keys) else 1))
-        left, right, agree = [], [], []
-        for low, high in zip(bounds, bounds[1:]):
-            first = np.arange(low, high)[sides[low:high] != 1]
-            second = first if sides[low] == 2 else np.arange(low, high)[sides[low:high] == 1]
-            for at in range(0, len(first), 64):
-                some = first[at : at + 64]
-                same = np.zeros((len(some), len(second)), np.uint8)
-                for j in range(samples.shape[1]):
-                    same += samples[some, j][:, None] == samples[second, j]
-                x, y = np.nonzero((same >= least) & (label[some][:, None] != label[second]))
-                left.append(some[x]), right.append(second[y]), agree.append(same[x, y])
-        left, right, agree = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (left, right, agree))
-        node, label_of = rows.column("node"), rows.column("label")
-        return pa.table({
-            "a": node.take(left), "b": node.take(right), "label_a": label_of.take(left), "label_b": label_of.take(right),
-            "agreeing": pa.array(agree.astype(np.int32)),
-        })
-
-    found = packed.groupBy("pack").applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary, agreeing int")
-    return found.filter("a < b").union(found.filter("a > b").select("b", "a", "label_b", "label_a", "agreeing")).distinct()
+        keys = rows.column("tile").to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        found = [_tile_links(rows.slice(low, high - low), sampler, threshold, least, by_band, size) for low, high in zip(cuts, cuts[1:])]
+        return pa.concat_tables(found)
+
+    return packed.groupBy("pack").applyInArrow(search, "a binary, b binary, similarity double")
+
+
+def _tile_links(rows: pa.Table, sampler: Sampler, threshold: float, least: int, by_band: bool, size: int) -> pa.Table:
+    """Links across components between a tile's two blocks: pairs whose samples agree often, the most agreeing first,
+    verified on the whole texts unless links have joined their components by then."""
+    sides = rows.column("side").to_numpy()
+    samples = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint16).reshape(len(rows), -1)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+    label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    shared = np.flatnonzero((bands == bands[0]).all(0))
+    earlier = int(shared[0]) if by_band and len(shared) else 0
+    first = np.flatnonzero(sides != 1)
+    second = first if sides[0] == 2 else np.flatnonzero(sides == 1)
+    left, right, agree = [], [], []
+    for at in range(0, len(first), 64):
+        some = first[at : at + 64]
+        same = np.zeros((len(some), len(second)), np.uint8)
+        for j in range(samples.shape[1]):
+            same += samples[some, j][:, None] == samples[second, j]
+        good = (same >= least) & (label[some][:, None] != label[second])
+        if second is first:
+            good &= some[:, None] < second
+        for j in range(earlier):  # pairs that meet in an earlier bucket
+            good &= bands[some, j][:, None] != bands[second, j]
+        x, y = np.nonzero(good)
+        left.append(some[x]), right.append(second[y]), agree.append(same[x, y])
+    left, right, agree = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (left, right, agree))
+    used = np.unique(np.concatenate((left, right)))
+    values, of, counts = distinct_shingles(rows.column("text").combine_chunks().take(pa.array(used, pa.int64())), size)
+    weights = sampler.weights(values, counts)
+    bounds = np.searchsorted(of, np.arange(len(used) + 1))
+    place = {int(u): (bounds[i], bounds[i + 1]) for i, u in enumerate(used)}
+    parent = list(range(int(label.max()) + 1))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    links: list[tuple[int, int, float]] = []
+    for i in np.argsort(-agree.astype(int), kind="stable"):
+        x, y = int(left[i]), int(right[i])
+        one, other = root(int(label[x])), root(int(label[y]))
+        if one != other:
+            (p, q), (u, v) = place[x], place[y]
+            _, in_x, in_y = np.intersect1d(values[p:q], values[u:v], assume_unique=True, return_indices=True)
+            common = np.minimum(weights[p:q][in_x], weights[u:v][in_y]).sum()
+            similarity = common / (weights[p:q].sum() + weights[u:v].sum() - common)
+            if similarity >= threshold:
+                parent[max(one, other)] = min(one, other)
+                links.append((x, y, float(similarity)))
+    node = rows.column("node").combine_chunks()
+    a, b, similar = ([k[i] for k in links] for i in range(3))
+    return pa.table({"a": node.take(pa.array(a, pa.int64())), "b": node.take(pa.array(b, pa.int64())), "similarity": pa.array(similar, pa.float64())})
 
 
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, text: str = "text") -> DataFrame:
@@ -334,6 +374,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
     weights = nodes.select("node", "weight")
     n_nodes = nodes.count()
     compared = links = labels = None
+    first = True
 
     def verified(pairs: DataFrame, listed: bool = False) -> DataFrame:
         return stored(similarities(pairs.withColumn("listed", F.lit(listed)), texts, sampler, threshold), "minhash-compared")
@@ -362,16 +403,9 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, seed: int = 0, tex
             return links
         still = named.join(sizes.select("grp", "n"), "grp")
         if left <= PAIRS * n_nodes:
-            pairs = stored(_agreeing(still, nodes, least_agreeing(threshold)).join(compared, ["a", "b"], "left_anti"), "minhash-agreeing")
-            if pairs.count() <= VERIFIED * n_nodes:
-                best = pairs.groupBy(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y"))
-                best = best.agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
-                linked(verified(best))
-                names = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-                others = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-                rest = pairs.select("a", "b").join(compared, ["a", "b"], "left_anti").join(names, "a", "left").join(others, "b", "left")
-                linked(verified(rest.filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")))
-                return links
+            found = stored(_links_across(still, nodes, texts, sampler, threshold, first), "minhash-across")
+            return links.unionByName(found)
+        first = False
 
         # Leaders of the groups that are left list what their members hold above them; members meet by that.
         apart = led.join(sizes.select("grp"), "grp", "left_semi").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
