@@ -19,8 +19,8 @@ apart by their samples: as each sample agrees with probability equal to the simi
 first, and no longer once links have joined their components. That takes place in tiles of two blocks of ``BLOCK_NODES``
 nodes with their texts, of which only links leave the task, so a bucket of any size is many tasks and no pair is a row.
 
-That last step is taken once the pairs across components are no more than ``PAIRS`` a node. Until then large buckets of texts that are alike, but not linked, are taken apart by their
-leaders, which loses no link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have
+That last step is taken once the pairs across components are no more than ``PAIRS`` a node. Until then large buckets of
+texts that are alike, but not linked, are taken apart by their leaders, which loses no link, by this bound: let node y fail against leader L, and x be no lighter than L. If x and y have
 no shingle that both hold more often than L does, what they share is at most what y shares with L, so x and y fail too.
 Moreover they share a weight of at least need(y) = t / (1 + t) (w(L) + w(y)) - w(y and L) above the leader, for threshold
 t. So linked nodes that the leader leaves apart meet in a group (leader, shingle) if each lists its shingles above the
