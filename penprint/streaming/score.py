@@ -29,7 +29,7 @@ def score_stream(
 def read_text_stream(
     spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_batch: int = 1000
 ) -> DataFrame:
-    """Parquet files of ``doc_id, text`` as they arrive in a folder."""
+    """Parquet files of ``doc_id, text`` as they arrive in a folder, or in the folders and files that a path pattern matches."""
     return (
         spark.readStream.schema("doc_id bigint, text string")
         .option("pathGlobFilter", pattern)

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from catalog import model_queries
 from penprint.plans.score import PREDICTION, score_texts
 from penprint.streaming import score as stream
 from penprint.streaming import summary
@@ -65,3 +67,18 @@ def test_a_batch_that_is_run_again_counts_once(spark, tmp_path):
         summary.start_totals(stream, "at", "1 hour", f"{tmp_path}/out", f"{tmp_path}/state{attempt}", once=True).awaitTermination()
         writes.append(sorted((r.n, r.n_ai, r.mean_ai) for r in summary.read_totals(spark, f"{tmp_path}/out").collect()))
     assert writes[0] == writes[1] == [(1, 1, 0.25), (1, 1, 0.25)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_stream_queries_read_a_table_in_one_file_or_many(spark, tmp_path, corpus, parts):
+    docs = corpus.select("doc_id", "text").coalesce(parts)
+    if parts == 1:
+        docs.write.parquet(f"{tmp_path}/written")
+        next((tmp_path / "written").glob("part-*.parquet")).rename(tmp_path / "documents.parquet")
+    else:
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = score_texts(docs).select("doc_id", *PREDICTION)
+    got = model_queries._streamed(spark, str(tmp_path))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    distinct = score_texts(docs.dropDuplicates(["text"])).agg(F.count("*"), F.count_if("is_ai")).first()
+    assert tuple(model_queries._stream_totals(spark, str(tmp_path)).first())[:2] == tuple(distinct)
