@@ -16,6 +16,8 @@ BROADCAST_TERMS = 500_000
 BROADCAST_BYTES = 64 * 2**20
 # The Bloom filter before the shuffled join: 16 MB in pages of 32,768 bits.
 _FILTER_BITS, _PAGE = 1 << 27, 1 << 15
+# Text that one task takes apart into counted tokens: what it holds doesn't grow with the corpus.
+_TASK_BYTES = 8 * 2**20
 # A term in more than this share of the (text, term) rows is hot; so there are fewer than 10,000.
 _HOT_SHARE = 1e-4
 
@@ -43,18 +45,28 @@ def lexicon_hits_join(
     by term, see ``_shuffled_hits``. Texts without a hit stay, with zero.
     """
     terms = stored(lexicon.select("term").where(F.col("term").isNotNull()).distinct(), "terms")
-    tokens = df.select(id_col, F.explode_outer(tk.words(F.col(text))).alias("term"))
     size = terms.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")
     ).first()
     if size["n"] > broadcast_terms or size["bytes"] > BROADCAST_BYTES:
-        return _shuffled_hits(tokens, terms, id_col)
-    matched = tokens.join(F.broadcast(terms.withColumn("_hit", F.lit(1))), "term", "left")
+        return _shuffled_hits(_tokens(_dealt(df, id_col, text), id_col, text), terms, id_col)
+    matched = _tokens(df, id_col, text).join(F.broadcast(terms.withColumn("_hit", F.lit(1))), "term", "left")
     return matched.groupBy(id_col).agg(
         F.count("term").alias("n_tokens"), F.count("_hit").alias("hits")
     )
 
 
+def _tokens(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    return df.select(id_col, F.explode_outer(tk.words(F.col(text))).alias("term"))
+
+
+def _dealt(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Ids and texts, dealt by id to tasks of about ``_TASK_BYTES``: tokens are counted by text where the texts are, and
+    texts move instead of counts."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return df.select(id_col, text).repartition(size // _TASK_BYTES + 1, id_col)
+
+
 def _slot(term: str) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(_FILTER_BITS))
 
@@ -120,7 +132,7 @@ def adjacent_pairs(
 
 def token_counts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """How often each token occurs in each text."""
-    tokens = df.select(id_col, F.explode(tk.words(F.col(text))).alias("token"))
+    tokens = _dealt(df, id_col, text).select(id_col, F.explode(tk.words(F.col(text))).alias("token"))
     return tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -89,3 +89,21 @@ def test_united_sketches(spark, corpus):
     for r in united:
         exact = lexicon.vocabulary(texts.where(F.col("label") == r["label"])).first()
         assert r["n_tokens"] == exact["n_tokens"] and abs(r["n_distinct"] / exact["n_distinct"] - 1) < 0.02
+
+
+def test_token_counts_are_made_in_tasks_of_few_texts(spark, monkeypatch):
+    rows = [(i % 40, f"the word{i % 7} and the end") for i in range(200)] + [(None, "the null id"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = {}
+    for i, text in rows:
+        for t in (text or "").split():
+            want[i, t] = want.get((i, t), 0) + 1
+    monkeypatch.setattr(lexicon, "_TASK_BYTES", 100)
+    counts = lexicon.token_counts(df)
+    assert counts.rdd.getNumPartitions() > 40  # the texts' bytes decide, not one input task or the session's setting
+    assert {(r["doc_id"], r["token"]): r["n"] for r in counts.collect()} == want
+    terms = spark.createDataFrame([("the",), ("word3",)], "term string")
+    hits = {r["doc_id"]: (r["n_tokens"], r["hits"]) for r in lexicon.lexicon_hits_join(df, terms, broadcast_terms=0).collect()}
+    for i in {r[0] for r in rows}:
+        own = {t: n for (d, t), n in want.items() if d == i}
+        assert hits[i] == (sum(own.values()), own.get("the", 0) + own.get("word3", 0))
