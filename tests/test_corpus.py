@@ -202,3 +202,22 @@ def test_ranks_move_no_text(corpus):
     for k in (0, 1):
         own = sorted(ranks[r["doc_id"]] for r in corpus.where(f"label = {k}").collect())
         assert own == list(range(1, len(own) + 1))
+
+
+def test_csv_job_reads_labelled_documents_and_kept_rows_from_files(spark, tmp_path):
+    """Neither the join with the labels nor the deduplication is planned again by what follows them."""
+    from catalog import corpus_queries
+
+    docs = [(i, f" text number {i % 30} ", "en", "s") for i in range(60)] + [(60, None, "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(61)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    turns = [(i, t, "user" if t else "assistant", f"turn {i % 5} {t}") for i in range(20) for t in (0, 1)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = corpus_queries._csv_merged(spark, str(tmp_path))
+    assert not any(f"/{name}.parquet" in f for f in got.inputFiles() for name in ("documents", "labels", "conversations"))
+    assert any("/kept-" in f for f in got.inputFiles())
+    rows = got.collect()
+    labelled = {(f"text number {i % 30}", i % 2) for i in range(60)}
+    want = labelled | {(f"turn {i % 5} {t}", t) for i in range(20) for t in (0, 1)} | {(f"text number {i}", 1) for i in range(30)}
+    assert len(rows) == len(want)
+    assert {r["dropped"] for r in rows} == {60 * 2 + 40 + 60 + 60 - len(want)}
