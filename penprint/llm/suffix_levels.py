@@ -13,15 +13,20 @@ around it (a match that begins or ends inside them) their windows are listed one
 each run only, and meet by digest; one more pass per text settles them.
 
 Arrays are cut into buckets by the anchor's first bytes and hashed bits; a bucket's slices of a batch and of all levels
-are scanned in one task, in numpy. A task that cuts up texts sends each distinct run once with its least document, so
-equal runs of a passage that a third of all documents share cost a bucket one entry for each part of about ``PART_BYTES``
-of text. Runs that differ around one such anchor are all entries of one bucket, one or two for each document that has
+are scanned in one task, in numpy. A part (about ``PART_BYTES`` of text) sends each distinct run once with its least
+document, so equal runs of a passage that a third of all documents share cost a bucket one entry for each part.
+Runs that differ around one such anchor are all entries of one bucket, one or two for each document that has
 it. Windows, about 15 for each of these, go to buckets by all their bits, so they are spread.
 Texts are kept as parts in the shared folder, and answers go to parts; no text is shuffled.
 
+What only one part has needs no entry, as a part settles itself what its own documents share. So where all batches are
+known (``add_all``), parts first send ``SHORT`` bits of each distinct anchor, sorted and stored as differences, about
+three bytes each, and learn by one bit each which of them some other part has too; only runs at those anchors become entries. Windows
+are dealt with in the same way. Anchors that share these bits by chance cost an entry and change no result.
+
 Beyond the first 8 bytes of the anchor, entries are ordered and matched by hashes, not by bytes: 16 bits of the anchor
 and 104 bits of all bytes of the run, or of the window and its distance from the anchor, from two polynomials of
-different bases. Inside a part, runs and windows are looked up by 64 bits made of all of these.
+different bases. Inside a part, and in answers to it, runs and windows are looked up by 64 bits made of all of these.
 
 Defined results: a null text is empty; a document with a null id loses nothing and takes nothing from others; equal ids
 are not smaller than each other; texts under 50 bytes lose nothing; an empty table gives an empty result. Only id and
@@ -40,7 +45,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from penprint.llm import files
@@ -54,14 +59,16 @@ BATCHES = 4
 PART_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
+SHORT = 40
 _BASE = 0x9E3779B97F4A7C15
 _BASE_2 = 0xD1342543DE82EF95
 _NO_DOC = np.int64(2**63 - 1)
 
 _ROWS = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("part", pa.int64()), ("path", pa.string()), ("blob", pa.binary())])
 _DDL = "kind int, bucket long, part long, path string, blob binary"
-#: Kinds of rows: a part's own place; its entries; answers to it; a level's entries.
-PART, ENTRIES, ANSWER, LEVEL, REQUEST, WINDOWS, WINDOW_ANSWER = range(7)
+#: Kinds of rows: a part's own place; its entries; answers to it; a level's entries; short keys, which are shared, and the
+#: runs that differ around an anchor of one part alone.
+PART, ENTRIES, ANSWER, LEVEL, REQUEST, WINDOWS, WINDOW_ANSWER, KEYS, SHARED, LOCAL = range(10)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -171,6 +178,13 @@ def _grouped(head: np.ndarray, tail: np.ndarray, more: np.ndarray, doc: np.ndarr
     return order, np.flatnonzero(new)
 
 
+def _ordered(head: np.ndarray, tail: np.ndarray, more: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct (head, tail, more) in order, and the least document of each."""
+    order, first = _grouped(head, tail, more, doc)
+    at = order[first]
+    return head[at], tail[at], more[at], doc[at]
+
+
 class Part:
     """A part's texts, cut into runs chunk by chunk."""
 
@@ -187,14 +201,15 @@ class Part:
             data = np.frombuffer(b"".join(self.texts.slice(a, b - a).to_pylist()), np.uint8)
             yield a, data, find_runs(data, self.sizes[a:b])
 
-    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The part's distinct runs in order: head, tail, more and least document."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The part's runs as they follow: head, tail, more and document."""
         found = [(r.head, r.tail, r.more, self.docs[a + r.row]) for a, _, r in self.chunks()]
         head, tail, more, doc = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.uint64),) * 4
-        doc = doc.astype(np.int64)
-        order, first = _grouped(head, tail, more, doc)
-        at = order[first]
-        return head[at], tail[at], more[at], doc[at]
+        return head, tail, more, doc.astype(np.int64)
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The part's distinct runs in order: head, tail, more and least document."""
+        return _ordered(*self.runs())
 
 
 def _write_part(folder: str, number: int, doc_ids: pa.Array, texts: pa.Array) -> str:
@@ -233,8 +248,54 @@ def _batch_of(rows: list[dict[str, object]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=_ROWS)
 
 
-def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataFrame:
-    """Write a batch of (doc_id, text) as parts; rows of their places and of their entries by bucket."""
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order (one sort of numbers, which numpy does faster than ``unique``)."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _short(ids: np.ndarray) -> np.ndarray:
+    """The distinct short keys of some hashes, in order."""
+    return _distinct(mixed(ids) >> np.uint64(64 - SHORT))
+
+
+def _ranges(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where each of n ranges of keys begins among sorted short keys, and their end."""
+    return np.searchsorted((keys * np.uint64(n)) >> np.uint64(SHORT), np.arange(n + 1, dtype=np.uint64))
+
+
+def _key_rows(part: int, path: str, keys: np.ndarray, n: int) -> list[dict[str, object]]:
+    bounds = _ranges(keys, n).tolist()
+    return [_row(KEYS, b, part, path, pack(keys[i:j])) for b, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Of one range of short keys: for each part, a bit for each of its keys, set if another part has it."""
+    rows = table.to_pylist()
+    out = [r for r in rows if r["kind"] == PART]
+    parts = [r for r in rows if r["kind"] == KEYS]
+    own = [unpack(r["blob"])[0] for r in parts]
+    if own:
+        keys = np.sort(np.concatenate(own))
+        twice = _distinct(keys[1:][keys[1:] == keys[:-1]])
+        out += [_row(SHARED, r["bucket"], r["part"], r["path"], np.packbits(_inside(x, twice)).tobytes()) for r, x in zip(parts, own, strict=True)]
+    return pa.Table.from_pylist(out, schema=_ROWS)
+
+
+def _has_shared(ids: np.ndarray, rows: list[dict], n: int) -> np.ndarray:
+    """Which hashes have a short key that another part has, by the bits among a part's rows."""
+    keys = _short(ids)
+    bounds, bits = _ranges(keys, n), np.zeros(len(keys), bool)
+    for r in rows:
+        if r["kind"] == SHARED:
+            i, j = bounds[r["bucket"]], bounds[r["bucket"] + 1]
+            bits[i:j] = np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=j - i)
+    return _inside(mixed(ids) >> np.uint64(64 - SHORT), keys[bits])
+
+
+def cut_parts(docs: DataFrame, batch: int, n_buckets: int, n_keys: int, folder: str) -> DataFrame:
+    """Write a batch of (doc_id, text) as parts; rows of their places and of the short keys of their anchors in ``n_keys``
+    ranges, or none of these for 0."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = (batch << 48) | (TaskContext.get().partitionId() << 16)
@@ -243,9 +304,10 @@ def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataF
         def done() -> pa.RecordBatch:
             doc_ids, values = pa.chunked_array(ids).combine_chunks(), pa.chunked_array(texts).combine_chunks()
             path = _write_part(folder, number, doc_ids, values)
-            head, tail, more, doc = Part(doc_ids.to_numpy(), values).entries()
             rows = [_row(PART, number % n_buckets, number, path, None)]
-            rows += [_row(ENTRIES, b, number, path, pack(head[i], tail[i], more[i], doc[i])) for b, i in _buckets(_anchors(head, tail), n_buckets)]
+            if n_keys:
+                anchors = [_anchors(r.head, r.tail) for _, _, r in Part(doc_ids.to_numpy(), values).chunks()]
+                rows += _key_rows(number, path, _short(np.concatenate(anchors)), n_keys)
             return _batch_of(rows)
 
         for received in batches:
@@ -268,6 +330,29 @@ def cut_parts(docs: DataFrame, batch: int, n_buckets: int, folder: str) -> DataF
     return docs.mapInArrow(cut, _DDL)
 
 
+def _send_entries(n_buckets: int, n_keys: int):
+    """A part's entries by bucket: of all its runs, or, with ``n_keys`` ranges, of those at anchors that other parts have;
+    of the others, those that differ around an anchor are noted for the part itself."""
+
+    def send(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        place = next(r for r in rows if r["kind"] == PART)
+        out = [_row(PART, place["part"] % n_buckets, place["part"], place["path"], None)]
+        columns = _read_part(place["path"]).runs()
+        if n_keys:
+            anchors = _anchors(*columns[:2])
+            kept = _has_shared(anchors, rows, n_keys)
+            local = _differing_here(anchors[~kept], _ids(*[c[~kept] for c in columns[:3]]))
+            if len(local):
+                out.append(_row(LOCAL, out[0]["bucket"], place["part"], None, pack(local)))
+            columns = [c[kept] for c in columns]
+        columns = _ordered(*columns)
+        out += [_row(ENTRIES, b, place["part"], place["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(_anchors(*columns[:2]), n_buckets)]
+        return pa.Table.from_pylist(out, schema=_ROWS)
+
+    return send
+
+
 def _write_level(folder: str, bucket: int, *arrays: np.ndarray) -> str:
     path = f"{folder}/{files.unique_name('bucket', bucket, '.level')}"
     with files.create(path) as out:
@@ -288,7 +373,7 @@ def _scan(n_new: int, merge: tuple[int, ...], folder: str):
 
     def scan(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        out = [r for r in rows if r["kind"] == PART]
+        out = [r for r in rows if r["kind"] in (PART, LOCAL)]
         parts = [r for r in rows if r["kind"] == ENTRIES]
         own = [unpack(r["blob"]) for r in parts]
         levels = {r["part"]: _read_level(r["path"]) for r in rows if r["kind"] == LEVEL}
@@ -313,7 +398,7 @@ def _scan(n_new: int, merge: tuple[int, ...], folder: str):
                 at += len(x[0])
                 told = np.flatnonzero(mine < x[3].view(np.int64))
                 if len(told):
-                    out.append(_row(ANSWER, bucket, r["part"], r["path"], pack(*[c[told] for c in x[:3]], mine[told])))
+                    out.append(_row(ANSWER, bucket, r["part"], r["path"], pack(np.sort(_ids(*[c[told] for c in x[:3]])))))
             # The new level: of each distinct run the least document, in every part that has it.
             keep = docs == docs[first][group]
             out.append(_row(LEVEL, bucket, n_new, _write_level(f"{folder}/{n_new}", bucket, *[c[order][keep] for c in batch]), None))
@@ -367,7 +452,7 @@ def _differing(table: pa.Table) -> pa.Table:
     order = np.argsort(part, kind="stable")
     which, start = np.unique(part[order], return_index=True)
     out = [
-        _row(REQUEST, rows[0]["bucket"], int(p), None, pack(head[i], tail[i], more[i]))
+        _row(REQUEST, rows[0]["bucket"], int(p), None, pack(np.sort(_ids(head[i], tail[i], more[i]))))
         for p, i in zip(which.tolist(), np.split(order, start[1:]))
         if len(i)
     ]
@@ -378,9 +463,10 @@ def _ids(head: np.ndarray, tail: np.ndarray, more: np.ndarray) -> np.ndarray:
     return mixed(mixed(head * np.uint64(_BASE) + tail) + more)
 
 
-def _requested(rows: list[dict], kind: int = REQUEST) -> np.ndarray:
-    asked = [_ids(*unpack(r["blob"])) for r in rows if r["kind"] == kind]
-    return np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.uint64)
+def _named(rows: list[dict], kind: int) -> np.ndarray:
+    """The ids, in order, that rows of a kind name, as such or by head, tail and more."""
+    named = [unpack(r["blob"]) for r in rows if r["kind"] == kind]
+    return _distinct(np.concatenate([x[0] if len(x) == 1 else _ids(*x) for x in named])) if named else np.zeros(0, np.uint64)
 
 
 def _inside(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -390,32 +476,37 @@ def _inside(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the least document of each."""
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], docs[first]
-
-
 def _requested_windows(part: Part, asked: np.ndarray) -> list[np.ndarray]:
-    """The distinct windows of the runs that are asked for, in order: head, tail, more and least document."""
+    """The windows of the runs that are asked for: head, tail, more and document."""
     found = []
     for a, _, runs in part.chunks():
         _, run, *key = runs.windows(np.flatnonzero(_inside(_ids(runs.head, runs.tail, runs.more), asked)))
         found.append((*key, part.docs[a + runs.row[run]]))
-    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-    order, first = _grouped(*columns)
-    return [c[order[first]] for c in columns]
+    return [np.concatenate(c) for c in zip(*found, strict=True)]
 
 
-def _list_windows(n_buckets: int):
+def _window_keys(n_keys: int):
+    def window_keys(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        columns = _requested_windows(_read_part(rows[0]["path"]), _named(rows, REQUEST))
+        return pa.Table.from_pylist(_key_rows(rows[0]["part"], rows[0]["path"], _short(_ids(*columns[:3])), n_keys), schema=_ROWS)
+
+    return window_keys
+
+
+def _list_windows(n_buckets: int, n_keys: int = 0):
+    """A part's distinct windows by bucket: all of the runs that are asked for, or, with ``n_keys`` ranges, those that other
+    parts have."""
+
     def list_windows(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        columns = _requested_windows(_read_part(rows[0]["path"]), _requested(rows))
-        out = [
-            _row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(_ids(*columns[:3]), n_buckets)
-        ]
+        columns = _requested_windows(_read_part(rows[0]["path"]), _named(rows, REQUEST))
+        if n_keys:
+            kept = _has_shared(_ids(*columns[:3]), rows, n_keys)
+            columns = [c[kept] for c in columns]
+        columns = _ordered(*columns)
+        ids = _ids(*columns[:3])
+        out = [_row(WINDOWS, b, rows[0]["part"], rows[0]["path"], pack(*[c[i] for c in columns])) for b, i in _buckets(ids, n_buckets)]
         return pa.Table.from_pylist(out, schema=_ROWS)
 
     return list_windows
@@ -435,7 +526,7 @@ def _meet_windows(table: pa.Table) -> pa.Table:
         at += len(h)
         told = found < d.view(np.int64)
         if told.any():
-            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(h[told], t[told], m[told], found[told])))
+            out.append(_row(WINDOW_ANSWER, r["bucket"], r["part"], r["path"], pack(np.sort(_ids(h[told], t[told], m[told])))))
     return pa.Table.from_pylist(out, schema=_ROWS)
 
 
@@ -443,40 +534,45 @@ _SPANS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed",
 _SPANS_DDL = "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept_sha256 string, kept binary"
 
 
-def _answers(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
-    got = [unpack(r["blob"]) for r in rows if r["kind"] == kind]
-    if not got:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return _least(np.concatenate([_ids(*x[:3]) for x in got]), np.concatenate([x[-1] for x in got]).view(np.int64))
+def _repeated(ids: np.ndarray, docs: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """What a smaller document has: one of another part, which told so of all that this part has, or one of this part."""
+    if not len(ids):
+        return np.zeros(0, bool)
+    order = np.argsort(ids)
+    ids, docs = ids[order], docs[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    sizes = np.diff(first, append=len(ids))
+    found = np.empty(len(ids), bool)
+    found[order] = np.repeat(_inside(ids[first], told), sizes) | (np.repeat(np.minimum.reduceat(docs, first), sizes) < docs)
+    return found
 
 
-def _known(keys: np.ndarray, answers: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The least document of each key, from answers and from the part itself."""
-    least = np.full(len(keys), _NO_DOC)
-    for known, docs in (answers, own):
-        has = _inside(keys, known)
-        least[has] = np.minimum(least[has], docs[np.searchsorted(known, keys[has])])
-    return least
+def _differing_here(anchors: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The ids, in order, of a part's runs that share their anchor with another of its runs."""
+    order = np.argsort(anchors)
+    anchors, ids = anchors[order], ids[order]
+    number = np.cumsum(np.append(False, anchors[1:] != anchors[:-1])) if len(ids) else np.zeros(0, np.int64)
+    differ = np.bincount(number[1:][(anchors[1:] == anchors[:-1]) & (ids[1:] != ids[:-1])], minlength=len(ids) + 1) > 0
+    return _distinct(ids[differ[number]])
 
 
 def _remove(texts: bool):
     def remove(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         part = _read_part(next(r["path"] for r in rows if r["kind"] == PART))
-        asked = _requested(rows)
+        asked = np.union1d(_named(rows, REQUEST), _named(rows, LOCAL))
         cut = []
         for a, _, runs in part.chunks():
             ids = _ids(runs.head, runs.tail, runs.more)
             starts, run, *key = runs.windows(np.flatnonzero(_inside(ids, asked)))
-            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, run, _ids(*key)))
-        runs_own = _least(*[np.concatenate([c[i] for c in cut]) for i in (2, 3)])
-        windows_own = _least(np.concatenate([c[6] for c in cut]), np.concatenate([c[3][c[5]] for c in cut]))
-        runs_told, windows_told = _answers(rows, ANSWER), _answers(rows, WINDOW_ANSWER)
+            cut.append((runs.first, runs.last, ids, part.docs[a + runs.row], starts, _ids(*key), part.docs[a + runs.row[run]]))
+        sizes = [(len(c[2]), len(c[5])) for c in cut]
+        ends = np.cumsum(sizes, axis=0)[:-1]
+        wholes = np.split(_repeated(*[np.concatenate([c[i] for c in cut]) for i in (2, 3)], _named(rows, ANSWER)), ends[:, 0])
+        hits = np.split(_repeated(*[np.concatenate([c[i] for c in cut]) for i in (5, 6)], _named(rows, WINDOW_ANSWER)), ends[:, 1])
         out = []
-        for (a, b), (first, last, ids, docs, starts, run, windows) in zip(zip(part.bounds, part.bounds[1:]), cut, strict=True):
+        for (a, b), (first, last, _, _, starts, _, _), whole, hit in zip(zip(part.bounds, part.bounds[1:]), cut, wholes, hits, strict=True):
             data = np.frombuffer(b"".join(part.texts.slice(a, b - a).to_pylist()), np.uint8)
-            whole = _known(ids, runs_told, runs_own) < docs
-            hit = _known(windows, windows_told, windows_own) < docs[run]
             change = np.bincount(np.concatenate((first[whole], starts[hit])), minlength=len(data) + 1)
             change -= np.bincount(np.concatenate((last[whole], starts[hit])) + LENGTH, minlength=len(data) + 1)
             covered = np.cumsum(change[:-1]) > 0
@@ -485,7 +581,7 @@ def _remove(texts: bool):
                 size = int(part.sizes[i])
                 own, bytes_ = covered[at : at + size], data[at : at + size]
                 at += size
-                edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)).tolist()
+                edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)).tolist() if own.any() else []
                 left = bytes_[~own].tobytes() if edges else bytes_.tobytes()
                 out.append({
                     "doc_id": int(part.docs[i]), "n_bytes": size,
@@ -501,7 +597,7 @@ class SuffixLevels:
     """An index that batches are added to; ``remove`` answers for all of them."""
 
     def __init__(self, spark: SparkSession, n_buckets: int) -> None:
-        self.spark, self.n_buckets = spark, n_buckets
+        self.spark, self.n_buckets, self.n_keys = spark, n_buckets, n_buckets // 4 + 1
         self.folder = scratch_path(spark, "suffix-parts")
         #: Of each level, the largest first: its size in batches, the folder of its files and the table that lists them.
         self.levels: list[tuple[int, str, DataFrame]] = []
@@ -512,9 +608,23 @@ class SuffixLevels:
 
     def add(self, docs: DataFrame) -> None:
         """Add (doc_id, text) with larger ids than all before: scan against the levels, merging equal ones on the way."""
+        self._add_parts(stored(cut_parts(docs, len(self.scans), self.n_buckets, 0, self.folder), "suffix-parts"), 0)
+
+    def add_all(self, batches: list[DataFrame]) -> None:
+        """Add the only batches that there will be, which spares what no two parts have from becoming an entry."""
+        cut = reduce(DataFrame.unionByName, [cut_parts(docs, i, self.n_buckets, self.n_keys, self.folder) for i, docs in enumerate(batches)])
+        parts = stored(cut.groupBy("bucket").applyInArrow(_shared, _DDL), "suffix-parts")
+        for i in range(len(batches)):
+            self._add_parts(parts.filter(F.shiftright("part", 48) == i), self.n_keys)
+
+    def _by_part(self, rows: DataFrame) -> GroupedData:
+        """Small rows, each the work on a part: adaptive execution would put all into a few tasks."""
+        return rows.repartition(self.n_buckets, "part").groupBy("part")
+
+    def _add_parts(self, parts: DataFrame, n_keys: int) -> None:
         sizes = [size for size, _, _ in self.levels]
         equal = next(((i, i + 1) for i in range(len(sizes) - 1) if sizes[i] == sizes[i + 1]), ())
-        rows = cut_parts(docs, len(self.scans), self.n_buckets, self.folder)
+        rows = self._by_part(parts).applyInArrow(_send_entries(self.n_buckets, n_keys), _DDL)
         for level in self._level_rows():
             rows = rows.unionByName(level)
         folder = scratch_path(self.spark, "suffix-levels")
@@ -536,16 +646,24 @@ class SuffixLevels:
     def _answers(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.scans)
 
-    def remove(self, texts: bool = True) -> DataFrame:
-        """Per document: doc_id, n_bytes, removed (spans of bytes), kept_sha256 and kept (null without ``texts``)."""
+    def remove(self, texts: bool = True, last: bool = False) -> DataFrame:
+        """Per document: doc_id, n_bytes, removed (spans of bytes), kept_sha256 and kept (null without ``texts``).
+
+        ``last`` deletes the levels once they are read: nothing can be added or asked any more.
+        """
         everything = reduce(DataFrame.unionByName, self._level_rows())
         requests = stored(everything.groupBy("bucket").applyInArrow(_differing, _DDL), "suffix-requests")
+        if last:
+            for _, folder, _ in self.levels:
+                remove_path(self.spark, folder)
         known = self._answers()
         places = known.filter(F.col("kind") == PART).select("part", "path")
         located = requests.drop("path").join(places, "part").select("kind", "bucket", "part", "path", "blob")
-        listed = located.groupBy("part").applyInArrow(_list_windows(self.n_buckets), _DDL)
+        keys = self._by_part(located).applyInArrow(_window_keys(self.n_keys), _DDL)
+        shared = stored(keys.groupBy("bucket").applyInArrow(_shared, _DDL), "suffix-window-keys")
+        listed = self._by_part(located.unionByName(shared)).applyInArrow(_list_windows(self.n_buckets, self.n_keys), _DDL)
         met = stored(listed.groupBy("bucket").applyInArrow(_meet_windows, _DDL), "suffix-windows")
-        return known.unionByName(requests).unionByName(met).groupBy("part").applyInArrow(_remove(texts), _SPANS_DDL)
+        return self._by_part(known.unionByName(requests).unionByName(met)).applyInArrow(_remove(texts), _SPANS_DDL)
 
 
 def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text: str = "text", texts: bool = True) -> DataFrame:
@@ -565,11 +683,13 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_i
         return unnamed
     index = SuffixLevels(docs.sparkSession, int(facts["size"] or 0) // BUCKET_BYTES + 1)
     cuts = sorted(set(facts["cuts"] or ()))
+    batches = []
     for low, high in zip([None, *cuts], [*cuts, None]):
         inside = F.lit(True)
         if low is not None:
             inside &= F.col("doc_id") > low
         if high is not None:
             inside &= F.col("doc_id") <= high
-        index.add(known.filter(inside))
-    return index.remove(texts).unionByName(unnamed)
+        batches.append(known.filter(inside))
+    index.add_all(batches)
+    return index.remove(texts, last=True).unionByName(unnamed)

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,38 @@ def test_levels_merge_geometrically(spark):
     assert index.remove().count() == 25
 
 
+def test_what_one_part_has_alone_takes_no_entry(spark, tmp_path):
+    """Entries and levels hold the runs at anchors of two parts only; what differs inside one part is settled there."""
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage, own = letters(400), letters(300)
+    texts = [letters(20_000) for _ in range(12)]
+    texts[2], texts[9] = texts[2] + passage, passage + texts[9]
+    texts[4], texts[5] = texts[4] + own + "-", own[30:] + "+" + texts[5]
+    rows = [(i, t.encode()) for i, t in enumerate(texts)]
+    index = s.SuffixLevels(spark, 2)
+    index.folder = f"file://{tmp_path}/parts"
+    batches = [spark.createDataFrame(rows[a:b], "doc_id long, text binary").coalesce(1) for a, b in ((0, 6), (6, 12))]
+    index.add_all(batches)
+    entries = [s._read_level(r.path) for _, _, level in index.levels for r in level.collect()]
+    assert 20 < sum(len(e[0]) for e in entries) < 200 < sum(len(t) for t in texts) / 100
+    folders = [folder for _, folder, _ in index.levels]
+    got = index.remove(texts=False, last=True).collect()
+    assert sorted((r.doc_id, r.n_bytes, sum(x.end - x.start for x in r.removed), r.kept_sha256) for r in got) == brute_removed(rows)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in folders)
+
+
+def test_short_keys_are_shared_by_parts_alone():
+    rng = np.random.default_rng(8)
+    one, other, both = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (900, 500, 100))
+    parts = [np.concatenate((x, x[:50], both)) for x in (one, other)]
+    rows = [r for i, x in enumerate(parts) for r in s._key_rows(i, f"p{i}", s._short(x), 7)]
+    assert {r["bucket"] for r in rows} == set(range(7))
+    told = [r for b in range(7) for r in s._shared(pa.Table.from_pylist([r for r in rows if r["bucket"] == b], schema=s._ROWS)).to_pylist()]
+    for i, x in enumerate(parts):
+        assert (s._has_shared(x, [r for r in told if r["part"] == i], 7) == np.isin(x, both)).all()
+
+
 def test_packing():
     a = np.sort(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64))
     b, c = a[::-1].copy(), np.arange(500, dtype=np.int64) - 250
