@@ -92,7 +92,9 @@ def _segment_counts(segments: DataFrame, lists: dict[str, Sequence[str]], be_for
             F.split("_t_text", "\n\n"), lambda p: F.struct(F.size(tk.whitespace_words(p)).cast("double").alias("n"), F.lit(0.0).alias("c"))
         ),
     })
-    hits = {name: members_of(F.col("_words"), terms) for name, terms in lists.items()}
+    # The few words of any list are found once, as the array is long.
+    measured = measured.withColumn("_hits", F.filter("_words", lambda t: t.isin(*sorted({w for terms in lists.values() for w in terms}))))
+    hits = {name: members_of(col("_hits"), terms) for name, terms in lists.items()}
     line = col("_t_line")
     sums = {
         "n": F.size("_words"),

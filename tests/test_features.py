@@ -154,3 +154,19 @@ def test_plan_is_narrow_and_tokenises_once(texts):
     assert "Python" not in plan
     # Words and clauses: one pass each over punctuation and clitics.
     assert plan.count(" $1 $2") == 2 and plan.count(" $0 ") == 2
+
+
+def test_tokens_are_counted_without_arrays(spark):
+    """Counts by pattern equal the arrays' sizes; a pair's first character is tried before its alternatives."""
+    texts = [*TEXTS.values(), None, "", " \t a\u0001b\u0002c\u0002\u0002 d\f\x0be ", "x  y\u00a0z", "is used was  tired iswas wed are a ed"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("spaced", tk.spaced_clauses(F.lower("text")))
+    plain = rf" (?:{'|'.join(lx.BE_FORMS)})(?= ++[^ ]*?ed )"
+    line = tk.even_line(F.col("spaced"))
+    rows = df.select(
+        tk.token_count(F.col("spaced")).alias("n"), F.size(tk.token_array(F.col("spaced"))).alias("n_of_array"),
+        F.regexp_count(line, F.lit(tk.pair_pattern(lx.BE_FORMS, "ed"))).alias("pairs"), F.regexp_count(line, F.lit(plain)).alias("plain"),
+        (tk.mark_clauses(F.col("text")) == F.translate("text", ",;:", tk.CLAUSE * 3)).alias("same"),
+    ).collect()
+    assert all(r.n == r.n_of_array and r.pairs == r.plain and r.same is not False for r in rows) and any(r.pairs for r in rows)
+    assert tk.pair_pattern(("is", "was"), "ed").startswith(" (?=[iw])")
+    assert "array_remove" not in str(tk.token_count(F.col("spaced")))
