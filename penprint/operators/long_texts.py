@@ -9,7 +9,8 @@ safe place is all fragment.
 Each such segment gives counts that add up, moments (count, mean, squared deviation) of the sentences and paragraphs
 that it holds whole, and the open sentence, clause and paragraph at either end. Running numbers of the boundaries before a
 segment name the open ones; parts of one sentence meet by that name and are summed. All rows that are shuffled are
-counts, tokens with map-side counts, or fragments.
+counts, distinct tokens, or fragments. The distinct tokens of a text of up to ``WHOLE`` characters meet as a whole, a row a segment,
+which takes no table of all tokens of a task; those of longer texts meet token by token.
 
 Ids must not be null or shared by two texts; pieces of a text are numbered in order.
 """
@@ -28,6 +29,7 @@ from penprint.session import stored
 
 _FIRST = r"(?s)^(.*?[A-Za-z0-9] )(?=[A-Za-z0-9])"
 _LAST = r"(?s)^(.*[A-Za-z0-9] )(?=[A-Za-z0-9])"
+WHOLE = 1 << 20
 _ZERO = "named_struct('n', 0D, 'mean', 0D, 'm2', 0D)"
 
 
@@ -156,6 +158,20 @@ def _added(lists: str) -> Column:
             'm2', a.m2 + b.m2 + (b.mean - a.mean) * (b.mean - a.mean) * a.n * b.n / greatest(a.n + b.n, 1D)))""")
 
 
+def _distinct_words(segments: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per text, the number of distinct tokens."""
+    # At most one id for each WHOLE characters of all texts.
+    long = F.broadcast(rows.groupBy("_id").agg(F.sum("chars").alias("_chars")).where(F.col("_chars") > WHOLE).select("_id"))
+    tokens = tk.split_even(F.col("_t_line"))
+    own = tokenised(segments.join(long, "_id", "left_anti"), "_segment").select("_id", F.array_join(F.array_distinct(tokens), " ").alias("words"))
+    joined = F.array_join(F.collect_list("words"), " ")
+    whole = own.repartition("_id").groupBy("_id").agg(joined.alias("words")).select(
+        "_id", F.size(F.array_distinct(tk.split_even(F.col("words")))).cast("double").alias("distinct")
+    ).where("distinct > 0")
+    words = tokenised(segments.join(long, "_id", "left_semi"), "_segment").select("_id", F.explode(tokens).alias("word"))
+    return whole.unionByName(words.distinct().groupBy("_id").agg(F.count("*").cast("double").alias("distinct")))
+
+
 def piece_features(
     pieces: DataFrame, id_col: str = "doc_id", *, ai_words: Sequence[str] = lx.AI_WORDS, conjunctions: Sequence[str] = lx.CONJUNCTIONS,
     transitions: Sequence[str] = lx.TRANSITIONS, pronouns: Sequence[str] = lx.PRONOUNS, be_forms: Sequence[str] = lx.BE_FORMS,
@@ -165,8 +181,7 @@ def piece_features(
     lists = {"ai": ai_words, "conjunctions": conjunctions, "transitions": transitions, "pronouns": pronouns}
     segments = stored(_segments(pieces, id_col), "segments")
     rows = stored(_segment_counts(segments, lists, be_forms, sentences_in_clauses), "segment-counts")
-    words = tokenised(segments, "_segment").select("_id", F.explode(tk.split_even(F.col("_t_line"))).alias("word"))
-    distinct = words.distinct().groupBy("_id").agg(F.count("*").cast("double").alias("distinct"))
+    distinct = _distinct_words(segments, rows)
 
     one = lambda value: f"named_struct('n', 1D, 'mean', {value}, 'm2', 0D)"
     opened = _open_parts(rows).select(

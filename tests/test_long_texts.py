@@ -5,8 +5,10 @@ import random
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from penprint.functions.features import FEATURES, add_features
+from penprint.operators import long_texts
 from penprint.operators.long_texts import cut_texts, piece_features
 from tests.test_features import PIECES, TEXTS
 
@@ -60,3 +62,15 @@ def test_no_text_after_the_segments_is_shuffled(texts):
         piece_features(cut_texts(texts, 100)).explain("formatted")
     exchanges = [part for part in shown.getvalue().split("\n\n") if "Exchange" in part]
     assert exchanges and not any("_segment#" in part or "_t_line" in part for part in exchanges)
+
+
+def test_distinct_words_of_short_and_long_texts(spark, texts, monkeypatch):
+    """Words of a short text meet as a row a segment, those of a long one word by word; both equal the whole text's."""
+    monkeypatch.setattr(long_texts, "WHOLE", 500)
+    lengths = texts.select(F.length("text").alias("n")).collect()
+    assert any((r.n or 0) > 500 for r in lengths) and any(0 < (r.n or 0) <= 500 for r in lengths)
+    assert near(piece_features(cut_texts(texts, 100)), add_features(texts))
+    segments = spark.createDataFrame([(1, "a b a c"), (1, "c d"), (2, ""), (3, "x " * 400)], "_id long, _segment string")
+    rows = segments.select("_id", F.length("_segment").cast("double").alias("chars"))
+    counts = long_texts._distinct_words(segments, rows)
+    assert {(r["_id"], r.distinct) for r in counts.collect()} == {(1, 4.0), (3, 1.0)}
