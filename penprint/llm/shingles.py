@@ -15,9 +15,9 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def chunks(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``CHUNK`` bytes of the text in column ``text``."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()) // CHUNK
+def chunks(batch: pa.RecordBatch, text: int, size: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``size`` bytes of the text in column ``text``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()) // size
     starts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
     for a, b in zip(starts, starts[1:]):
         if b > a:

@@ -13,6 +13,7 @@ not read.
 
 from __future__ import annotations
 
+import os
 import re
 import string
 import zlib
@@ -40,6 +41,10 @@ BATCH = 64
 CACHE = 500_000
 #: Bytes of text that a worker encodes at a time.
 CHARS = 4 << 20
+#: Texts that the tokenizer encodes at a time: what it returns takes some hundred bytes a token.
+TEXTS = 256
+#: Codes whose ids are looked up at a time.
+CODES = 1 << 16
 
 _MANIFEST = "shard int, tokens_path string, index_path string, n_docs long, n_tokens long"
 _LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
@@ -88,9 +93,12 @@ class PieceEncoder:
         return range(self.n - len(lengths), self.n)
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(lists), self.dtype)
-        return flat, np.fromiter(map(len, lists), np.int64, len(lists))
+        parts, sizes = [np.zeros(0, self.dtype)], []
+        for i in range(0, len(texts), TEXTS):
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + TEXTS], add_special_tokens=False)]
+            parts.append(np.fromiter(chain.from_iterable(lists), self.dtype))
+            sizes.extend(map(len, lists))
+        return np.concatenate(parts), np.array(sizes, np.int64)
 
     def _add_texts(self, texts: list[str]) -> range:
         return self._add(*self._encoded(texts))
@@ -139,9 +147,13 @@ class PieceEncoder:
 
     def _ids(self, codes: np.ndarray) -> np.ndarray:
         """The ids of codes, one after the other."""
-        lengths = self.lengths[codes]
-        shift = self.starts[codes] - np.cumsum(lengths) + lengths
-        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
+        parts = [np.zeros(0, self.dtype)]
+        for i in range(0, len(codes), CODES):
+            some = codes[i : i + CODES]
+            lengths = self.lengths[some]
+            shift = self.starts[some] - np.cumsum(lengths) + lengths
+            parts.append(self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))])
+        return np.concatenate(parts)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each followed by the end id, and the number of ids of each text."""
@@ -161,6 +173,8 @@ class PieceEncoder:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> PieceEncoder:
+    """A worker's encoder. A task has one core: the tokenizer's own threads would each keep memory in the worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return PieceEncoder(path)
 
 

@@ -59,6 +59,8 @@ ROWS = 4
 PAIRS = 200
 #: Nodes on either side of a tile.
 BLOCK_NODES = 250
+#: Bytes of text whose shingles a worker holds at a time, about 30 times as much; a longer text is taken whole.
+CHUNK = 1 << 20
 #: Nodes whose keys may be broadcast (16 bytes each).
 BROADCAST_NODES = 1_000_000
 _FEATURE_BITS = 18
@@ -122,21 +124,26 @@ def node(text: str) -> Column:
     return F.md5(F.coalesce(F.col(quoted(text)), F.lit("")))
 
 
+def feature_counts(batches: Iterator[pa.RecordBatch], size: int = SHINGLE) -> Iterator[pa.RecordBatch]:
+    """(feature, n): the documents of batches (text) that hold each hashed feature, and under -1 all of them."""
+    table, rows = np.zeros(1 << _FEATURE_BITS, np.int64), 0
+    for batch in batches:
+        for part in chunks(batch, 0, CHUNK):
+            values, of = shingle_hashes(*word_hashes(part.column(0)), size)
+            pairs = np.sort((of.astype(np.int64) << _FEATURE_BITS) | (values >> np.uint64(64 - _FEATURE_BITS)).astype(np.int64))
+            new = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
+            table += np.bincount(pairs[new] & ((1 << _FEATURE_BITS) - 1), minlength=len(table))
+            rows += part.num_rows
+    used = np.flatnonzero(table)
+    features = np.append(used, -1)  # -1: documents
+    yield pa.record_batch([pa.array(features), pa.array(np.append(table[used], rows))], names=["feature", "n"])
+
+
 def feature_idf(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> np.ndarray:
     """The augmented idf of each of 2^18 hashed features, from counts over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, rows = np.zeros(1 << _FEATURE_BITS, np.int64), 0
-        for batch in batches:
-            for part in chunks(batch, 0):
-                values, of = shingle_hashes(*word_hashes(part.column(0)), size)
-                pairs = np.sort((of.astype(np.int64) << _FEATURE_BITS) | (values >> np.uint64(64 - _FEATURE_BITS)).astype(np.int64))
-                new = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
-                table += np.bincount(pairs[new] & ((1 << _FEATURE_BITS) - 1), minlength=len(table))
-                rows += part.num_rows
-        used = np.flatnonzero(table)
-        features = np.append(used, -1)  # -1: documents
-        yield pa.record_batch([pa.array(features), pa.array(np.append(table[used], rows))], names=["feature", "n"])
+        yield from feature_counts(batches, size)
 
     counted = docs.select(F.col(quoted(text)).alias("text")).mapInArrow(count, "feature long, n long")
     totals = counted.groupBy("feature").agg(F.sum("n").alias("n")).toArrow()  # 2^18 + 1 rows at most
@@ -152,7 +159,7 @@ def node_table(docs: DataFrame, sampler: Sampler, text: str = "text", size: int
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, 1):
+            for part in chunks(batch, 1, CHUNK):
                 values, of, counts = distinct_shingles(part.column(1), size)
                 bands, samples = sampler.signatures(values, of, counts, part.num_rows)
                 has = np.unique(of)
@@ -191,8 +198,8 @@ def similarities(pairs: DataFrame, texts: DataFrame, sampler: Sampler, threshold
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for half in chunks(batch, 3):
-                for part in chunks(half, 4):
+            for half in chunks(batch, 3, CHUNK):
+                for part in chunks(half, 4, CHUNK):
                     yield _compared(part, sampler, threshold, size)
 
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")

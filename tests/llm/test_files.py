@@ -25,6 +25,39 @@ def test_pieces_encode_as_whole_texts(hard_texts):
         at += n
 
 
+def test_ids_are_looked_up_in_little_memory():
+    import tracemalloc
+
+    encoder = t.PieceEncoder(PATH)
+    codes = np.tile(np.array(encoder._add_texts(["one", "another", "tokenization", "x"]), np.int64), 500_000)
+    one = np.concatenate([encoder._ids(codes[:4][i : i + 1]) for i in range(4)])
+    tracemalloc.start()
+    ids = encoder._ids(codes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (ids.reshape(-1, len(one)) == one).all()
+    assert peak < 4 * ids.nbytes
+
+
+def test_texts_beyond_one_call_of_the_tokenizer():
+    import pyarrow as pa
+
+    texts = [" ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{i}-{i}" for i in range(k, k + 700)) for k in (0, 400)]
+    ids, lengths = t.PieceEncoder(PATH).encode(pa.array(texts), 1)
+    want = [[*e.ids, 1] for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and lengths.tolist() == list(map(len, want))
+
+
+def test_workers_encode_without_threads_of_the_tokenizer(monkeypatch):
+    import os
+
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "")  # restored after the test
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM")
+    t._encoder.cache_clear()
+    t._encoder(PATH)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
 def test_token_files_round_trip(spark, hard):
     manifest = t.write_token_files(hard, PATH, sequence=64)
     got = t.read_documents(manifest).collect()

@@ -313,6 +313,20 @@ def test_chunk_bounds_cover_all_rows():
     assert [r for c in sh.chunks(batch, 0) for r in c.column(0).to_pylist()] == batch.column(0).to_pylist()
 
 
+def test_features_are_counted_in_little_memory():
+    import tracemalloc
+
+    text = " ".join(f"w{i % 997}" for i in range(2000))
+    batch = pa.record_batch([pa.array([text] * 1000)], names=["text"])  # 9 MB
+    tracemalloc.start()
+    [counted] = m.feature_counts(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counted.column("n").to_pylist()[-1] == 1000 and counted.column("feature").to_pylist()[-1] == -1
+    assert set(counted.column("n").to_pylist()) == {1000}
+    assert peak < 30_000_000
+
+
 def weighted_pairs(texts, idf, least):
     """Pairs of texts whose weighted Jaccard similarity is ``least`` or more, by the operator's weights."""
     sampler = m.Sampler(idf)
