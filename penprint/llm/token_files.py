@@ -114,36 +114,37 @@ class PieceEncoder:
         return self._add(ids, np.diff(ends, prepend=0))
 
     def _learn(self, pieces: list[str]) -> None:
-        runs, signs, split, hard = {}, {}, [], []
+        letters, letter_runs, hard = [], [], []
+        mixed, mixed_runs, mixed_signs = [], [], []
         for p in pieces:
             if not self.suffix:
                 hard.append(p)
                 continue
             if p.isalpha():
-                run, sign = p, ""
-            elif (run := p[:-1]).isalpha() and p[-1] in _SIGNS:
+                letters.append(p)
+                letter_runs.append(p.lower() if self.lowers and p.isascii() else p)
+                continue
+            if (run := p[:-1]).isalpha() and p[-1] in _SIGNS:
                 sign = p[-1]
             elif (m := _LETTERS_THEN_SIGNS.fullmatch(p)) and m[1].isalpha():
                 run, sign = m[1], m[2]
             else:
                 hard.append(p)
                 continue
-            if self.lowers and run.isascii():
-                run = run.lower()
-            runs[run] = None
-            if sign:
-                signs[sign] = None
-            split.append((p, run, sign))
-        new = [r for r in runs if r not in self.parts]
-        self.parts.update(zip(new, self._add_letter_runs(new), strict=True))
-        new = [s for s in signs if s not in self.parts]
-        self.parts.update(zip(new, self._add_texts(new), strict=True))
+            mixed.append(p)
+            mixed_runs.append(run.lower() if self.lowers and run.isascii() else run)
+            mixed_signs.append(sign)
+        parts = self.parts
+        new = [r for r in dict.fromkeys(chain(letter_runs, mixed_runs)) if r not in parts]
+        parts.update(zip(new, self._add_letter_runs(new), strict=True))
+        new = [s for s in dict.fromkeys(mixed_signs) if s not in parts]
+        parts.update(zip(new, self._add_texts(new), strict=True))
         self.codes.update(zip(hard, self._add_texts(hard), strict=True))
-        self.codes.update((p, self.parts[r]) for p, r, s in split if not s)
-        two = [(p, self.parts[r], self.parts[s]) for p, r, s in split if s]
-        both = np.array([x[1:] for x in two], np.int64).reshape(-1)
-        codes = self._add(self._ids(both), self.lengths[both].reshape(-1, 2).sum(1))
-        self.codes.update(zip((x[0] for x in two), codes, strict=True))
+        self.codes.update(zip(letters, map(parts.__getitem__, letter_runs), strict=True))
+        both = np.empty((len(mixed), 2), np.int64)
+        for k, of in enumerate((mixed_runs, mixed_signs)):
+            both[:, k] = np.fromiter(map(parts.__getitem__, of), np.int64, len(of))
+        self.codes.update(zip(mixed, self._add(self._ids(both.reshape(-1)), self.lengths[both].sum(1)), strict=True))
 
     def _ids(self, codes: np.ndarray) -> np.ndarray:
         """The ids of codes, one after the other."""
@@ -163,8 +164,12 @@ class PieceEncoder:
         distinct = listed.dictionary.to_pylist()
         if len(self.codes) > CACHE:
             self.forget()
-        self._learn([p for p in distinct if p not in self.codes])
-        known = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+        found = list(map(self.codes.get, distinct))
+        missing = [i for i, code in enumerate(found) if code is None]
+        self._learn([distinct[i] for i in missing])
+        for i in missing:
+            found[i] = self.codes[distinct[i]]
+        known = np.fromiter(found, np.int64, len(found))
         closing = self._add(np.array([end_id], self.dtype), np.ones(1, np.int64))[0]
         codes = np.insert(known[listed.indices.to_numpy()], np.cumsum(counts), closing)
         sizes = np.cumsum(self.lengths[codes])[np.cumsum(counts + 1) - 1]
