@@ -59,7 +59,7 @@ ROWS = 4
 PAIRS = 200
 #: Nodes on either side of a tile.
 BLOCK_NODES = 250
-#: Bytes of text whose shingles a worker holds at a time, about 30 times as much; a longer text is taken whole.
+#: Bytes of text whose shingles a worker holds at a time, which take about 20 times as much; a longer text is taken whole.
 CHUNK = 1 << 20
 #: Nodes whose keys may be broadcast (16 bytes each).
 BROADCAST_NODES = 1_000_000
