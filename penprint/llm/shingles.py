@@ -39,10 +39,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[\x09-\x0D]", " ")
     parts = pc.split_pattern(flat, " ")
     listed = parts.flatten().dictionary_encode()
-    words = listed.dictionary.to_pylist()
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    words = listed.dictionary
+    # Arrow makes the objects of a numpy array at once, those of to_pylist one by one.
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
     codes = listed.indices.to_numpy()
-    real = np.fromiter(map(bool, words), bool, len(words))[codes]
+    real = (pc.binary_length(words).to_numpy(zero_copy_only=False) > 0)[codes]
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
     return hashes[codes][real], np.bincount(owner[real], minlength=len(texts))
 

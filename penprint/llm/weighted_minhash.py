@@ -8,8 +8,9 @@ but a group of near copies, however large, can't push its own similarity under t
 Each of 56 samples draws (shingle, level) by the improved scheme: r and c from Gamma(2, 1), b uniform, level
 t = floor(ln w / r + b), and the shingle with the least ln c - r (t - b) - r wins; two documents draw the same pair with
 probability equal to their weighted Jaccard similarity. The draws of a shingle are looked up in a table of 65,536
-by a hash of shingle and sample; equal values go to the least hash. 14 bands of 4 samples bring together a pair of
-similarity 0.8 with probability 0.9994, of 0.85 with 0.99997.
+by a hash of shingle and sample; equal values go to the least hash. As a shingle's value falls with its weight, each draw has
+a bound for a class of weights, and only shingles whose bound may win are ranked. 14 bands of 4 samples bring together a
+pair of similarity 0.8 with probability 0.9994, of 0.85 with 0.99997.
 
 Equal texts are one node. What rounds read is written once: a node's weight, its samples in 16 bits each, and the texts of
 the nodes that share a bucket with another. A bucket's nodes are first compared with its lightest only (of least total
@@ -66,6 +67,12 @@ BROADCAST_NODES = 1_000_000
 _FEATURE_BITS = 18
 _TABLE_BITS = 16
 _BLOCK = 1 << 15
+#: A text's least rank is sought below ln(_LIKELY / weight) first, where it is but with probability exp(-_LIKELY).
+_LIKELY = 8
+#: Classes of counts, by powers of two, whose draws have bounds; shingles of greater counts are always ranked.
+_CLASSES = 8
+#: Bounds are held in steps of _STEP from _LEAST on.
+_LEAST, _STEP = -16, 0.08
 
 
 @dataclass(frozen=True)
@@ -100,23 +107,64 @@ class Sampler:
         factors = rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
         return r, 1 / r, ln_c, b, factors
 
+    @cached_property
+    def _bounds(self) -> np.ndarray:
+        """For each class of counts and draw the step that no rank is below: that of the heaviest, as a rank falls with the weight."""
+        r, per_r, ln_c, b, _ = (x.astype(np.float64) for x in self._draws)
+        heaviest = np.log(self.idf.max() * 2.0 ** np.arange(_CLASSES))[:, None] + 1e-4
+        rank = ln_c - r * (np.floor(heaviest * per_r + b) - b) - r - 1e-3  # what single precision may be off by
+        steps = np.floor((rank - _LEAST) / _STEP).clip(0, 254).astype(np.uint8)
+        return np.append(steps, np.zeros(1 << _TABLE_BITS, np.uint8))
+
     def _sample(self, values: np.ndarray, of: np.ndarray, counts: np.ndarray, out: np.ndarray, samples: np.ndarray) -> None:
+        """Only shingles whose bound is below what a text's least rank likely is are ranked, and all of a text
+        where none of these is: the least of all either way."""
         r, per_r, ln_c, b, factors = self._draws
         has, starts, sizes = np.unique(of, return_index=True, return_counts=True)
         if not len(has):
             return
-        ln_w = np.log(self.weights(values, counts)).astype(np.float32)
+        weights = self.weights(values, counts)
+        ln_w = np.log(weights).astype(np.float32)
         inside = np.repeat(np.arange(len(has)), sizes)
+        total = np.minimum(np.add.reduceat(weights, starts), 1 << _TABLE_BITS)  # more shingles make no more draws
+        steps = np.floor((np.log(_LIKELY / total) - _LEAST) / _STEP).clip(0, 253)
+        likely, above = steps.astype(np.uint8)[inside], _LEAST + _STEP * (steps + 1)
+        row = np.searchsorted(1 << np.arange(_CLASSES), counts).astype(np.uint64) << np.uint64(_TABLE_BITS)
+        bounds, draw = self._bounds, np.empty(len(values), np.uint64)
+        drawn, unsure = np.zeros(len(factors) * len(has), np.uint64), np.ones(len(factors) * len(has), bool)
+
+        def rank_least(at: np.ndarray, sample: np.ndarray) -> None:
+            """Take the shingles of least rank of each sample and text, the first of those that are equal."""
+            factor, own = factors[sample], inside[at]
+            place = ((values[at] * factor) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+            own_r, own_b = r[place], b[place]
+            level = np.floor(ln_w[at] * per_r[place] + own_b)
+            rank = ln_c[place] - own_r * (level - own_b) - own_r
+            group = sample * len(has) + own
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            least = np.minimum.reduceat(rank, first)
+            ties = np.flatnonzero(rank == np.repeat(least, np.diff(first, append=len(at))))
+            won = ties[np.diff(group[ties], prepend=-1) > 0]
+            drawn[group[won]] = mixed(values[at[won]] + level[won].astype(np.int64).astype(np.uint64) * factor[won])
+            unsure[group[won]] = least >= above[own[won]]
+
+        near, waiting, begun = [], 0, 0
         for j, factor in enumerate(factors):
-            draw = (values * factor) >> np.uint64(64 - _TABLE_BITS)
-            own_r, own_b = r[draw], b[draw]
-            level = np.floor(ln_w * per_r[draw] + own_b)
-            rank = ln_c[draw] - own_r * (level - own_b) - own_r
-            least = np.flatnonzero(rank == np.minimum.reduceat(rank, starts)[inside])
-            least = least[np.unique(inside[least], return_index=True)[1]]
-            drawn = mixed(values[least] + level[least].astype(np.int64).astype(np.uint64) * factor)
-            out[has, j // ROWS] = mixed(out[has, j // ROWS] + drawn)
-            samples[has, j] = drawn >> np.uint64(48)
+            np.multiply(values, factor, out=draw)
+            np.right_shift(draw, np.uint64(64 - _TABLE_BITS), out=draw)
+            np.bitwise_or(draw, row, out=draw)
+            near.append(np.flatnonzero(bounds.take(draw.view(np.int64), mode="clip") <= likely))
+            waiting += len(near[-1])
+            if waiting and (waiting >= _BLOCK or j == len(factors) - 1):
+                rank_least(np.concatenate(near), np.repeat(np.arange(begun, j + 1), [len(x) for x in near]))
+                near, waiting, begun = [], 0, j + 1
+        for j in np.flatnonzero(unsure.reshape(-1, len(has)).any(1)):
+            at = np.flatnonzero(unsure.reshape(-1, len(has))[j][inside])
+            rank_least(at, np.full(len(at), j))
+        hashes, drawn = np.zeros((BANDS, len(has)), np.uint64), drawn.reshape(-1, len(has))
+        for k in range(ROWS):
+            hashes = mixed(hashes + drawn[k::ROWS])
+        out[has], samples[has] = hashes.T, (drawn >> np.uint64(48)).T
 
 
 def node(text: str) -> Column:
